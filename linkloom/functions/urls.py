@@ -146,9 +146,10 @@ def superdomain(host: Column) -> Column:
 def has_disallowed_extension(
     url: Column, extensions: Iterable[str] = DISALLOWED_EXTENSIONS
 ) -> Column:
-    """True when the path, without query, ends in one of ``extensions`` whatever its case."""
+    """True when the path, without query and ;params, ends in one of ``extensions``, any case."""
     names = "|".join(extensions)
-    return F.lower(path_of(url)).rlike(rf"\.(?:{names})\z")
+    last = rf"(?:[^?#]*/)?[^/;?#]*\.(?:{names})(?:;[^/?#]*)?(?=[?#]|\z)"
+    return url.rlike(rf"(?i){_HEAD}(?://[^/?#]*)?{last}")
 
 
 def is_navigable(href: Column) -> Column:

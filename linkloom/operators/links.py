@@ -123,7 +123,10 @@ def with_links(
     robust parser rejects; adds ``parser_used``).
     """
     batch, schema = _BATCHES[mode]
-    parsed = F.pandas_udf(batch, schema)(page_text(F.col(body), cap), F.col(url))
+    # Declared nondeterministic so that the optimizer keeps one copy: it would otherwise repeat the
+    # parse in the filter it derives from the explode.
+    parse = F.pandas_udf(batch, schema).asNondeterministic()
+    parsed = parse(page_text(F.col(body), cap), F.col(url))
     if mode != "auto":
         return pages.withColumn("links", parsed)
     return pages.withColumn("_parsed", parsed).select("*", "_parsed.*").drop("_parsed")

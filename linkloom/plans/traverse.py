@@ -1,8 +1,9 @@
 """Breadth-first traversal of a link table, crawl order, and a whole crawl over a page snapshot.
 
-The driver only loops over levels; rows stay on the executors. Each level is checkpointed, so a lost
-executor costs one level, and the plan of a level never contains the levels before it. The edge
-table is partitioned by source once, before the loop, and not shuffled again.
+The driver only loops over levels; rows stay on the executors. Each level is written to the shared
+folder, so a lost executor costs one level and no plan contains the levels before it. The edge
+table and every large level are bucketed by URL when written: in the loop only the targets of the
+current level are shuffled, neither the edges nor the visited URLs.
 """
 
 from __future__ import annotations
@@ -20,25 +21,21 @@ from linkloom.operators import frontier as fr
 from linkloom.operators.links import with_links
 from linkloom.operators.ordering import BLOCK, numbered, running_domain_counts
 from linkloom.operators.robots import decision, host_policies
-from linkloom.session import cut
+from linkloom.session import STORE_ROWS, cut, settle, store
 from linkloom.sources.pages import snapshot
 
-# A source with at least this share of all edges, and this many of them, is split over tasks.
+# A source with at least 1/HOT_SHARE of all edges, and this many of them, is split over tasks.
 HOT_SHARE = 200
 HOT_EDGES = 1_000_000
 
 
-def _width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass
 class LinkTable:
-    """Edges partitioned by ``(src, _salt)``; ``hot`` maps a hot source to its number of salts.
+    """Edges bucketed by ``(src, _salt)``; ``hot`` maps a hot source to its number of salts.
 
     At most ``HOT_SHARE`` sources can each hold 1/``HOT_SHARE`` of the edges, which bounds ``hot``.
     """
@@ -47,22 +44,18 @@ class LinkTable:
     hot: DataFrame | None
 
     @staticmethod
-    def of(edges: DataFrame, hot_edges: int = HOT_EDGES) -> "LinkTable":
-        stored = cut(edges)
-        degrees = stored.groupBy("src").agg(F.count("*").alias("n"))
-        total = degrees.agg(F.sum("n")).scalar()
-        hot = degrees.filter((F.col("n") * HOT_SHARE >= total) & (F.col("n") >= hot_edges)).select(
-            "src", F.ceil(F.col("n") * HOT_SHARE / total).cast("int").alias("salts")
-        )
-        hot = cut(hot.coalesce(1))
-        if hot.isEmpty():
-            salted, hot = stored.withColumn("_salt", F.lit(0)), None
-        else:
-            spread = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")
-            salted = stored.join(F.broadcast(hot), "src", "left").withColumn("_salt", spread)
-            salted = salted.drop("salts")
-        keys = ["src", "_salt"]
-        return LinkTable(cut(salted.repartition(_width(edges), *keys).sortWithinPartitions(*keys)), hot)
+    def of(edges: DataFrame, hot_edges: int = HOT_EDGES) -> LinkTable:
+        found = cut(edges)
+        degrees = found.groupBy("src").agg(F.count("*").alias("n"))
+        total, most = degrees.agg(F.sum("n"), F.max("n")).first()
+        limit = max(hot_edges, (total or 0) / HOT_SHARE)
+        if (most or 0) < limit:
+            return LinkTable(store(found.withColumn("_salt", F.lit(0)), "src", "_salt"), None)
+        salts = F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("salts")
+        hot = cut(degrees.filter(F.col("n") >= limit).select("src", salts))
+        salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")
+        salted = found.join(F.broadcast(hot), "src", "left").withColumn("_salt", salt)
+        return LinkTable(store(salted.drop("salts"), "src", "_salt"), hot)
 
     def leaving(self, level: DataFrame) -> DataFrame:
         """Edges out of the URLs of ``level``, the level's other columns beside."""
@@ -79,32 +72,49 @@ class LinkTable:
         return keyed.join(self.edges, ["src", "_salt"]).drop("_salt")
 
 
+@dataclass
+class Visited:
+    """Levels visited so far. Large ones are bucketed and joined one by one, where they lie; the
+    small ones together."""
+
+    large: list[DataFrame]
+    small: list[DataFrame]
+
+    @property
+    def all(self) -> DataFrame:
+        return _union(self.large + self.small)
+
+    def add(self, level: DataFrame, n: int) -> None:
+        (self.large if n >= STORE_ROWS else self.small).append(level)
+
+    def without(self, targets: DataFrame) -> DataFrame:
+        """Targets in no level so far."""
+        rest = [_union(self.small)] if self.small else []
+        return reduce(fr.unseen, self.large + rest, targets)
+
+
 def bfs_depths(
     edges: DataFrame,
     seeds: DataFrame,
     max_depth: int = fr.MAX_DEPTH,
     hot_edges: int = HOT_EDGES,
 ) -> DataFrame:
-    """``url, depth`` of every URL within ``max_depth`` links of a seed, at its smallest depth.
-
-    Each level and the visited URLs share one hash partitioning, so only the new targets move.
-    """
+    """``url, depth`` of every URL within ``max_depth`` links of a seed, at its smallest depth."""
     table = LinkTable.of(edges.select("src", "dst"), hot_edges)
-    width = _width(edges)
 
-    def stored(urls: DataFrame, depth: int) -> DataFrame:
-        placed = urls.repartition(width, "url").select("url", F.lit(depth).alias("depth"))
-        return cut(placed.sortWithinPartitions("url"))
+    def reached(urls: DataFrame, depth: int) -> tuple[DataFrame, int]:
+        return settle(urls.select("url", F.lit(depth).alias("depth")), "url")
 
-    level = stored(seeds.select("url").distinct(), 0)
-    levels = [level]
+    visited = Visited([], [])
+    level, n = reached(seeds.select("url").distinct(), 0)
+    visited.add(level, n)
     for depth in range(1, max_depth + 1):
         targets = table.leaving(level.select("url")).select(F.col("dst").alias("url")).distinct()
-        level = stored(fr.unseen(targets, _union(levels)), depth)
-        if level.isEmpty():
+        level, n = reached(visited.without(targets), depth)
+        if n == 0:
             break
-        levels.append(level)
-    return _union(levels)
+        visited.add(level, n)
+    return visited.all
 
 
 def seen_before_level(nodes: DataFrame, key: str, name: str) -> DataFrame:
@@ -146,9 +156,10 @@ class Crawl:
     blocked: DataFrame
 
 
-def _page_facts(pages: DataFrame) -> DataFrame:
+def _page_facts(pages: DataFrame, cap: int) -> DataFrame:
     """Narrow attributes of each URL; of several copies the first by ``page_id`` counts."""
-    body = F.col("html")
+    html = F.col("html")
+    full = is_html(F.col("ct")) & is_truncated(html, cap)
     narrow = pages.select(
         U.canonical_url(F.col("url")).alias("url"),
         F.struct(
@@ -157,30 +168,26 @@ def _page_facts(pages: DataFrame) -> DataFrame:
             "ct",
             "bytes",
             "elapsed_ms",
-            (F.octet_length("html") > 0).alias("has_body"),
-            F.when(is_html(F.col("ct")) & is_truncated(body, F.col("cap")), 1)
-            .otherwise(0)
-            .alias("html_truncated"),
+            (F.octet_length(html) > 0).alias("has_body"),
+            full.cast("int").alias("html_truncated"),
         ).alias("page"),
     )
     return narrow.groupBy("url").agg(F.min_by("page", "page.page_id").alias("page"))
 
 
-def _page_edges(pages: DataFrame, facts: DataFrame, mode: str, cap: int, allowed) -> DataFrame:
+def _page_edges(pages: DataFrame, facts: DataFrame, mode: str, cap: int) -> DataFrame:
     """Edges of every page a crawl could parse, found in one pass over the bodies."""
-    good = pages.filter(
-        (F.col("status") == 200) & is_html(F.col("ct")) & (F.octet_length("html") > 0)
-    )
+    body = F.octet_length("html") > 0
+    good = pages.filter((F.col("status") == 200) & is_html(F.col("ct")) & body)
     linked = with_links(good.select("page_id", "url", "html"), mode, cap=cap).select(
         "page_id",
         U.canonical_url(F.col("url")).alias("src"),
         F.posexplode("links").alias("pos", "link"),
     )
-    edges = linked.select("page_id", "src", "pos", U.canonical_url(F.col("link")).alias("dst"))
     first = facts.select(F.col("url").alias("src"), F.col("page.page_id").alias("page_id"))
-    edges = edges.join(first, ["src", "page_id"], "left_semi").drop("page_id")
-    edges = edges.withColumn("domain", U.url_domain(F.col("dst")))
-    return allowed(edges, "dst")
+    return linked.join(first, ["src", "page_id"], "left_semi").select(
+        "src", "pos", U.canonical_url(F.col("link")).alias("dst")
+    )
 
 
 def crawl(
@@ -201,108 +208,74 @@ def crawl(
 ) -> Crawl:
     """Crawl a page snapshot level by level from ``seeds(ord, url)``.
 
-    Bodies are parsed once, up front and where they lie; the loop joins narrow tables only. Within a
-    level URLs go by ``(priority, parent's place, position on the page)``; counters and failures are
-    those of the levels before. A URL without a page is logged with status 0. ``robots=None`` turns
-    the robots rules off.
+    Bodies are parsed once, up front and where they lie; robots verdicts and page attributes are
+    found once per URL; the loop joins narrow tables only. Within a level URLs go by
+    ``(priority, parent's place, position on the page)``; counters and failures are those of the
+    levels before. A URL without a page is logged with status 0. ``robots=None`` turns the robots
+    rules off.
     """
-    width = _width(pages)
-    weights = weights or {}
-    pages = snapshot(pages).withColumn("cap", F.lit(cap))
-
-    def allowed(df: DataFrame, url: str) -> DataFrame:
-        marked = df.withColumn("allowed", ~U.has_disallowed_extension(F.col(url)))
-        if skip is None:
-            return marked
-        listed = skip.select("domain").distinct().withColumn("_skip", F.lit(True))
-        keep = F.col("allowed") & F.col("_skip").isNull()
-        return marked.join(listed, "domain", "left").withColumn("allowed", keep).drop("_skip")
+    pages = snapshot(pages)
+    facts = cut(_page_facts(pages, cap))
+    table = LinkTable.of(_page_edges(pages, facts, mode, cap))
+    # Seeds are normalised when listed and again when queued.
+    start = cut(seeds.select(U.canonical_url(F.col("url")).alias("url"), F.col("ord").cast("double")))
+    start = start.withColumn("url", U.canonical_url(F.col("url")))
+    nodes = _nodes(
+        table.edges.select(F.col("dst").alias("url")).unionByName(start.select("url")),
+        facts, robots, user_agent, on_unreachable, skip,
+    )
 
-    facts = cut(_page_facts(pages).repartition(width, "url").sortWithinPartitions("url"))
-    table = LinkTable.of(_page_edges(pages, facts, mode, cap, allowed))
-    policies = None
-    if robots is not None:
-        policies = cut(
-            host_policies(robots, user_agent, on_unreachable).withColumnRenamed("host", "domain")
-        )
+    def visit(found: DataFrame, depth: int, before: DataFrame | None) -> tuple[DataFrame, int]:
+        """Rows of a level from ``url, parent, pos``; ``place`` sorts a level by visiting order.
 
-    def visit(found: DataFrame, depth: int, state: DataFrame | None) -> DataFrame:
-        """Candidates ``url, domain, parent, pos`` of a level with attributes, in visiting order."""
-        out = found.withColumn("superdomain", U.superdomain(F.col("domain")))
-        if state is None:
+        A place is the row's priority, its parent's place and its position in one array: levels are
+        compared with themselves only, so the arrays have equal length, and no level is numbered.
+        """
+        out = found.join(nodes, "url").filter("allowed")
+        if before is None:
             zero = F.lit(0).cast("bigint")
             out = out.withColumns({"domain_seen": zero, "super_seen": zero})
         else:
-            out = fr.attach_counts(out, state)
-        seen_counts = F.col("domain_seen"), F.col("super_seen")
-        out = out.withColumn("depth", F.lit(depth)).withColumn(
-            "priority", novelty_priority(F.lit(depth), *seen_counts, **weights)
+            out = _with_state(out, before, backoff)
+        priority = novelty_priority(
+            F.lit(depth), F.col("domain_seen"), F.col("super_seen"), **(weights or {})
         )
-        out = out.join(facts, "url", "left")
-        refused: Column = F.lit(False)
-        if policies is not None:
-            out = out.join(policies, "domain", "left")
-            deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
-            verdict = decision(F.col("url"), deny_all, F.col("rules"))
-            refused = ~((F.col("domain") != "") & verdict)
-        out = out.select(
-            "url", "domain", "superdomain", "depth", "priority", "parent", "pos",
-            F.coalesce("page.status", F.lit(0)).alias("status"),
-            F.coalesce("page.bytes", F.lit(0).cast("bigint")).alias("bytes"),
-            F.coalesce("page.ct", F.lit("")).alias("ct"),
-            F.coalesce("page.elapsed_ms", F.lit(0).cast("bigint")).alias("elapsed_ms"),
-            F.coalesce("page.has_body", F.lit(False)).alias("has_body"),
-            F.coalesce("page.html_truncated", F.lit(0)).alias("html_truncated"),
-            refused.alias("refused"),
-        )
-        return numbered(out, ["priority", "parent", "pos", "url"], "place")
-
-    def parsed(rows: DataFrame) -> Column:
-        size = F.col("has_body").cast("int")
-        return fr.parse_eligible(F.col("status"), F.col("ct"), F.col("depth"), size, max_depth)
-
-    start = seeds.select("ord", U.canonical_url(U.canonical_url(F.col("url"))).alias("url"))
-    start = allowed(start.withColumn("domain", U.url_domain(F.col("url"))), "url").filter("allowed")
-    found = start.groupBy("url", "domain").agg(F.min("ord").alias("parent"))
-    found = found.withColumn("pos", F.lit(0))
-
-    levels: list[DataFrame] = []
-    left = max_pages
-    state = None
+        out = out.withColumns({"depth": F.lit(depth), "priority": priority})
+        place = F.concat(F.array("priority"), F.col("parent"), F.array(F.col("pos").cast("double")))
+        drop = ("parent", "pos", "allowed", "domain_seen", "super_seen")
+        return settle(out.withColumn("place", place).drop(*drop), "url")
+
+    size = F.col("has_body").cast("int")
+    parsed = fr.parse_eligible(F.col("status"), F.col("ct"), F.col("depth"), size, max_depth)
+    found = start.groupBy("url").agg(F.min("ord").alias("pos"))
+    found = found.withColumn("parent", F.array().cast("array<double>"))
+    seen = Visited([], [])
+    left, before = max_pages, None
     for depth in range(max_depth + 1):
-        level = visit(found, depth, state)
-        n = level.filter(~F.col("refused")).count()
+        level, size_of_level = visit(found, depth, before)
+        n = level.filter("NOT refused").count()
         if n > left:
-            # The budget ends inside this level: keep the rows up to the last affordable page.
-            kept = numbered(level.filter(~F.col("refused")), ["place"], "nth")
-            last = kept.filter(F.col("nth") == left).agg(F.max("place")).scalar()
-            level = level.filter(F.col("place") <= F.coalesce(last, F.lit(0)))
+            level, size_of_level = _within(level, left)
             n = left
-        levels.append(level)
+        seen.add(level, size_of_level)
         left -= n
-        if left <= 0 or n == 0 or depth == max_depth:
+        if left == 0 or n == 0 or depth == max_depth:
             break
-        visited = _union(levels)
-        rows = visited.filter(~F.col("refused"))
-        state = rows.groupBy("domain", "superdomain").agg(F.count("*").alias("n"))
-        failing = fr.failing_domains(rows, backoff)
-        sources = level.filter(~F.col("refused") & parsed(level)).select(
-            "url", F.col("place").alias("parent")
-        )
-        out = table.leaving(sources).filter("allowed").drop("src", "allowed")
-        first = out.groupBy(F.col("dst").alias("url"), "domain").agg(
-            F.min(F.struct("parent", "pos")).alias("first")
-        )
-        found = fr.not_failing(fr.unseen(first, visited), failing).select(
-            "url", "domain", "first.parent", "first.pos"
+        before = seen.all.filter("NOT refused")
+        sources = level.filter("NOT refused").filter(parsed).select("url", F.col("place").alias("parent"))
+        first = (
+            table.leaving(sources)
+            .groupBy(F.col("dst").alias("url"))
+            .agg(F.min(F.struct("parent", "pos")).alias("first"))
+            .select("url", "first.*")
         )
+        found = seen.without(first)
 
-    visited = _union(levels)
-    blocked = visited.filter("refused").select("url", "domain", "depth")
-    rows = visited.filter(~F.col("refused")).drop("refused")
+    visited = seen.all
+    rows = visited.filter("NOT refused")
     ordered = numbered(rows, ["depth", "place"], "seq").withColumn("log", F.lit("crawl"))
-    counted = running_domain_counts(ordered, "seq", block).drop("log", "parent", "pos", "place")
-    links = _link_counts(table, visited, rows.filter(parsed(rows)), backoff)
+    counted = running_domain_counts(ordered, "seq", block)
+    links = _link_counts(table, nodes, visited, rows.filter(parsed), backoff)
     zero = F.lit(0).cast("bigint")
     log = counted.join(links, "url", "left").select(
         "seq",
@@ -314,11 +287,75 @@ def crawl(
         F.coalesce("links_enqueued", zero).alias("links_enqueued"),
         "html_truncated",
     )
-    return Crawl(log, blocked)
+    return Crawl(log, visited.filter("refused").select("url", "domain", "depth"))
+
+
+def _nodes(
+    urls: DataFrame,
+    facts: DataFrame,
+    robots: DataFrame | None,
+    user_agent: str,
+    on_unreachable: str,
+    skip: DataFrame | None,
+) -> DataFrame:
+    """Everything about a URL that does not change during a crawl, once per URL."""
+    domain = U.url_domain(F.col("url"))
+    out = urls.distinct().join(facts, "url", "left").withColumn("domain", domain)
+    allowed = ~U.has_disallowed_extension(F.col("url"))
+    refused: Column = F.lit(False)
+    if skip is not None:
+        listed = skip.select("domain").distinct().withColumn("_skip", F.lit(True))
+        out = out.join(listed, "domain", "left")
+        allowed = allowed & F.col("_skip").isNull()
+    if robots is not None:
+        policies = host_policies(robots, user_agent, on_unreachable)
+        out = out.join(policies.withColumnRenamed("host", "domain"), "domain", "left")
+        deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
+        refused = ~((F.col("domain") != "") & decision(F.col("url"), deny_all, F.col("rules")))
+    rows = out.select(
+        "url",
+        "domain",
+        U.superdomain(F.col("domain")).alias("superdomain"),
+        F.coalesce("page.status", F.lit(0)).alias("status"),
+        F.coalesce("page.bytes", F.lit(0).cast("bigint")).alias("bytes"),
+        F.coalesce("page.ct", F.lit("")).alias("ct"),
+        F.coalesce("page.elapsed_ms", F.lit(0).cast("bigint")).alias("elapsed_ms"),
+        F.coalesce("page.has_body", F.lit(False)).alias("has_body"),
+        F.coalesce("page.html_truncated", F.lit(0)).alias("html_truncated"),
+        allowed.alias("allowed"),
+        refused.alias("refused"),
+    )
+    return store(rows, "url")
+
+
+def _with_state(out: DataFrame, before: DataFrame, backoff: int) -> DataFrame:
+    """Add the counts of ``before`` to candidates; those of domains at the failure limit go."""
+    by_domain = before.groupBy("domain", "superdomain").agg(
+        F.count("*").alias("domain_seen"),
+        F.count_if(is_backoff_status(F.col("status"))).alias("failures"),
+    )
+    by_super = by_domain.groupBy("superdomain").agg(F.sum("domain_seen").alias("super_seen"))
+    zero = F.lit(0).cast("bigint")
+    return (
+        out.join(by_domain.drop("superdomain"), "domain", "left")
+        .filter(F.coalesce("failures", zero) < backoff)
+        .join(by_super, "superdomain", "left")
+        .withColumns(
+            {c: F.coalesce(c, zero).alias(c) for c in ("domain_seen", "super_seen")}
+        )
+        .drop("failures")
+    )
+
+
+def _within(level: DataFrame, left: int) -> tuple[DataFrame, int]:
+    """The part of a level up to its ``left``-th page; refused URLs up to there stay."""
+    nth = numbered(level.filter("NOT refused"), ["place"], "nth")
+    last = nth.filter(F.col("nth") == left).select("place").scalar()
+    return settle(level.filter(F.col("place") <= last), "url")
 
 
 def _link_counts(
-    table: LinkTable, visited: DataFrame, sources: DataFrame, backoff: int
+    table: LinkTable, nodes: DataFrame, visited: DataFrame, sources: DataFrame, backoff: int
 ) -> DataFrame:
     """Links found and accepted per parsed page, each as of the page's own level.
 
@@ -339,22 +376,21 @@ def _link_counts(
         .groupBy("domain")
         .agg(F.min("depth").alias("down_from"))
     )
-    reached = visited.select(F.col("url").alias("dst"), F.col("depth").alias("dst_depth"))
-    out = table.leaving(sources.select("url", F.col("depth").alias("src_depth")))
-    accepted = (
-        F.col("allowed")
-        & F.coalesce(F.col("dst_depth") > F.col("src_depth"), F.lit(True))
-        & F.coalesce(F.col("down_from") > F.col("src_depth"), F.lit(True))
+    # One row per target URL: the last level at which a link to it is still accepted.
+    closing = F.least(F.col("depth"), F.col("down_from"))
+    targets = (
+        nodes.select("url", "domain", "allowed")
+        .join(visited.select("url", "depth"), "url", "left")
+        .join(down_from, "domain", "left")
+        .select(F.col("url").alias("dst"), "allowed", closing.alias("closing"))
     )
+    out = table.leaving(sources.select("url", F.col("depth").alias("src_depth")))
+    open_still = F.coalesce(F.col("closing") > F.col("src_depth"), F.lit(True))
     return (
-        out.join(reached, "dst", "left")
-        .join(down_from, "domain", "left")
+        out.join(targets, "dst")
         .groupBy(F.col("src").alias("url"))
         .agg(
             F.count("*").alias("links_found"),
-            F.count_if(accepted).alias("links_enqueued"),
+            F.count_if(F.col("allowed") & open_still).alias("links_enqueued"),
         )
     )
-
-
-__all__ = ["Crawl", "LinkTable", "bfs_depths", "crawl", "crawl_order"]

@@ -54,3 +54,36 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and drop its lineage; hash partitioning and order are kept."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def store(df: DataFrame, *keys: str) -> DataFrame:
+    """Write ``df`` once as a table bucketed by ``keys`` in the shared folder and read it back.
+
+    Later joins and group-bys on exactly ``keys`` use it without shuffling it again. The catalog
+    entry is dropped at once (the files stay), so nothing is left behind in a shared metastore.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"linkloom_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *keys)
+        .write.format("parquet")
+        .option("path", fresh_path(spark, "stored"))
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+# From this many rows on, bucketing a result pays for writing it twice.
+STORE_ROWS = 1_000_000
+
+
+def settle(df: DataFrame, *keys: str) -> tuple[DataFrame, int]:
+    """Materialise ``df`` and count it; a large result is bucketed by ``keys`` as well."""
+    kept = cut(df)
+    n = kept.count()
+    return (store(kept, *keys) if n >= STORE_ROWS else kept), n

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import urls as U
 from linkloom.operators.links import distinct_in_order, plain_hrefs
 from linkloom.operators.ordering import running_domain_counts
+from linkloom.session import cut
 from linkloom.sources.pages import enough_tasks
 from linkloom.streaming.live import read_stream
 
@@ -98,13 +99,24 @@ def log_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
     )
 
 
+def facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Page attributes, kept: a join would otherwise work them out again for every event."""
+    return cut(page_facts(pages(spark, sf)))
+
+
 def crawl_log(spark: SparkSession, sf: str) -> DataFrame:
-    return log_from(events(spark, sf), page_facts(pages(spark, sf)), n_pages(spark, sf))
+    """The log for queries that read it once."""
+    return log_from(events(spark, sf), facts(spark, sf), n_pages(spark, sf))
+
+
+def stored_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log for queries that read it several times."""
+    return cut(crawl_log(spark, sf))
 
 
 def raw_log(spark: SparkSession, sf: str) -> DataFrame:
     """Log lines with damaged rows, headers, empty lines and STAT lines: ``log, ord, line``."""
-    rows = crawl_log(spark, sf)
+    rows = stored_log(spark, sf)
     s = F.col("seq")
     rule = (
         F.when(s % 97 == 0, 97).when(s % 101 == 0, 101).when(s % 103 == 0, 103)
@@ -161,7 +173,7 @@ def raw_log(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("x.k") < 0, -1).otherwise(F.col("last") + F.col("x.k")).cast("bigint").alias("ord"),
         F.col("x.line").alias("line"),
     )
-    return body.unionByName(marks)
+    return cut(body.unionByName(marks))
 
 
 def url_variants(spark: SparkSession, sf: str, with_suffix: bool = False) -> DataFrame:
@@ -183,7 +195,7 @@ def url_variants(spark: SparkSession, sf: str, with_suffix: bool = False) -> Dat
         .when(k == 7, F.concat(plain, F.lit(".JPG")))
         .otherwise(plain)
     )
-    return pages(spark, sf).select("page_id", raw.alias("raw"))
+    return cut(pages(spark, sf).select("page_id", raw.alias("raw")))
 
 
 def href_variants(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +322,7 @@ def robots_for(hosts: DataFrame) -> DataFrame:
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate URLs, half of them without a page: ``event_id, url, ct, depth, domain, superdomain``."""
     e = F.col("event_id")
-    facts = pages(spark, sf).select("page_id", U.canonical_url(F.col("url")).alias("known"))
+    known = facts(spark, sf).select("page_id", F.col("url").alias("known"))
     url = F.coalesce(
         "known", F.concat(F.lit("https://missing.example.com/"), F.col("page_id").cast("string"))
     )
@@ -322,7 +334,7 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("")
     )
     return (
-        picked.join(facts, "page_id", "left")
+        picked.join(known, "page_id", "left")
         .select(
             "event_id",
             url.alias("url"),
@@ -377,10 +389,10 @@ def graph_robots(spark: SparkSession, sf: str) -> DataFrame:
 
 def counted_log(spark: SparkSession, sf: str, block: int) -> DataFrame:
     """Crawl-log rows with their running domain and superdomain counts."""
-    return running_domain_counts(crawl_log(spark, sf), "seq", block)
+    return running_domain_counts(stored_log(spark, sf), "seq", block)
 
 
 def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The crawl log as a stream of events against the static page facts."""
     n = F.lit(pages(spark, sf).count())
-    return log_from(read_stream(spark, sf, "events.parquet"), page_facts(pages(spark, sf)), n)
+    return log_from(read_stream(spark, sf, "events.parquet"), facts(spark, sf), n)

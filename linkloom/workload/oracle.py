@@ -200,12 +200,12 @@ _CTE = {
     "fails": f"""SELECT domain, count(*) FILTER ({_FAIL}) AS failures FROM log GROUP BY domain""",
     "counts": "SELECT domain, superdomain, count(*) AS n FROM log GROUP BY domain, superdomain",
     "supers": "SELECT superdomain, sum(n) AS n FROM counts GROUP BY superdomain",
-    "targets": """SELECT page_id AS a, list_filter([
-          CASE WHEN page_id % 4 <> 3 AND page_id + 1 < (SELECT n FROM n) THEN page_id + 1 END,
-          (3 * page_id + 7) % (SELECT n FROM n),
-          CASE WHEN page_id % 5 = 0 THEN (page_id * page_id + 1) % (SELECT n FROM n) END],
-          x -> x IS NOT NULL) AS t FROM pages""",
-    "links_of": "SELECT a, unnest(t) AS b, generate_subscripts(t, 1) - 1 AS pos FROM targets",
+    "targets": """SELECT page_id AS a, 1 AS k, page_id + 1 AS b FROM pages
+          WHERE page_id % 4 <> 3 AND page_id + 1 < (SELECT n FROM n)
+        UNION ALL SELECT page_id, 2, (3 * page_id + 7) % (SELECT n FROM n) FROM pages
+        UNION ALL SELECT page_id, 3, (page_id * page_id + 1) % (SELECT n FROM n) FROM pages
+          WHERE page_id % 5 = 0""",
+    "links_of": "SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY k) - 1 AS pos FROM targets",
     "edges": f"""SELECT a, b, pos, {_NODE.format("a")} AS src, {_NODE.format("b")} AS dst FROM links_of""",
     "first_links": "SELECT DISTINCT dst AS url FROM edges WHERE pos = 0",
     "queue": """SELECT dst AS url, (a % 5) - (a % 7) * CAST(0.001 AS DOUBLE) AS priority,

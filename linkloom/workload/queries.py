@@ -17,7 +17,7 @@ from linkloom.operators import report as R
 from linkloom.operators import robots as RB
 from linkloom.plans import report as PR
 from linkloom.plans import traverse as T
-from linkloom.session import fresh_path, tune
+from linkloom.session import cut, fresh_path, tune
 from linkloom.sources import crawl_log as L
 from linkloom.sources import pages as P
 from linkloom.sources import seeds as S
@@ -307,7 +307,7 @@ def skip_domains(spark, sf):
 @query
 def domain_backoff(spark, sf):
     """Candidates left at two failure limits; the failures of all domains are counted once."""
-    rows, cands = D.crawl_log(spark, sf), D.candidates(spark, sf)
+    rows, cands = D.stored_log(spark, sf), cut(D.candidates(spark, sf))
     parts = [
         fr.not_failing(cands, fr.failing_domains(rows, limit)).select(
             F.lit(limit).cast("bigint").alias("threshold"), "event_id", "domain"
@@ -337,7 +337,7 @@ def seen_urls(spark, sf):
 @query
 def parse_eligible(spark, sf):
     known = D.pages(spark, sf).withColumn("url", U.canonical_url(F.col("url")))
-    cands = D.candidates(spark, sf)
+    cands = cut(D.candidates(spark, sf))
     hits = P.lookup(cands.select("event_id", "url", "depth"), P.snapshot(known)).drop("ct")
     rows = hits.join(cands.select("event_id", "ct"), "event_id")
     ok = fr.parse_eligible(F.col("status"), F.col("ct"), F.col("depth"), F.col("bytes"))
@@ -354,7 +354,7 @@ def attach_counts(spark, sf):
 
 @query
 def novelty_priority(spark, sf):
-    rows = D.crawl_log(spark, sf)
+    rows = D.stored_log(spark, sf)
     counts = rows.groupBy("domain", "superdomain").agg(F.count("*").alias("n"))
     ranked = fr.with_priority(fr.attach_counts(rows.drop("priority"), counts))
     return ranked.select("seq", F.round("priority", 9).alias("priority"))
@@ -447,7 +447,7 @@ def stat_overlay(spark, sf):
 
 
 def _overlaid(spark, sf):
-    rows = D.crawl_log(spark, sf)
+    rows = D.stored_log(spark, sf)
     return rows, L.stat_rows(R.crawl_stats(rows))
 
 
@@ -543,13 +543,13 @@ def fmt_bytes(spark, sf):
 
 @query
 def running_domain_counts(spark, sf):
-    out = O.running_domain_counts(D.crawl_log(spark, sf), "seq", BLOCK)
+    out = O.running_domain_counts(D.stored_log(spark, sf), "seq", BLOCK)
     return out.select("log", "seq", "domain", "domain_count", "superdomain", "super_count")
 
 
 @query
 def running_backoff(spark, sf):
-    rows = D.crawl_log(spark, sf)
+    rows = D.stored_log(spark, sf)
     out = O.running_backoff(rows, M.is_backoff_status(F.col("status")), block=BLOCK)
     return out.select("log", "seq", "domain", "earlier_failures", "blocked")
 
