@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.functions import plain_html as H
 from linkloom.functions import urls as U
 from linkloom.functions.bodies import MAX_HTML_BYTES, capped, decode_lenient, is_truncated
 
@@ -126,10 +127,21 @@ def with_links(
     # Declared nondeterministic so that the optimizer keeps one copy: it would otherwise repeat the
     # parse in the filter it derives from the explode.
     parse = F.pandas_udf(batch, schema).asNondeterministic()
-    parsed = parse(page_text(F.col(body), cap), F.col(url))
+    base = F.col(url)
+    read = pages.withColumn("_text", page_text(F.col(body), cap))
+    read = read.withColumn("_found", H.constructs(F.col("_text")))
+    read = read.withColumn("_hrefs", H.written_hrefs(F.col("_found")))
+    plain = H.is_plain(F.col("_text"), base, F.col("_found"), F.col("_hrefs"))
+    read = read.withColumn("_plain", plain).drop("_found")
+    parsed = read.withColumn("_parsed", parse(F.when(~F.col("_plain"), F.col("_text")), base))
+    easy = F.when(F.col("_plain"), H.plain_links(base, F.col("_hrefs")))
     if mode != "auto":
-        return pages.withColumn("links", parsed)
-    return pages.withColumn("_parsed", parsed).select("*", "_parsed.*").drop("_parsed")
+        return parsed.select(*pages.columns, F.coalesce(easy, "_parsed").alias("links"))
+    return parsed.select(
+        *pages.columns,
+        F.coalesce(easy, "_parsed.links").alias("links"),
+        F.when(F.col("_plain"), "robust").otherwise(F.col("_parsed.parser_used")).alias("parser_used"),
+    )
 
 
 def extract_links(
@@ -143,9 +155,17 @@ def extract_links(
     """One row per link: ``key``, ``pos`` (from 0, page order) and ``dst``; ``auto`` adds its parser."""
     parsed = with_links(pages.select(key, url, body), mode, url, body, cap)
     extra = ["parser_used"] if mode == "auto" else []
-    return parsed.select(key, *extra, F.posexplode("links").alias("pos", "dst")).withColumn(
-        "pos", F.col("pos").cast("bigint")
-    )
+    return listed(parsed, [key, *extra], "dst").withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def listed(parsed: DataFrame, keep: list[str | Column], name: str) -> DataFrame:
+    """One row per link with its position.
+
+    The outer form plus a filter, because the plain form derives a filter that computes the links
+    again.
+    """
+    rows = parsed.select(*keep, F.posexplode_outer("links").alias("pos", name))
+    return rows.filter(F.col("pos").isNotNull())
 
 
 # Anchors whose first attribute is a double-quoted href: enough for machine-written pages.
@@ -177,11 +197,8 @@ def link_edges(
     """
     keep = [depth] if depth else []
     parsed = with_links(pages.select(url, body, *keep), mode, url, body, cap)
-    out = parsed.select(
-        U.canonical_url(F.col(url)).alias("src"),
-        *([(F.col(depth) + 1).alias("depth")] if depth else []),
-        F.posexplode("links").alias("pos", "link"),
-    )
+    ends = [U.canonical_url(F.col(url)).alias("src")]
+    out = listed(parsed, ends + ([(F.col(depth) + 1).alias("depth")] if depth else []), "link")
     return out.withColumn("dst", U.canonical_url(F.col("link"))).drop("link")
 
 

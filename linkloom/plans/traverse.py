@@ -18,7 +18,7 @@ from linkloom.functions import urls as U
 from linkloom.functions.bodies import MAX_HTML_BYTES, is_truncated
 from linkloom.functions.metrics import is_backoff_status, is_html, novelty_priority
 from linkloom.operators import frontier as fr
-from linkloom.operators.links import with_links
+from linkloom.operators.links import listed, with_links
 from linkloom.operators.ordering import BLOCK, numbered, running_domain_counts
 from linkloom.operators.robots import decision, host_policies
 from linkloom.session import STORE_ROWS, cut, settle, store
@@ -179,11 +179,8 @@ def _page_edges(pages: DataFrame, facts: DataFrame, mode: str, cap: int) -> Data
     """Edges of every page a crawl could parse, found in one pass over the bodies."""
     body = F.octet_length("html") > 0
     good = pages.filter((F.col("status") == 200) & is_html(F.col("ct")) & body)
-    linked = with_links(good.select("page_id", "url", "html"), mode, cap=cap).select(
-        "page_id",
-        U.canonical_url(F.col("url")).alias("src"),
-        F.posexplode("links").alias("pos", "link"),
-    )
+    parsed = with_links(good.select("page_id", "url", "html"), mode, cap=cap)
+    linked = listed(parsed, ["page_id", U.canonical_url(F.col("url")).alias("src")], "link")
     first = facts.select(F.col("url").alias("src"), F.col("page.page_id").alias("page_id"))
     return linked.join(first, ["src", "page_id"], "left_semi").select(
         "src", "pos", U.canonical_url(F.col("link")).alias("dst")

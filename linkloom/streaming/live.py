@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from linkloom.functions.metrics import at_least_zero, is_backoff_status
 from linkloom.operators.frontier import BACKOFF_FAILURES
-from linkloom.operators.links import with_links
+from linkloom.operators.links import listed, with_links
 from linkloom.session import fresh_path
 
 
@@ -105,5 +105,5 @@ def live_domains(rows: DataFrame, threshold: int = BACKOFF_FAILURES) -> DataFram
 def live_links(pages: DataFrame, mode: str = "fast", key: str = "page_id") -> DataFrame:
     """Links of each page as it arrives: ``key, pos, dst``."""
     parsed = with_links(pages.select(key, "url", "html"), mode)
-    links = parsed.select(key, F.posexplode("links").alias("pos", "dst"))
+    links = listed(parsed, [key], "dst")
     return _to_parquet(links.withColumn("pos", F.col("pos").cast("bigint")), "live-links")
