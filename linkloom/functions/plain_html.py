@@ -34,6 +34,8 @@ _CONSTRUCTS = (
     rf"({_TEXT_ONLY}){_ATTRS}{_WS}*+>[^<]*+</\2>",
     r"!--(?!-?>)(?>.*?--)>",
     r"!doctype[^<>]*+>",
+    # A page cut off inside its last tag: no parser takes that for a link.
+    r"[^<>]*+\z",
 )
 SCAN = "(?is)<(?:" + "|".join(_CONSTRUCTS) + ")"
 _ANCHOR = "(?is)^<" + _CONSTRUCTS[0]
@@ -60,7 +62,7 @@ def constructs(text: Column) -> Column:
 
 def written_hrefs(found: Column) -> Column:
     """hrefs among the constructs in page order, quotes off and ``&amp;`` decoded."""
-    anchors = F.filter(found, lambda c: c.rlike(r"^<[aA][ \t\n\r\f]"))
+    anchors = F.filter(found, lambda c: c.startswith("<a") | c.startswith("<A"))
     hrefs = F.transform(anchors, lambda c: F.regexp_extract(c, _ANCHOR, 1))
     bare = F.transform(
         F.filter(hrefs, lambda h: h != ""),

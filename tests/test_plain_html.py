@@ -44,7 +44,10 @@ def documents(n, seed):
             parts = [
                 f'<a href="{rng.choice(calm)}">' if rng.random() < 0.5 else rng.choice(pool) for _ in range(8)
             ]
-        yield i, rng.choice(BASES[:3] if i % 2 == 0 else BASES), "".join(parts)
+        text = "".join(parts)
+        if i % 3 == 0:
+            text = text[: rng.randint(0, len(text))]
+        yield i, rng.choice(BASES[:3] if i % 2 == 0 else BASES), text
 
 
 def test_plain_pages_give_the_parsers_links(spark):
