@@ -33,9 +33,19 @@ def _answered(status: Column) -> Column:
     return (status >= 200) & (status < 300)
 
 
+def one_answer(robots: DataFrame) -> DataFrame:
+    """One robots answer per host: the least status, so a good answer goes before a failed one.
+
+    Copies shrink to one row per task before the shuffle, and the later steps, all by host, reuse
+    this partitioning.
+    """
+    answer = F.min(F.struct("status", "body")).alias("answer")
+    return robots.groupBy("host").agg(answer).select("host", "answer.status", "answer.body")
+
+
 def _group_rows(robots: DataFrame) -> DataFrame:
     """(agent, member) pairs of every group that counts; ``allow`` is NULL for a non-path member."""
-    lines = robots.filter(_answered(F.col("status"))).select(
+    lines = one_answer(robots).filter(_answered(F.col("status"))).select(
         "host", F.posexplode(F.split("body", _LINE_END, -1)).alias("line_no", "raw")
     )
     text = _strip(F.regexp_replace("raw", r"(?s)#.*\z", ""))
@@ -124,7 +134,8 @@ def host_policies(robots: DataFrame, user_agent: str, on_unreachable: str = "den
         .when((status >= 400) & (status < 500), False)
         .otherwise(on_unreachable == "deny")
     )
-    return robots.select("host", verdict.alias("deny_all")).join(chosen, "host", "left")
+    hosts = one_answer(robots).select("host", verdict.alias("deny_all"))
+    return hosts.join(chosen, "host", "left")
 
 
 def decision(url: Column, deny_all: Column, rules: Column) -> Column:

@@ -7,21 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive settings the plans in this package count on: hot join keys are split at run time, and a
-# side is broadcast only when its measured size is under the threshold.
-ADAPTIVE = {
+# Settings the plans in this package count on: hot join keys are split at run time, and a side is
+# broadcast only when its measured size is under the threshold.
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Streaming state on disk: visited URLs and domains outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings to a running session; cluster sizing stays with the caller."""
-    for key, value in ADAPTIVE.items():
+    """Apply the settings above to a running session; cluster sizing stays with the caller."""
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 

@@ -86,3 +86,12 @@ def test_one_row_per_url(spark):
     )
     df = spark.range(20).select(F.lit("h").alias("domain"), F.lit("http://h/x").alias("url"))
     assert R.robots_filter(df, robots, AGENT).count() == 20
+
+
+def test_copies_of_an_answer_count_once(spark):
+    rows = [("h", 503, None)] + [("h", 200, "User-agent: *\nDisallow: /x\nAllow: /")] * 30
+    robots = spark.createDataFrame(rows, "host string, status int, body string")
+    assert R.robots_rules(robots).count() == 2
+    df = spark.createDataFrame([("h", "http://h/x"), ("h", "http://h/y")], "domain string, url string")
+    got = {r.url: r.allowed for r in R.robots_filter(df, robots, AGENT).collect()}
+    assert got == {"http://h/x": False, "http://h/y": True}
