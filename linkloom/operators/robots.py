@@ -75,18 +75,21 @@ def _group_rows(robots: DataFrame) -> DataFrame:
         F.sum(opens.cast("bigint")).over(so_far).alias("group_ord"),
         F.last(open_now, ignorenulls=True).over(so_far).alias("_open"),
     )
-    agents = grouped.filter(F.col("kind") == "agent").select(
-        "host", "group_ord", F.lower("value").alias("agent")
-    )
+    in_group = Window.partitionBy("host", "group_ord")
+    named = F.collect_set(F.when(F.col("kind") == "agent", F.lower("value"))).over(in_group)
     path_rule = F.col("field").isin("allow", "disallow")
-    members = grouped.filter((F.col("kind") == "member") & F.col("_open")).select(
-        "host",
-        "group_ord",
-        F.col("line_no").alias("rule_ord"),
-        F.when(path_rule, (F.col("field") == "allow") | (F.col("value") == "")).alias("allow"),
-        F.when(path_rule, _no_empty_query(F.col("value"))).alias("prefix"),
+    return (
+        grouped.withColumn("_agents", named)
+        .filter((F.col("kind") == "member") & F.col("_open"))
+        .select(
+            "host",
+            "group_ord",
+            F.explode("_agents").alias("agent"),
+            F.col("line_no").alias("rule_ord"),
+            F.when(path_rule, (F.col("field") == "allow") | (F.col("value") == "")).alias("allow"),
+            F.when(path_rule, _no_empty_query(F.col("value"))).alias("prefix"),
+        )
     )
-    return agents.join(members, ["host", "group_ord"])
 
 
 def robots_rules(robots: DataFrame) -> DataFrame:
