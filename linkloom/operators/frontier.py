@@ -17,6 +17,7 @@ from linkloom.functions.metrics import (
     novelty_priority,
 )
 from linkloom.operators.ordering import numbered
+from linkloom.session import own_side
 
 # Crawl limits and the failure count that blocks a domain.
 MAX_PAGES = 5000
@@ -26,7 +27,7 @@ BACKOFF_FAILURES = 5
 
 def not_skipped(candidates: DataFrame, skip: DataFrame, domain: str = "domain") -> DataFrame:
     """Candidates whose host is not on the skip list (exact host)."""
-    return candidates.join(skip.select(domain).distinct(), domain, "left_anti")
+    return candidates.join(own_side(skip.select(domain).distinct()), domain, "left_anti")
 
 
 def failing_domains(
@@ -40,7 +41,7 @@ def failing_domains(
 
 
 def not_failing(candidates: DataFrame, failing: DataFrame, domain: str = "domain") -> DataFrame:
-    return candidates.join(failing.select(domain), domain, "left_anti")
+    return candidates.join(own_side(failing.select(domain)), domain, "left_anti")
 
 
 def unseen(candidates: DataFrame, visited: DataFrame, url: str = "url") -> DataFrame:
@@ -60,7 +61,7 @@ def mark_accepted(
     Needs a ``domain`` column, the host of ``url``.
     """
     seen_urls = visited.select(F.col("url").alias(url)).withColumn("_seen", F.lit(True))
-    down = failing.select("domain").withColumn("_down", F.lit(True))
+    down = own_side(failing.select("domain")).withColumn("_down", F.lit(True))
     return (
         edges.join(seen_urls, url, "left")
         .join(down, "domain", "left")
@@ -86,8 +87,8 @@ def attach_counts(candidates: DataFrame, counts: DataFrame) -> DataFrame:
 
     ``counts`` is ``domain, superdomain, n``; each row of it is one domain.
     """
-    by_super = counts.groupBy("superdomain").agg(F.sum("n").alias("super_seen"))
-    by_domain = counts.groupBy("domain").agg(F.sum("n").alias("domain_seen"))
+    by_super = own_side(counts.groupBy("superdomain").agg(F.sum("n").alias("super_seen")))
+    by_domain = own_side(counts.groupBy("domain").agg(F.sum("n").alias("domain_seen")))
     zero = F.lit(0).cast("bigint")
     return (
         candidates.join(by_domain, "domain", "left")

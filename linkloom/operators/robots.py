@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.session import own_side
+
 _LINE_END = r"\R|[\x1c-\x1e]"
 _EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -163,7 +165,7 @@ def robots_filter(
     One equi-join on the host, whose other side has one row per host.
     """
     policy = host_policies(robots, user_agent, on_unreachable).withColumnRenamed("host", domain)
-    joined = candidates.join(policy, domain, "left")
+    joined = candidates.join(own_side(policy), domain, "left")
     deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
     verdict = decision(F.col(url), deny_all, F.col("rules"))
     return joined.withColumn("allowed", (F.col(domain) != "") & verdict).drop("deny_all", "rules")

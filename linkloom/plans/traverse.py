@@ -21,7 +21,7 @@ from linkloom.operators import frontier as fr
 from linkloom.operators.links import listed, with_links
 from linkloom.operators.ordering import BLOCK, numbered, running_domain_counts
 from linkloom.operators.robots import decision, host_policies
-from linkloom.session import STORE_ROWS, cut, settle, store
+from linkloom.session import STORE_ROWS, cut, own_side, settle, store
 from linkloom.sources.pages import snapshot
 
 # A source with at least 1/HOT_SHARE of all edges, and this many of them, is split over tasks.
@@ -139,9 +139,9 @@ def crawl_order(
     domain = U.url_domain(F.col("url"))
     nodes = bfs_depths(edges, seeds, max_depth).withColumn("domain", domain)
     nodes = nodes.withColumn("superdomain", U.superdomain(F.col("domain")))
-    counted = nodes.join(seen_before_level(nodes, "domain", "domain_seen"), ["domain", "depth"]).join(
-        seen_before_level(nodes, "superdomain", "super_seen"), ["superdomain", "depth"]
-    )
+    by_domain = own_side(seen_before_level(nodes, "domain", "domain_seen"))
+    by_super = own_side(seen_before_level(nodes, "superdomain", "super_seen"))
+    counted = nodes.join(by_domain, ["domain", "depth"]).join(by_super, ["superdomain", "depth"])
     ranked = numbered(fr.with_priority(counted, **(weights or {})), ["priority", "depth", "url"])
     if max_pages is not None:
         ranked = ranked.filter(F.col("rank") <= max_pages)
@@ -301,11 +301,11 @@ def _nodes(
     allowed = ~U.has_disallowed_extension(F.col("url"))
     refused: Column = F.lit(False)
     if skip is not None:
-        listed = skip.select("domain").distinct().withColumn("_skip", F.lit(True))
+        listed = own_side(skip.select("domain").distinct()).withColumn("_skip", F.lit(True))
         out = out.join(listed, "domain", "left")
         allowed = allowed & F.col("_skip").isNull()
     if robots is not None:
-        policies = host_policies(robots, user_agent, on_unreachable)
+        policies = own_side(host_policies(robots, user_agent, on_unreachable))
         out = out.join(policies.withColumnRenamed("host", "domain"), "domain", "left")
         deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
         refused = ~((F.col("domain") != "") & decision(F.col("url"), deny_all, F.col("rules")))
@@ -327,11 +327,15 @@ def _nodes(
 
 def _with_state(out: DataFrame, before: DataFrame, backoff: int) -> DataFrame:
     """Add the counts of ``before`` to candidates; those of domains at the failure limit go."""
-    by_domain = before.groupBy("domain", "superdomain").agg(
-        F.count("*").alias("domain_seen"),
-        F.count_if(is_backoff_status(F.col("status"))).alias("failures"),
+    by_domain = own_side(
+        before.groupBy("domain", "superdomain").agg(
+            F.count("*").alias("domain_seen"),
+            F.count_if(is_backoff_status(F.col("status"))).alias("failures"),
+        )
+    )
+    by_super = own_side(
+        by_domain.groupBy("superdomain").agg(F.sum("domain_seen").alias("super_seen"))
     )
-    by_super = by_domain.groupBy("superdomain").agg(F.sum("domain_seen").alias("super_seen"))
     zero = F.lit(0).cast("bigint")
     return (
         out.join(by_domain.drop("superdomain"), "domain", "left")

@@ -60,6 +60,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def own_side(lookup: DataFrame) -> DataFrame:
+    """Materialise a table of one row per key before it is joined to many rows per key.
+
+    Adaptive execution splits the partition of a hot key only if both sides of the join come
+    straight from a shuffle of their own. An aggregate would share its shuffle with the join.
+    """
+    return cut(lookup)
+
+
 def store(df: DataFrame, *keys: str) -> DataFrame:
     """Write ``df`` once as a table bucketed by ``keys`` in the shared folder and read it back.
 

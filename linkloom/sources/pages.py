@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.metrics import HTML_PREFIX
+from linkloom.session import own_side
 
 
 def enough_tasks(df: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def lookup(candidates: DataFrame, pages: DataFrame, url: str = "url") -> DataFra
     first = pages.groupBy(url).agg(
         F.min_by(F.struct("status", "bytes", "ct", "elapsed_ms"), "page_id").alias("hit")
     )
-    return candidates.join(first, url, "left").select(
+    return candidates.join(own_side(first), url, "left").select(
         *candidates.columns,
         F.coalesce("hit.status", F.lit(0)).alias("status"),
         F.coalesce("hit.bytes", F.lit(0).cast("bigint")).alias("bytes"),
