@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,3 +86,9 @@ def _flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if data is None or size == 0:
         return np.zeros(0, np.uint8), offsets - offsets[0]
     return np.frombuffer(data, np.uint8, size, int(offsets[0])), offsets - offsets[0]
+
+
+def worker_cache() -> dict:
+    """What this Python worker keeps from task to task; shipped functions come with fresh globals."""
+    place = sys.modules.setdefault("_linkloom_worker", types.ModuleType("_linkloom_worker"))
+    return place.__dict__

@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
+from linkloom.llm.packing import op7_harmonic_packing
+from linkloom.llm.token_counts import op4_token_counts
 
-QUERIES = (op8_minhash_near_dedup,)
+QUERIES = (
+    op4_token_counts,
+    op7_harmonic_packing,
+    op8_minhash_near_dedup,
+)
 SQL: dict[str, str] = {}
 
 
