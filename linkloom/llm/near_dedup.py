@@ -22,8 +22,8 @@ from linkloom.llm.nodes import bundles, star_links
 from linkloom.llm.words import LOWER, mixed, shingle_sets, sketches, word_codes, word_spans
 
 SIZE = 64  # coordinates of a sketch
-TREES = 16
-LIMIT = 512  # texts of a node compared exhaustively
+TREES = 10
+LIMIT = 1024  # texts of a node compared exhaustively
 LEVELS = 24
 _U = np.uint64
 
