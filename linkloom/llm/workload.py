@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkloom.llm.exact_search import op10_exact_top_k
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
+from linkloom.llm.neighbours import op9_small_world_neighbours
 from linkloom.llm.packing import op7_harmonic_packing
 from linkloom.llm.token_counts import op4_token_counts
 
@@ -14,6 +16,8 @@ QUERIES = (
     op4_token_counts,
     op7_harmonic_packing,
     op8_minhash_near_dedup,
+    op9_small_world_neighbours,
+    op10_exact_top_k,
 )
 SQL: dict[str, str] = {}
 
