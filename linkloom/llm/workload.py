@@ -10,9 +10,11 @@ from linkloom.llm.exact_search import op10_exact_top_k
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
 from linkloom.llm.neighbours import op9_small_world_neighbours
 from linkloom.llm.packing import op7_harmonic_packing
+from linkloom.llm.quality import op3_quality_discriminant
 from linkloom.llm.token_counts import op4_token_counts
 
 QUERIES = (
+    op3_quality_discriminant,
     op4_token_counts,
     op7_harmonic_packing,
     op8_minhash_near_dedup,
