@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.exact_search import op10_exact_top_k
+from linkloom.llm.line_dedup import op5_fuzzy_line_dedup
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
 from linkloom.llm.neighbours import op9_small_world_neighbours
 from linkloom.llm.packing import op7_harmonic_packing
@@ -16,6 +17,7 @@ from linkloom.llm.token_counts import op4_token_counts
 QUERIES = (
     op3_quality_discriminant,
     op4_token_counts,
+    op5_fuzzy_line_dedup,
     op7_harmonic_packing,
     op8_minhash_near_dedup,
     op9_small_world_neighbours,
