@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkloom.llm import chat, mixing, sentence_spans
 from linkloom.llm.exact_search import op10_exact_top_k
 from linkloom.llm.line_dedup import op5_fuzzy_line_dedup
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
@@ -15,15 +16,22 @@ from linkloom.llm.quality import op3_quality_discriminant
 from linkloom.llm.token_counts import op4_token_counts
 
 QUERIES = (
+    mixing.op1_temperature_mixing,
+    chat.op2_reply_tree_chat,
     op3_quality_discriminant,
     op4_token_counts,
     op5_fuzzy_line_dedup,
+    sentence_spans.op6_sentence_spans,
     op7_harmonic_packing,
     op8_minhash_near_dedup,
     op9_small_world_neighbours,
     op10_exact_top_k,
 )
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_temperature_mixing": mixing.SQL,
+    "op2_reply_tree_chat": chat.SQL,
+    "op6_sentence_spans": sentence_spans.SQL,
+}
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
