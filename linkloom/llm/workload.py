@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from linkloom.llm import chat, mixing, sentence_spans
 from linkloom.llm.exact_search import op10_exact_top_k
 from linkloom.llm.line_dedup import op5_fuzzy_line_dedup
@@ -35,4 +36,4 @@ SQL: dict[str, str] = {
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in QUERIES}
+    return {fn.__name__: fn for fn in QUERIES} | {"pipeline": corpus_pipeline.run}
