@@ -7,6 +7,7 @@ are joined into components by distributed union-find. The first line of a compon
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,9 @@ from linkloom.llm.components import components
 from linkloom.llm.nodes import bundles, star_links
 from linkloom.llm.words import mixed, sketches
 
-SHINGLE = 5  # characters
-BANDS = 8
-ROWS = 3  # minwise values of a band: a pair at 0.8 shares one of the bands with chance 0.997
+SHINGLE = 8  # characters; a power of two
+BANDS = 10
+ROWS = 4  # minwise values of a band: a pair at 0.8 shares one of the bands with chance 0.995
 LIMIT = 1024  # lines compared exhaustively at once
 _U = np.uint64
 _STEP = np.random.default_rng(41).integers(1, 2**63, 64, dtype=np.int64).astype(_U) | _U(1)
@@ -55,22 +56,32 @@ def _lines(letters: np.ndarray, offsets: np.ndarray):
 def line_sets(
     letters: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int = SHINGLE
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of each line, with repeats, and their offsets; a shorter line is one shingle."""
-    if len(letters) == 0:
-        return np.zeros(0, _U), np.zeros(len(starts) + 1, np.int64)
-    padded = np.r_[letters, np.zeros(width, np.uint32)].astype(_U)
-    runs = np.zeros(len(letters), _U)
-    for k in range(width):
-        runs += (padded[k : k + len(letters)] + _U(1)) * _STEP[k]
-    runs = mixed(runs)
+    """Shingles of each line in order, with repeats, and their offsets; a shorter line is one shingle.
+
+    Lines follow each other without overlap. A code of twice the width is made of two neighbours.
+    """
     sizes = ends - starts
     counts = np.where(sizes >= width, sizes - width + 1, (sizes > 0).astype(np.int64))
     offsets = np.r_[0, np.cumsum(counts)]
-    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], counts)
-    flat = runs[place + np.repeat(starts, counts)]
-    for i in np.flatnonzero((sizes > 0) & (sizes < width)):
+    if len(letters) == 0:
+        return np.zeros(0, _U), offsets
+    padded = np.r_[letters, np.zeros(width, np.uint32)].astype(_U) + _U(1)
+    reach, step = 1, 0
+    while reach < width:
+        padded[:-reach] = padded[:-reach] * _STEP[step] + padded[reach:]
+        reach, step = reach * 2, step + 1
+    runs = mixed(padded[: len(letters)])
+    chosen = np.zeros(len(letters) + 1, np.int8)
+    long = sizes >= width
+    np.add.at(chosen, starts[long], 1)
+    np.add.at(chosen, ends[long] - width + 1, -1)
+    short = np.flatnonzero((sizes > 0) & ~long)
+    chosen = np.cumsum(chosen[:-1], dtype=np.int8).astype(bool)
+    chosen[starts[short]] = True
+    flat = runs[chosen]
+    for i in short:
         own = letters[starts[i] : ends[i]].astype(_U) + _U(1)
-        flat[offsets[i]] = mixed(np.array([(own * _STEP[: len(own)]).sum() + _U(len(own))], _U))[0]
+        flat[offsets[i]] = mixed(np.array([(own * _STEP[20 : 20 + len(own)]).sum() + _U(len(own))], _U))[0]
     return flat, offsets
 
 
@@ -92,8 +103,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 continue
             # A shingle's place takes part, so the keys tell apart lines with equal sets.
             place = (np.arange(len(flat)) - np.repeat(at[:-1], np.diff(at))).astype(_U)
-            key_a = np.add.reduceat(mixed(flat + place * _STEP[8]), at[:-1])
-            key_b = np.add.reduceat(mixed(flat ^ (place * _STEP[9] + _U(7))), at[:-1])
+            codes = mixed(flat + place * _STEP[8])
+            key_a = np.add.reduceat(codes, at[:-1])
+            key_b = np.add.reduceat((codes ^ (codes >> _U(32))) * _STEP[9], at[:-1])
             marks = sketches(flat, at, BANDS * ROWS).astype(_U).reshape(-1, BANDS, ROWS)
             bands = mixed((marks * _STEP[10 : 10 + ROWS]).sum(axis=2, dtype=_U)).astype(np.uint32)
             rows = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int32).ravel()), BANDS)
@@ -113,9 +125,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _met(firsts: DataFrame, limit: int) -> DataFrame:
-    """Groups ``path, lid, doc_id, line_no`` of different lines that share a band, one of each kind."""
-    rows = firsts.select("lid", "doc_id", "line_no", F.posexplode("bands").alias("band", "value"))
-    rows = rows.select(F.xxhash64("band", "value").alias("path"), "lid", "doc_id", "line_no")
+    """Groups ``path, lid`` of different lines that share a band, one of each kind."""
+    rows = firsts.select("lid", F.posexplode("bands").alias("band", "value"))
+    rows = rows.select(F.xxhash64("band", "value").alias("path"), "lid")
     group = Window.partitionBy("path")
     met = saved(
         rows.withColumns(
@@ -127,7 +139,7 @@ def _met(firsts: DataFrame, limit: int) -> DataFrame:
         ).filter("n > 1")
     )
     once = met.groupBy("n", "in_a", "in_b").agg(F.min("path").alias("path")).select("path")
-    met = met.join(once, "path", "left_semi").select("path", "n", "lid", "doc_id", "line_no")
+    met = met.join(once, "path", "left_semi").select("path", "n", "lid")
     return met.filter(F.col("n") <= limit).drop("n").unionByName(_blocks(met.filter(F.col("n") > limit), limit))
 
 
@@ -139,12 +151,26 @@ def _blocks(large: DataFrame, limit: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("count") - 1))
     paired = dealt.withColumn("other", other).filter("count = 1 or at != other")
     block = F.xxhash64("path", F.least("at", "other"), F.greatest("at", "other"))
-    return paired.select(block.alias("path"), "lid", "doc_id", "line_no")
+    return paired.select(block.alias("path"), "lid")
 
 
-def _with_letters(met: DataFrame, docs: DataFrame) -> DataFrame:
-    """``path, lid, line`` of the rows of ``met``: every document is cut once for all its lines."""
-    per_line = met.groupBy("doc_id", "line_no", "lid").agg(F.collect_list("path").alias("paths"))
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, packed``: texts compressed for the shuffle that brings them to their lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(t.as_buffer(), 1) for t in batch.column("text")]
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"]
+            )
+
+    return texts(docs).mapInArrow(run, "doc_id long, packed binary")
+
+
+def _with_letters(met: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``path, lid, text`` of the rows of ``met``: every document is cut once for all its lines."""
+    per_line = met.groupBy("lid").agg(F.collect_list("path").alias("paths"))
+    per_line = per_line.join(firsts.select("lid", "doc_id", "line_no"), "lid")
     wanted = per_line.groupBy("doc_id").agg(
         F.collect_list(F.struct("line_no", "lid", "paths")).alias("wanted")
     )
@@ -152,8 +178,8 @@ def _with_letters(met: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for text, lines in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                own = text.split("\n")
+            for packed, lines in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
+                own = zlib.decompress(packed).decode().split("\n")
                 for line in lines:
                     if line["line_no"] < len(own):
                         out += ((p, line["lid"], own[line["line_no"]]) for p in line["paths"])
@@ -162,7 +188,7 @@ def _with_letters(met: DataFrame, docs: DataFrame) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 yield pa.record_batch(columns, names=["path", "lid", "text"])
 
-    joined = texts(docs).join(wanted, "doc_id").select("text", "wanted")
+    joined = _packed_texts(docs).join(wanted, "doc_id").select("packed", "wanted")
     return joined.mapInArrow(run, "path long, lid long, text string")
 
 
@@ -199,7 +225,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> Da
     """``doc_id, line_no, first_doc_id, first_line_no`` of every line that repeats an earlier one.
 
     Lines are numbered from 0 within ``docs(doc_id, text)`` and end at line feeds. Two are alike when
-    their sets of five-character shingles (A-Z in lower case; a shorter line is one shingle) have a
+    their sets of eight-character shingles (A-Z in lower case; a shorter line is one shingle) have a
     Jaccard similarity of ``percent``/100 or more; the first of a component, by ``doc_id`` and number,
     stays. Lines of blanks only always stay, as do rows with a null text. Rows without ``doc_id``
     or with one that is repeated take part by what their id and line number hold: equal lines at
@@ -212,7 +238,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> Da
         firsts.select("key_a", "key_b", "f.*").withColumn("lid", F.monotonically_increasing_id())
     )
     met = saved(_met(firsts, limit))
-    links = _confirmed(_with_letters(met, docs), percent)
+    links = _confirmed(_with_letters(met, firsts, docs), percent)
     whole = components(links).withColumnRenamed("id", "lid")
     members = firsts.select("lid", "key_a", "key_b", place.alias("own")).join(whole, "lid", "left")
     members = members.withColumn("component", F.coalesce("component", "lid"))
@@ -238,20 +264,23 @@ def without_lines(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     A text that loses all its lines goes with its row; texts that lose nothing stay as they are, null
     ones too. ``n_chars``, where it is a column, is counted anew for texts that change.
     """
-    gone = repeated.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    gone = gone.withColumnRenamed("doc_id", "_of")
-    joined = docs.join(gone, F.col("doc_id") == F.col("_of"), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    changed = F.col("_gone").isNotNull()
-    solid = F.exists("_kept", lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0)
-    out = joined.withColumn("_kept", F.when(changed, kept)).filter(~changed | solid)
-    text = F.when(changed, F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
+    gone = repeated.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    joined = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
+    own = F.col("row.text")
+    kept = F.filter(F.split(own, "\n", -1), lambda line, i: ~F.array_contains("gone", i))
+    changed = F.col("gone").isNotNull()
+    solid = F.exists("kept", lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0)
+    out = joined.withColumn("kept", F.when(changed, kept)).filter(~changed | solid)
+    new = {"text": F.array_join("kept", "\n")}
     if "n_chars" in docs.columns:
-        n = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(changed, n).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
+    return out.select(
+        *[
+            (F.when(changed, new[c]).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]).alias(c)
+            for c in docs.columns
+        ]
+    )
 
 
 def op5_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

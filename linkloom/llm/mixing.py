@@ -107,10 +107,10 @@ def weights(docs: DataFrame, target: Target) -> DataFrame:
     return out.withColumn("rest", F.col("quota") - F.col("passes") * F.col("n"))
 
 
-def _key(seed: str, turn: Column) -> Column:
+def _key(seed: str, turn: Column, doc: Column) -> Column:
     """Place of a document in the permutation of a pass."""
-    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return F.md5(F.concat_ws(":", F.lit(seed), turn.cast("string"), doc).cast("binary"))
+    name = F.coalesce(doc.cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.lit(seed), turn.cast("string"), name).cast("binary"))
 
 
 def cuts(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
@@ -123,7 +123,7 @@ def cuts(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     same = F.col("source").eqNullSafe(F.col("_source"))
     wanted = plan.filter("rest > 0").select(F.col("source").alias("_source"), "passes", "rest")
     last = docs.select("doc_id", "source", words.alias("tokens")).join(wanted, same).drop("_source")
-    last = last.withColumn("key", _key(seed, F.col("passes") + 1))
+    last = last.withColumn("key", _key(seed, F.col("passes") + 1, F.col("doc_id")))
     last = written(last.withColumn("range", F.substring("key", 1, PREFIX)), "last-pass")
     sums = last.groupBy("source", "passes", "rest", "range").agg(F.sum("tokens").alias("t"))
     upto = Window.partitionBy("source").orderBy("range")
@@ -148,26 +148,30 @@ def cuts(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame, target: Target) -> DataFrame:
-    """Rows of ``docs`` once for each pass they are drawn in, with ``_pass`` (from 1) and ``_key``, the
-    order within a source's pass.
+    """``row, pass, place_key``: each row of ``docs`` (a struct of all its columns) once for each pass it
+    is drawn in, from 1, and its order within that pass of its source.
 
-    ``docs`` has ``doc_id, source, text``; other columns are kept. A null source is a source; a null or
-    empty text has no tokens and is drawn in every whole pass. A document whose tokens would pass the
-    budget ends the cut pass. Repeated ids are drawn together. An empty table gives no rows. Texts
-    are not shuffled where the table of sources is small enough to be broadcast by its measured size.
+    ``docs`` has ``doc_id, source, text``. A null source is a source; a null or empty text has no tokens
+    and is drawn in every whole pass. A document whose tokens would pass the budget ends the cut pass.
+    Repeated ids are drawn together. An empty table gives no rows. Texts are not shuffled where the
+    table of sources is small enough to be broadcast by its measured size.
     """
-    plan = written(weights(docs, target), "weights")
-    edges = cuts(docs, plan, target.seed)
-    named = edges.select(F.col("source").alias("_edge_of"), "edge")
-    full = plan.join(named, plan["source"].eqNullSafe(named["_edge_of"]), "left")
-    full = written(full.select(F.col("source").alias("_source"), "passes", "edge"), "passes")
-    drawn = docs.join(full, docs["source"].eqNullSafe(full["_source"]))
+    known = docs.select("doc_id", "source", "text")
+    plan = written(weights(known, target), "weights")
+    edges = cuts(known, plan, target.seed)
+    named = edges.select(F.col("source").alias("of"), "edge")
+    full = plan.join(named, plan["source"].eqNullSafe(named["of"]), "left")
+    full = written(full.select(F.col("source").alias("of"), "passes", "edge"), "passes")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    drawn = rows.join(full, F.col("row.source").eqNullSafe(F.col("of")))
+    doc = F.col("row.doc_id")
     every = F.when(F.col("passes") > 0, F.sequence(F.lit(1), F.col("passes")))
-    extra = F.when(_key(target.seed, F.col("passes") + 1) <= F.col("edge"), F.array(F.col("passes") + 1))
+    last = F.col("passes") + 1
+    extra = F.when(_key(target.seed, last, doc) <= F.col("edge"), F.array(last))
     none = F.array().cast("array<int>")
     turns = F.concat(F.coalesce(every, none), F.coalesce(extra, none))
-    out = drawn.withColumn("_pass", F.explode(turns)).withColumn("_key", _key(target.seed, F.col("_pass")))
-    return out.select(*docs.columns, "_pass", "_key")
+    out = drawn.select("row", F.explode(turns).alias("pass"))
+    return out.withColumn("place_key", _key(target.seed, F.col("pass"), doc))
 
 
 #: The registered query: weights at least 0.97 of even, no source more than twice as often as another.
@@ -177,8 +181,7 @@ MIX = Target(entropy=0.97, repeats=2.5)
 def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws of all documents: ``doc_id, source, pass, place_key``."""
     docs = table(ready(spark), sf_dir, "documents").select("doc_id", "source", "text")
-    drawn = mixed(docs, MIX)
-    return drawn.select("doc_id", "source", F.col("_pass").alias("pass"), F.col("_key").alias("place_key"))
+    return mixed(docs, MIX).select("row.doc_id", "row.source", "pass", "place_key")
 
 
 def _at(power: str) -> tuple[str, str, str]:

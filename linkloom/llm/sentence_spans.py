@@ -110,12 +110,15 @@ def without_sentences(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
     Rows stay even where nothing of the text does; texts that lose nothing stay as they are.
     """
-    gone = repeated.groupBy("doc_id").agg(F.collect_set("sentence_no").alias("_gone"))
-    gone = gone.withColumnRenamed("doc_id", "_of")
-    joined = docs.join(gone, F.col("doc_id") == F.col("_of"), "left")
-    kept = F.filter(pieces(F.col("text")), lambda s, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNotNull(), F.array_join(kept, "")).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    gone = repeated.groupBy("doc_id").agg(F.collect_set("sentence_no").alias("gone"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    joined = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
+    own = F.col("row.text")
+    kept = F.filter(pieces(own), lambda s, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNotNull(), F.array_join(kept, "")).otherwise(own)
+    return joined.select(
+        *[(text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
+    )
 
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
