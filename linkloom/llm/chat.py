@@ -38,34 +38,34 @@ def _plain_role(role: Column) -> Column:
     return F.regexp_replace(role, r"([<\[|])\\", "$1")
 
 
-def _doubled(parents: DataFrame) -> list[DataFrame]:
-    """``id, up``: ancestors 1, 2, 4, ... steps up, until nobody has one so far up."""
+def _doubled(parents: DataFrame, messages: int) -> tuple[list[DataFrame], DataFrame]:
+    """``id, up``: ancestors 1, 2, 4, ... steps up, as long as somebody has one; and those who have one
+    as far up as there are messages, so that their way leads into a circle."""
     steps = [parents]
     while True:
         last = steps[-1]
-        further = saved(
-            last.join(last.select(F.col("id").alias("up"), F.col("up").alias("_up")), "up").select(
-                "id", F.col("_up").alias("up")
-            )
-        )
-        if further.isEmpty():
-            return steps
+        higher = last.select(F.col("id").alias("up"), F.col("up").alias("higher"))
+        further = saved(last.join(higher, "up").select("id", F.col("higher").alias("up")))
+        if further.isEmpty() or 2 ** len(steps) >= messages:
+            return steps, further.select("id")
         steps.append(further)
 
 
 def paths(messages: DataFrame) -> DataFrame:
     """``leaf, id, height`` of every message on every root-to-leaf path; ``height`` is steps above the leaf.
 
-    ``messages`` is ``id, parent``; a parent that is null or missing makes a root. Rows on a circle of
-    parents have no leaf and no path.
+    ``messages`` is ``id, parent``; a parent that is null or missing makes a root. A message whose
+    parents lead into a circle has no root and no path.
     """
-    known = messages.select("id").distinct()
+    known = saved(messages.select("id").distinct())
     up = messages.select("id", F.col("parent").alias("up")).filter("up is not null and up != id")
     up = saved(up.join(known.withColumnRenamed("id", "up"), "up", "left_semi").select("id", "up").distinct())
-    leaves = known.join(up.select(F.col("up").alias("id")), "id", "left_anti")
+    steps, circling = _doubled(up, known.count())
+    leaves = known.join(up.select(F.col("up").alias("id")), "id", "left_anti").join(circling, "id", "left_anti")
     out = leaves.select(F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("height"))
     # Heights are written in binary: every step is taken or not, largest first.
-    for k, step in reversed(list(enumerate(_doubled(up)))):
+    for k, step in reversed(list(enumerate(steps))):
+        out = saved(out)
         higher = out.join(step, "id").select("leaf", F.col("up").alias("id"), (F.col("height") + 2**k).alias("height"))
         out = out.unionByName(higher)
     return saved(out)
