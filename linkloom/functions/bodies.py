@@ -24,8 +24,10 @@ def capped(body: Column, cap: int = MAX_HTML_BYTES) -> Column:
     return F.substring(as_bytes(body), 1, cap)
 
 
-def is_truncated(body: Column, cap: int = MAX_HTML_BYTES) -> Column:
-    """True when the body reaches the cap, also when it is exactly that long."""
+def is_truncated(body: Column, cap: int | None = MAX_HTML_BYTES) -> Column:
+    """True when the body reaches the cap, also when it is exactly that long; never without a cap."""
+    if cap is None:
+        return F.lit(False)
     return F.octet_length(as_bytes(body)) >= cap
 
 

@@ -73,6 +73,11 @@ def written_hrefs(found: Column) -> Column:
     )
 
 
+def as_written(hrefs: Column) -> Column:
+    """hrefs with their ampersands back."""
+    return F.transform(hrefs, lambda h: F.replace(h, F.lit(_AMP), F.lit("&")))
+
+
 def _brackets(text: Column) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("<"), F.lit("")))
 

@@ -19,8 +19,7 @@ from linkloom.functions.metrics import (
 from linkloom.operators.ordering import numbered
 from linkloom.session import own_side
 
-# Crawl limits and the failure count that blocks a domain.
-MAX_PAGES = 5000
+# The depth of a crawl and the failure count that blocks a domain.
 MAX_DEPTH = 10
 BACKOFF_FAILURES = 5
 
@@ -125,9 +124,7 @@ def frontier_order(frontier: DataFrame, name: str = "rank") -> DataFrame:
     return numbered(frontier, ["priority", "depth", "seq"], name)
 
 
-def page_budget(
-    frontier: DataFrame, max_pages: int = MAX_PAGES, keys: list[str] | None = None
-) -> DataFrame:
+def page_budget(frontier: DataFrame, max_pages: int, keys: list[str] | None = None) -> DataFrame:
     """The first ``max_pages`` rows of the frontier, exactly, with their rank.
 
     The cut is made on the distributed numbering, so a budget of any size passes through no single

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import plain_html as H
 from linkloom.functions import urls as U
-from linkloom.functions.bodies import MAX_HTML_BYTES, capped, decode_lenient, is_truncated
+from linkloom.functions.bodies import capped, decode_lenient, is_truncated
 
 # Ship the page parser with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,59 +54,65 @@ def _targets(hrefs, base: str, accept) -> list[str]:
     return list(found)
 
 
-def _fast(text: str, base: str) -> list[str]:
-    page = _Anchors(pick=0, convert_charrefs=True)
-    page.feed(text)
-    return _targets(page.hrefs, base, lambda u: u.startswith(("http://", "https://")))
-
+# What the page parser raises on markup it cannot read.
+PARSE_ERRORS = (AssertionError, ValueError, IndexError, RecursionError)
 
-def _robust(text: str, base: str) -> list[str]:
-    page = _Anchors(pick=-1, convert_charrefs=False)
-    page.feed(text)
-    page.close()
-    wanted = (h for h in page.hrefs if not h.strip().lower().startswith(_NO_PAGE))
-    return _targets(wanted, base, lambda u: urlsplit(u).scheme in ("http", "https"))
 
-
-def _auto(text: str, base: str) -> tuple[list[str], str]:
+def _fed(page: _Anchors, text: str, close: bool) -> bool:
+    """Feeds a page; True when the parser gave up on it. The hrefs met until then are kept."""
     try:
-        return _robust(text, base), "robust"
-    except Exception:
-        return _or_nothing(_fast, text, base), "fast"
+        page.feed(text)
+        if close:
+            page.close()
+    except PARSE_ERRORS:
+        return True
+    return False
 
 
-def _or_nothing(parse, text: str, base: str) -> list[str]:
-    """A page the parser gives up on has no links; it does not fail the job."""
-    try:
-        return parse(text, base)
-    except Exception:
-        return []
+def _fast(text: str, base: str) -> tuple[list[str], bool]:
+    page = _Anchors(pick=0, convert_charrefs=True)
+    broken = _fed(page, text, close=False)
+    return _targets(page.hrefs, base, lambda u: u.startswith(("http://", "https://"))), broken
 
 
-def _fast_batch(text: pd.Series, base: pd.Series) -> pd.Series:
-    return pd.Series([_or_nothing(_fast, t or "", b or "") for t, b in zip(text, base)])
+def _robust(text: str, base: str) -> tuple[list[str], bool]:
+    page = _Anchors(pick=-1, convert_charrefs=False)
+    broken = _fed(page, text, close=True)
+    wanted = (h for h in page.hrefs if not h.strip().lower().startswith(_NO_PAGE))
+    return _targets(wanted, base, lambda u: urlsplit(u).scheme in ("http", "https")), broken
+
 
+def _auto(text: str, base: str) -> tuple[list[str], bool, str]:
+    links, broken = _robust(text, base)
+    if not broken:
+        return links, False, "robust"
+    return *_fast(text, base), "fast"
 
-def _robust_batch(text: pd.Series, base: pd.Series) -> pd.Series:
-    return pd.Series([_or_nothing(_robust, t or "", b or "") for t, b in zip(text, base)])
 
+def _batch(parse, columns: list[str]):
+    def run(text: pd.Series, base: pd.Series) -> pd.DataFrame:
+        rows = [parse(t or "", b or "") for t, b in zip(text, base)]
+        return pd.DataFrame(rows, columns=columns)
 
-def _auto_batch(text: pd.Series, base: pd.Series) -> pd.DataFrame:
-    rows = [_auto(t or "", b or "") for t, b in zip(text, base)]
-    return pd.DataFrame(rows, columns=["links", "parser_used"])
+    # Pandas UDFs are told apart by their hints.
+    run.__annotations__ = {"text": pd.Series, "base": pd.Series, "return": pd.DataFrame}
+    return run
 
 
+_FOUND = "links array<string>, parse_error boolean"
 _BATCHES = {
-    "fast": (_fast_batch, "array<string>"),
-    "robust": (_robust_batch, "array<string>"),
-    "auto": (_auto_batch, "links array<string>, parser_used string"),
+    "fast": (_batch(_fast, ["links", "parse_error"]), _FOUND),
+    "robust": (_batch(_robust, ["links", "parse_error"]), _FOUND),
+    "auto": (_batch(_auto, ["links", "parse_error", "parser_used"]), f"{_FOUND}, parser_used string"),
 }
 
 
-def page_text(body: Column, cap: int = MAX_HTML_BYTES) -> Column:
-    """Text that is parsed: at most ``cap`` bytes of the body, undecodable bytes left out."""
+def page_text(body: Column, cap: int | None = None) -> Column:
+    """Text that is parsed: the body, or its first ``cap`` bytes, undecodable bytes left out."""
     text = body.cast("string")
     whole = F.when(F.is_valid_utf8(text), text).otherwise(decode_lenient(body))
+    if cap is None:
+        return whole
     return F.when(is_truncated(body, cap), decode_lenient(capped(body, cap))).otherwise(whole)
 
 
@@ -115,13 +121,16 @@ def with_links(
     mode: str = "fast",
     url: str = "url",
     body: str = "html",
-    cap: int = MAX_HTML_BYTES,
+    cap: int | None = None,
+    errors: bool = False,
 ) -> DataFrame:
     """Add ``links``: the distinct absolute web links of each page in first-seen order.
 
     ``mode`` is ``fast`` (first href attribute, literal http/https), ``robust`` (last href
     attribute, scheme test ignores case) or ``auto`` (robust, falling back to fast on a page the
-    robust parser rejects; adds ``parser_used``).
+    robust parser rejects; adds ``parser_used``). A page the parser gives up on keeps the links met
+    until then; ``errors`` adds ``parse_error``, true for such pages. Bodies are read whole unless
+    ``cap`` names a number of bytes.
     """
     batch, schema = _BATCHES[mode]
     # Declared nondeterministic so that the optimizer keeps one copy: it would otherwise repeat the
@@ -135,13 +144,13 @@ def with_links(
     read = read.withColumn("_plain", plain).drop("_found")
     parsed = read.withColumn("_parsed", parse(F.when(~F.col("_plain"), F.col("_text")), base))
     easy = F.when(F.col("_plain"), H.plain_links(base, F.col("_hrefs")))
-    if mode != "auto":
-        return parsed.select(*pages.columns, F.coalesce(easy, "_parsed").alias("links"))
-    return parsed.select(
-        *pages.columns,
-        F.coalesce(easy, "_parsed.links").alias("links"),
-        F.when(F.col("_plain"), "robust").otherwise(F.col("_parsed.parser_used")).alias("parser_used"),
-    )
+    out = [F.coalesce(easy, "_parsed.links").alias("links")]
+    if mode == "auto":
+        used = F.when(F.col("_plain"), "robust").otherwise(F.col("_parsed.parser_used"))
+        out.append(used.alias("parser_used"))
+    if errors:
+        out.append((~F.col("_plain") & F.col("_parsed.parse_error")).alias("parse_error"))
+    return parsed.select(*pages.columns, *out)
 
 
 def extract_links(
@@ -150,7 +159,7 @@ def extract_links(
     mode: str = "fast",
     url: str = "url",
     body: str = "html",
-    cap: int = MAX_HTML_BYTES,
+    cap: int | None = None,
 ) -> DataFrame:
     """One row per link: ``key``, ``pos`` (from 0, page order) and ``dst``; ``auto`` adds its parser."""
     parsed = with_links(pages.select(key, url, body), mode, url, body, cap)
@@ -168,13 +177,12 @@ def listed(parsed: DataFrame, keep: list[str | Column], name: str) -> DataFrame:
     return rows.filter(F.col("pos").isNotNull())
 
 
-# Anchors whose first attribute is a double-quoted href: enough for machine-written pages.
-PLAIN_ANCHOR = r'<a\s+href="([^"]*)"'
-
+def written_hrefs(html: Column) -> Column:
+    """hrefs of a page's anchors as written, in page order, by the scan of the extraction pass.
 
-def plain_hrefs(html: Column) -> Column:
-    """hrefs of plainly written anchors by regular expression, without leaving the JVM."""
-    return F.regexp_extract_all(html, F.lit(PLAIN_ANCHOR), 1)
+    Whatever the quotes, the case and the other attributes; anchors in comments and scripts are none.
+    """
+    return H.as_written(H.written_hrefs(H.constructs(html)))
 
 
 def distinct_in_order(links: Column) -> Column:
@@ -187,7 +195,7 @@ def link_edges(
     mode: str = "fast",
     url: str = "url",
     body: str = "html",
-    cap: int = MAX_HTML_BYTES,
+    cap: int | None = None,
     depth: str | None = None,
 ) -> DataFrame:
     """Edge table ``src, pos, dst`` with canonical ends; ``depth`` names a column to carry plus one.

@@ -47,8 +47,11 @@ def running_totals(
     local = ranged.withColumns(
         {f"_in_{m}": F.coalesce(F.sum(measures[m]).over(inside), F.lit(0)) for m in names}
     )
-    # Null-safe groups are not needed: crawl logs write a missing host as an empty string.
-    joined = local.join(before, [*group, "_block"])
+    # Rows without a group value are a group of their own; the plain key lets hot groups be split.
+    keys = [*group, "_block"]
+    named = before.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [local[k].eqNullSafe(named[f"_of_{k}"]) for k in keys]
+    joined = local.join(named, same)
     return joined.select(
         *rows.columns,
         *[(F.col(f"_in_{m}") + F.col(f"_before_{m}")).cast("bigint").alias(m) for m in names],

@@ -87,13 +87,16 @@ def stat_overlay(rows: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def success(overlaid: DataFrame) -> DataFrame:
-    """Success and failure counts; the total is the STAT page count, or the row count if that is 0."""
+def success(overlaid: DataFrame, keep: tuple[str, ...] | list[str] = ("log",)) -> DataFrame:
+    """Success and failure counts; the total is the STAT page count, or the row count if that is 0.
+
+    ``keep`` names columns of the overlay to have beside.
+    """
     total = F.when(F.col("pages_crawled") != 0, F.col("pages_crawled")).otherwise(
         F.col("row_pages")
     )
     return overlaid.select(
-        "log",
+        *[c for c in keep if c not in ("pages", "total_success")],
         total.alias("pages"),
         "total_success",
         at_least_zero(total - F.col("total_success")).alias("total_failure"),
@@ -202,23 +205,23 @@ def discovery(rows: DataFrame) -> DataFrame:
 
 def run_summary(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """One row of eleven figures per log: STAT values first, rates rounded as they are published."""
-    overlaid = stat_overlay(rows, stats)
-    return (
-        success(overlaid)
-        .join(overlaid.drop("total_success", "row_pages"), "log")
-        .select(
-            "log",
-            "pages",
-            "total_success",
-            "total_failure",
-            F.round("success_rate_pct", 2).alias("success_rate_pct"),
-            "total_bytes",
-            F.round("elapsed_sec", 3).alias("elapsed_sec"),
-            F.round("rate_pages_per_sec", 2).alias("rate_official"),
-            F.round(ratio(F.lit(1000), F.col("avg_elapsed_ms")), 2).alias("rate_recomputed"),
-            "num_404",
-            "num_403",
-        )
+    return summary_of(stat_overlay(rows, stats))
+
+
+def summary_of(overlaid: DataFrame) -> DataFrame:
+    """``run_summary`` of an overlay that is at hand already."""
+    return success(overlaid, keep=overlaid.columns).select(
+        "log",
+        "pages",
+        "total_success",
+        "total_failure",
+        F.round("success_rate_pct", 2).alias("success_rate_pct"),
+        "total_bytes",
+        F.round("elapsed_sec", 3).alias("elapsed_sec"),
+        F.round("rate_pages_per_sec", 2).alias("rate_official"),
+        F.round(ratio(F.lit(1000), F.col("avg_elapsed_ms")), 2).alias("rate_recomputed"),
+        "num_404",
+        "num_403",
     )
 
 

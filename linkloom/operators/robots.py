@@ -46,7 +46,8 @@ def one_answer(robots: DataFrame) -> DataFrame:
 
 
 def _group_rows(robots: DataFrame) -> DataFrame:
-    """(agent, member) pairs of every group that counts; ``allow`` is NULL for a non-path member."""
+    """Members of every group that counts, with the group's ``agents``; ``allow`` is NULL for a non-path
+    member."""
     lines = one_answer(robots).filter(_answered(F.col("status"))).select(
         "host", F.posexplode(F.split("body", _LINE_END, -1)).alias("line_no", "raw")
     )
@@ -86,7 +87,7 @@ def _group_rows(robots: DataFrame) -> DataFrame:
         .select(
             "host",
             "group_ord",
-            F.explode("_agents").alias("agent"),
+            F.col("_agents").alias("agents"),
             F.col("line_no").alias("rule_ord"),
             F.when(path_rule, (F.col("field") == "allow") | (F.col("value") == "")).alias("allow"),
             F.when(path_rule, _no_empty_query(F.col("value"))).alias("prefix"),
@@ -103,31 +104,36 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     comment is not empty), an empty Disallow allows all. A row is one (agent, rule) pair: a group
     under two agents is listed for both.
     """
-    return _group_rows(robots).filter(F.col("allow").isNotNull())
+    rules = _group_rows(robots).filter(F.col("allow").isNotNull())
+    return rules.select(
+        "host", "group_ord", F.explode("agents").alias("agent"), "rule_ord", "allow", "prefix"
+    )
 
 
-def host_policies(robots: DataFrame, user_agent: str, on_unreachable: str = "deny") -> DataFrame:
+def host_policies(robots: DataFrame, user_agent: str) -> DataFrame:
     """One row per host: ``deny_all``, or the ``rules`` that apply to ``user_agent`` in order.
 
     The first group naming a part of the agent's product token applies, else the first group with
-    ``*``; a chosen group never falls through. 401 and 403 deny all, other 4xx allow all, and where
-    robots.txt gave no answer ``on_unreachable`` decides. A host's rules come from one robots.txt,
-    so they fit one short array and deciding a URL multiplies no rows.
+    ``*``; a chosen group never falls through. The group is chosen on its list of agents, so no rule is
+    repeated for each of them. 401 and 403 deny all, other 4xx allow all; ``deny_all`` is NULL where
+    robots.txt gave no answer. A host's rules come from one robots.txt, so they fit one short array
+    and deciding a URL multiplies no rows.
     """
-    token = user_agent.split("/")[0].lower()
+    token = F.lit(user_agent.split("/")[0].lower())
+    is_default = F.array_contains("agents", "*")
+    is_named = F.exists("agents", lambda a: F.contains(token, a))
     groups = (
         _group_rows(robots)
+        .filter(is_default | is_named)
         .groupBy("host", "group_ord")
         .agg(
-            F.bool_or(F.col("agent") == "*").alias("is_default"),
-            F.bool_or(F.lit(token).contains(F.col("agent"))).alias("is_named"),
+            F.bool_or(is_default).alias("is_default"),
             F.sort_array(
-                F.collect_set(
+                F.collect_list(
                     F.when(F.col("allow").isNotNull(), F.struct("rule_ord", "allow", "prefix"))
                 )
             ).alias("rules"),
         )
-        .filter(F.col("is_default") | F.col("is_named"))
     )
     chosen = groups.groupBy("host").agg(
         F.min_by("rules", F.struct("is_default", "group_ord")).alias("rules")
@@ -137,7 +143,6 @@ def host_policies(robots: DataFrame, user_agent: str, on_unreachable: str = "den
         F.when(_answered(status), False)
         .when(status.isin(401, 403), True)
         .when((status >= 400) & (status < 500), False)
-        .otherwise(on_unreachable == "deny")
     )
     hosts = one_answer(robots).select("host", verdict.alias("deny_all"))
     return hosts.join(chosen, "host", "left")
@@ -151,21 +156,39 @@ def decision(url: Column, deny_all: Column, rules: Column) -> Column:
     return ~deny_all & F.coalesce(hit["allow"], F.lit(True))
 
 
-def robots_filter(
+def robots_verdicts(
     candidates: DataFrame,
     robots: DataFrame,
     user_agent: str,
-    on_unreachable: str = "deny",
     url: str = "url",
     domain: str = "domain",
 ) -> DataFrame:
-    """Candidates with ``allowed``; a URL without host is refused, a host without a robots row
-    follows ``on_unreachable``.
+    """Candidates with ``if_deny`` and ``if_allow``: the verdict when a host without an answer, or without
+    a robots row, denies all, and when it allows all. A URL without host is refused.
 
     One equi-join on the host, whose other side has one row per host.
     """
-    policy = host_policies(robots, user_agent, on_unreachable).withColumnRenamed("host", domain)
+    policy = host_policies(robots, user_agent).withColumnRenamed("host", domain)
     joined = candidates.join(own_side(policy), domain, "left")
-    deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
-    verdict = decision(F.col(url), deny_all, F.col("rules"))
-    return joined.withColumn("allowed", (F.col(domain) != "") & verdict).drop("deny_all", "rules")
+    has_host = F.col(domain) != ""
+
+    def verdict(deny: bool) -> Column:
+        return has_host & decision(F.col(url), F.coalesce("deny_all", F.lit(deny)), F.col("rules"))
+
+    return joined.withColumns({"if_deny": verdict(True), "if_allow": verdict(False)}).drop(
+        "deny_all", "rules"
+    )
+
+
+def robots_filter(
+    candidates: DataFrame,
+    robots: DataFrame,
+    user_agent: str,
+    on_unreachable: str = "deny",
+    url: str = "url",
+    domain: str = "domain",
+) -> DataFrame:
+    """Candidates with ``allowed``, the verdict for one reading of hosts without an answer."""
+    wanted, other = ("if_deny", "if_allow") if on_unreachable == "deny" else ("if_allow", "if_deny")
+    both = robots_verdicts(candidates, robots, user_agent, url, domain)
+    return both.withColumnRenamed(wanted, "allowed").drop(other)

@@ -31,7 +31,7 @@ def report_of(rows: DataFrame, stats: DataFrame, k: int = 10) -> Report:
     overlaid = R.stat_overlay(rows, stats)
     pages = R.success(overlaid)
     summary = (
-        R.run_summary(rows, stats)
+        R.summary_of(overlaid)
         .withColumn("total_size", human_bytes(F.col("total_bytes")))
         .withColumn(
             "avg_bytes", F.floor(ratio(F.col("total_bytes"), F.col("pages"))).cast("bigint")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import urls as U
-from linkloom.functions.bodies import MAX_HTML_BYTES, is_truncated
+from linkloom.functions.bodies import is_truncated
 from linkloom.functions.metrics import is_backoff_status, is_html, novelty_priority
 from linkloom.operators import frontier as fr
 from linkloom.operators.links import listed, with_links
@@ -156,7 +156,7 @@ class Crawl:
     blocked: DataFrame
 
 
-def _page_facts(pages: DataFrame, cap: int) -> DataFrame:
+def _page_facts(pages: DataFrame, cap: int | None) -> DataFrame:
     """Narrow attributes of each URL; of several copies the first by ``page_id`` counts."""
     html = F.col("html")
     full = is_html(F.col("ct")) & is_truncated(html, cap)
@@ -175,7 +175,7 @@ def _page_facts(pages: DataFrame, cap: int) -> DataFrame:
     return narrow.groupBy("url").agg(F.min_by("page", "page.page_id").alias("page"))
 
 
-def _page_edges(pages: DataFrame, facts: DataFrame, mode: str, cap: int) -> DataFrame:
+def _page_edges(pages: DataFrame, facts: DataFrame, mode: str, cap: int | None) -> DataFrame:
     """Edges of every page a crawl could parse, found in one pass over the bodies."""
     body = F.octet_length("html") > 0
     good = pages.filter((F.col("status") == 200) & is_html(F.col("ct")) & body)
@@ -192,10 +192,10 @@ def crawl(
     seeds: DataFrame,
     robots: DataFrame | None,
     user_agent: str,
-    max_pages: int = fr.MAX_PAGES,
+    max_pages: int | None = None,
     max_depth: int = fr.MAX_DEPTH,
     mode: str = "fast",
-    cap: int = MAX_HTML_BYTES,
+    cap: int | None = None,
     skip: DataFrame | None = None,
     backoff: int = fr.BACKOFF_FAILURES,
     on_unreachable: str = "deny",
@@ -251,11 +251,11 @@ def crawl(
     for depth in range(max_depth + 1):
         level, size_of_level = visit(found, depth, before)
         n = level.filter("NOT refused").count()
-        if n > left:
+        if left is not None and n > left:
             level, size_of_level = _within(level, left)
             n = left
         seen.add(level, size_of_level)
-        left -= n
+        left = None if left is None else left - n
         if left == 0 or n == 0 or depth == max_depth:
             break
         before = seen.all.filter("NOT refused")
@@ -305,7 +305,7 @@ def _nodes(
         out = out.join(listed, "domain", "left")
         allowed = allowed & F.col("_skip").isNull()
     if robots is not None:
-        policies = own_side(host_policies(robots, user_agent, on_unreachable))
+        policies = own_side(host_policies(robots, user_agent))
         out = out.join(policies.withColumnRenamed("host", "domain"), "domain", "left")
         deny_all = F.coalesce("deny_all", F.lit(on_unreachable == "deny"))
         refused = ~((F.col("domain") != "") & decision(F.col("url"), deny_all, F.col("rules")))

@@ -58,7 +58,8 @@ def log_lines(
     """Lines of one or several logs as ``log, ord, line``, and the paths that could not be read.
 
     The log's name is the ``log`` partition folder if there is one, else the file name without
-    extension. A log that is missing or turns out corrupt does not stop the others.
+    extension. A log that is missing does not stop the others; it is listed in what is
+    returned second.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
     found, skipped = [], []
@@ -72,9 +73,8 @@ def log_lines(
             skipped.append(path)
     if not found:
         raise FileNotFoundError(", ".join(wanted))
-    reader = spark.read.option("ignoreCorruptFiles", skip_missing).option(
-        "ignoreMissingFiles", skip_missing
-    )
+    # A file that is damaged, or goes while it is read, fails the job: part of a log is no log.
+    reader = spark.read.option("ignoreCorruptFiles", False).option("ignoreMissingFiles", False)
     file = F.col("_metadata.file_path")
     folder = F.regexp_extract(file, r"/log=([^/]*)/", 1)
     name = F.regexp_extract(file, r"([^/]*?)(?:\.[^./]*)?$", 1)

@@ -102,8 +102,10 @@ def live_domains(rows: DataFrame, threshold: int = BACKOFF_FAILURES) -> DataFram
     )
 
 
-def live_links(pages: DataFrame, mode: str = "fast", key: str = "page_id") -> DataFrame:
+def live_links(
+    pages: DataFrame, mode: str = "fast", key: str = "page_id", cap: int | None = None
+) -> DataFrame:
     """Links of each page as it arrives: ``key, pos, dst``."""
-    parsed = with_links(pages.select(key, "url", "html"), mode)
+    parsed = with_links(pages.select(key, "url", "html"), mode, cap=cap)
     links = listed(parsed, [key], "dst")
     return _to_parquet(links.withColumn("pos", F.col("pos").cast("bigint")), "live-links")

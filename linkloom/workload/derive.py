@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import urls as U
-from linkloom.operators.links import distinct_in_order, plain_hrefs
+from linkloom.operators.links import distinct_in_order, written_hrefs
 from linkloom.operators.ordering import running_domain_counts
 from linkloom.session import cut
 from linkloom.sources.pages import enough_tasks
@@ -39,7 +39,7 @@ def n_pages(spark: SparkSession, sf: str) -> Column:
 def page_facts(pages_df: DataFrame) -> DataFrame:
     """Narrow page attributes; bodies stay behind."""
     url = U.canonical_url(F.col("url"))
-    hrefs = distinct_in_order(plain_hrefs(F.col("html")))
+    hrefs = distinct_in_order(written_hrefs(F.col("html")))
     return pages_df.select(
         "page_id",
         url.alias("url"),
@@ -177,13 +177,15 @@ def raw_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def url_variants(spark: SparkSession, sf: str, with_suffix: bool = False) -> DataFrame:
-    """Page URLs rewritten so that normalisation has work to do: ``page_id, raw``."""
+    """Page URLs, their queries and fragments behind, rewritten so that normalisation has work to do:
+    ``page_id, raw``."""
     p = F.col("page_id")
     plain = F.regexp_extract("url", r"^([^?#]*)", 1)
     if with_suffix:
         plain = F.concat(plain, F.when(p % 3 == 0, ".pdf").when(p % 3 == 1, ".html").otherwise(""))
     origin = F.regexp_extract(plain, r"^([^:]*://[^/]*)", 1)
     rest = F.regexp_extract(plain, r"^[^:]*://[^/]*(.*)$", 1)
+    tail = F.regexp_extract("url", r"^[^?#]*(.*)$", 1)
     k = p % 8
     raw = (
         F.when(k == 1, F.concat(F.upper(origin), rest))
@@ -195,7 +197,7 @@ def url_variants(spark: SparkSession, sf: str, with_suffix: bool = False) -> Dat
         .when(k == 7, F.concat(plain, F.lit(".JPG")))
         .otherwise(plain)
     )
-    return cut(pages(spark, sf).select("page_id", raw.alias("raw")))
+    return cut(pages(spark, sf).select("page_id", F.concat(raw, tail).alias("raw")))
 
 
 def href_variants(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,7 +222,7 @@ def href_variants(spark: SparkSession, sf: str) -> DataFrame:
 
 def seed_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Seven lines of a seed file per page: ``ord, line``."""
-    url = F.regexp_extract("url", r"^([^?#]*)", 1)
+    url = F.col("url")
     lines = [
         F.concat(F.lit("# page "), F.col("page_id").cast("string")),
         F.lit(""),

@@ -144,19 +144,20 @@ _CTE = {
     "variants": """SELECT page_id, CASE page_id % 8
           WHEN 1 THEN upper(o) || r WHEN 2 THEN o || ':80' || r WHEN 3 THEN o || ':443' || r
           WHEN 4 THEN o || ':8080' || r WHEN 5 THEN u || '#frag' WHEN 6 THEN u || ';v=1?a=1'
-          WHEN 7 THEN u || '.JPG' ELSE u END AS raw
-        FROM (SELECT page_id, u, regexp_extract(u, '^([^:]*://[^/]*)', 1) AS o,
+          WHEN 7 THEN u || '.JPG' ELSE u END || t AS raw
+        FROM (SELECT page_id, u, t, regexp_extract(u, '^([^:]*://[^/]*)', 1) AS o,
                      regexp_extract(u, '^[^:]*://[^/]*(.*)$', 1) AS r
-              FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS u FROM pages))""",
+              FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS u,
+                           regexp_extract(url, '^[^?#]*(.*)$', 1) AS t FROM pages))""",
     "suffixed": """SELECT page_id, CASE page_id % 8
           WHEN 1 THEN upper(o) || r WHEN 2 THEN o || ':80' || r WHEN 3 THEN o || ':443' || r
           WHEN 4 THEN o || ':8080' || r WHEN 5 THEN u || '#frag' WHEN 6 THEN u || ';v=1?a=1'
-          WHEN 7 THEN u || '.JPG' ELSE u END AS raw
-        FROM (SELECT page_id, u, regexp_extract(u, '^([^:]*://[^/]*)', 1) AS o,
+          WHEN 7 THEN u || '.JPG' ELSE u END || t AS raw
+        FROM (SELECT page_id, u, t, regexp_extract(u, '^([^:]*://[^/]*)', 1) AS o,
                      regexp_extract(u, '^[^:]*://[^/]*(.*)$', 1) AS r
               FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1)
-                    || CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.html' ELSE '' END AS u
-                    FROM pages))""",
+                    || CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.html' ELSE '' END AS u,
+                           regexp_extract(url, '^[^?#]*(.*)$', 1) AS t FROM pages))""",
     "parts": """SELECT page_id, raw, d, lower(regexp_extract(d, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme,
         lower(regexp_extract(d, '//([^/?#:]*)', 1)) AS host,
         TRY_CAST(regexp_extract(d, '//[^/?#:]*:([0-9]*)', 1) AS INTEGER) AS port,
@@ -185,7 +186,7 @@ _CTE = {
         SELECT page_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS k FROM (
           SELECT page_id, ['# page ' || page_id, '', '  ' || u || '  ', u || 'x  # note', u || 'x',
             '   ', h] AS l
-          FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS u,
+          FROM (SELECT page_id, url AS u,
                        regexp_extract(url, '//([^/?#]*)', 1) AS h FROM pages)))""",
     "cand0": """SELECT e.event_id, coalesce(c.url, 'https://missing.example.com/'
           || (e.event_id % (2 * (SELECT n FROM n)))) AS url,
@@ -322,7 +323,10 @@ _add("http_only", ("hrefvar",), """SELECT page_id, pos,
     starts_with(href, 'http://') OR starts_with(href, 'https://') AS literal FROM hrefvar""")
 _add("resolve_links", ("hrefs",), """SELECT page_id, i - 1 AS pos, href,
     regexp_extract(url, '^([^:]*://[^/?]*)', 1) || regexp_replace(href, '#.*$', '') AS dst FROM hrefs""")
-_add("defragment", ("variants",), "SELECT page_id, raw, regexp_replace(raw, '#.*$', '') AS url FROM variants")
+# A URL that is put together again without its fragment has its scheme in lower case.
+_add("defragment", ("variants",), """SELECT page_id, raw, CASE WHEN contains(raw, '#')
+    THEN lower(regexp_extract(raw, '^([^:]*)', 1)) || regexp_extract(raw, '^[^:]*(:[^#]*)', 1)
+    ELSE raw END AS url FROM variants""")
 _add("dedupe_links", ("hrefs",), f"""SELECT p.page_id, CAST(len({_HREFS}) AS BIGINT) AS n_links,
     CAST(len(list_distinct({_HREFS})) AS BIGINT) AS n_distinct, coalesce(d.links, '') AS links
     FROM pages p LEFT JOIN (SELECT page_id, string_agg(href, ' ' ORDER BY i) AS links

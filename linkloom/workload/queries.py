@@ -183,7 +183,7 @@ def http_only(spark, sf):
 @query
 def resolve_links(spark, sf):
     hrefs = D.pages(spark, sf).select(
-        "page_id", "url", F.posexplode(K.plain_hrefs(F.col("html"))).alias("pos", "href")
+        "page_id", "url", F.posexplode(K.written_hrefs(F.col("html"))).alias("pos", "href")
     )
     dst = U.resolve_url(F.col("url"), F.col("href"))
     return hrefs.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", dst.alias("dst"))
@@ -196,7 +196,7 @@ def defragment(spark, sf):
 
 @query
 def dedupe_links(spark, sf):
-    hrefs = K.plain_hrefs(F.col("html"))
+    hrefs = K.written_hrefs(F.col("html"))
     kept = K.distinct_in_order(hrefs)
     return D.pages(spark, sf).select(
         "page_id",
@@ -389,10 +389,8 @@ def robots_rules(spark, sf):
 def robots_filter(spark, sf):
     urls = D.pages(spark, sf).select("page_id", U.canonical_url(F.col("url")).alias("url"))
     urls = urls.withColumn("domain", U.url_domain(F.col("url")))
-    robots = D.robots(spark, sf)
-    deny = RB.robots_filter(urls, robots, D.USER_AGENT).withColumnRenamed("allowed", "if_deny")
-    both = RB.robots_filter(deny, robots, D.USER_AGENT, on_unreachable="allow")
-    return both.select("page_id", "url", "if_deny", F.col("allowed").alias("if_allow"))
+    both = RB.robots_verdicts(urls, D.robots(spark, sf), D.USER_AGENT)
+    return both.select("page_id", "url", "if_deny", "if_allow")
 
 
 # -- traversal -------------------------------------------------------------------------------
@@ -400,13 +398,13 @@ def robots_filter(spark, sf):
 
 @query
 def bfs_depths(spark, sf):
-    out = T.bfs_depths(D.graph_edges(spark, sf), D.graph_seed(spark, sf))
+    out = T.bfs_depths(D.graph_edges(spark, sf), D.graph_seed(spark, sf), max_depth=10)
     return out.select("url", F.col("depth").cast("bigint").alias("depth"))
 
 
 @query
 def crawl_order(spark, sf):
-    out = T.crawl_order(D.graph_edges(spark, sf), D.graph_seed(spark, sf))
+    out = T.crawl_order(D.graph_edges(spark, sf), D.graph_seed(spark, sf), max_depth=10)
     return out.select(
         "rank", "url", F.col("depth").cast("bigint").alias("depth"),
         F.round("priority", 9).alias("priority"),
@@ -420,6 +418,7 @@ def crawl_snapshot(spark, sf):
         D.graph_seed(spark, sf),
         D.graph_robots(spark, sf),
         D.USER_AGENT,
+        max_depth=10,
         block=BLOCK,
     )
     return result.log.drop("ts").withColumn("priority", F.round("priority", 9))

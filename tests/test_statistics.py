@@ -148,3 +148,10 @@ def test_backoff_set(spark):
     df = spark.createDataFrame([(s,) for s in (429, 417, 403, 401, 500, 0, 404, 503, 999, 200)], "status int")
     got = {r.status for r in df.filter(M.is_backoff_status(F.col("status"))).collect()}
     assert got == {429, 417, 403, 401, 500, 0}
+
+
+def test_running_totals_keep_rows_without_a_group(spark):
+    rows = [(None, 1, 5), (None, 2, 6), ("a", 1, 7), (None, 700, 1)]
+    df = spark.createDataFrame(rows, "host string, seq int, v int")
+    out = O.running_totals(df, ["host"], "seq", {"total": F.col("v")}, block=500).collect()
+    assert sorted((r.host or "", r.seq, r.total) for r in out) == [("", 1, 5), ("", 2, 11), ("", 700, 12), ("a", 1, 7)]
