@@ -43,13 +43,23 @@ def not_failing(candidates: DataFrame, failing: DataFrame, domain: str = "domain
     return candidates.join(own_side(failing.select(domain)), domain, "left_anti")
 
 
-def unseen(candidates: DataFrame, visited: DataFrame, url: str = "url") -> DataFrame:
-    """Candidates that were not visited."""
-    return candidates.join(visited.select(url), url, "left_anti")
+def _lookup(visited: DataFrame, url: str, settled: bool) -> DataFrame:
+    """Visited URLs as a side of their own, so that the rows of a hot URL can be split."""
+    urls = visited.select(url)
+    return urls if settled else own_side(urls.distinct())
 
 
-def seen(candidates: DataFrame, visited: DataFrame, url: str = "url") -> DataFrame:
-    return candidates.join(visited.select(url), url, "left_semi")
+def unseen(
+    candidates: DataFrame, visited: DataFrame, url: str = "url", settled: bool = False
+) -> DataFrame:
+    """Candidates that were not visited. ``settled``: ``visited`` was materialised by the caller."""
+    return candidates.join(_lookup(visited, url, settled), url, "left_anti")
+
+
+def seen(
+    candidates: DataFrame, visited: DataFrame, url: str = "url", settled: bool = False
+) -> DataFrame:
+    return candidates.join(_lookup(visited, url, settled), url, "left_semi")
 
 
 def mark_accepted(
@@ -59,7 +69,8 @@ def mark_accepted(
 
     Needs a ``domain`` column, the host of ``url``.
     """
-    seen_urls = visited.select(F.col("url").alias(url)).withColumn("_seen", F.lit(True))
+    known = _lookup(visited, "url", settled=False).withColumnRenamed("url", url)
+    seen_urls = known.withColumn("_seen", F.lit(True))
     down = own_side(failing.select("domain")).withColumn("_down", F.lit(True))
     return (
         edges.join(seen_urls, url, "left")

@@ -90,7 +90,9 @@ class Visited:
     def without(self, targets: DataFrame) -> DataFrame:
         """Targets in no level so far."""
         rest = [_union(self.small)] if self.small else []
-        return reduce(fr.unseen, self.large + rest, targets)
+        return reduce(
+            lambda left, level: fr.unseen(left, level, settled=True), self.large + rest, targets
+        )
 
 
 def bfs_depths(

@@ -460,6 +460,19 @@ _add("report_summary", ("overlay",), f"""SELECT *, {_UNIT.format("total_bytes")}
         round(elapsed_sec, 3) AS elapsed_sec, round(rate_pages_per_sec, 2) AS rate_official,
         round(1000.0 / avg_elapsed_ms, 2) AS rate_recomputed, num_404, num_403,
         total_bytes // pages_crawled AS avg_bytes FROM overlay)""")
+_add("report_discovery", ("tailed",), """SELECT log, count(*) AS debug_rows, CAST(sum(links_found) AS BIGINT) AS links_found,
+    CAST(sum(links_enqueued) AS BIGINT) AS links_enqueued,
+    count(*) FILTER (html_truncated <> 0) AS truncated,
+    round(100.0 * count(*) FILTER (html_truncated <> 0) / count(*), 6) AS truncated_pct
+    FROM tailed WHERE debug_ok GROUP BY log""")
+_add("report_statuses", ("overlay",), """SELECT s.log, rank, status, n, round(100.0 * n / pages, 6) AS share_pct FROM (
+    SELECT *, row_number() OVER (PARTITION BY log ORDER BY n DESC, status) AS rank
+    FROM (SELECT log, status, count(*) AS n FROM typed GROUP BY log, status)) s
+    JOIN (SELECT log, CASE WHEN pages_crawled <> 0 THEN pages_crawled ELSE row_pages END AS pages FROM overlay) o
+    ON o.log = s.log WHERE rank <= 10""")
+_add("report_domains", ("typed",), """SELECT log, rank, domain, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY log ORDER BY n DESC, domain) AS rank
+    FROM (SELECT log, domain, count(*) AS n FROM typed WHERE domain <> '' GROUP BY log, domain)) WHERE rank <= 10""")
 _add("fmt_bytes", ("log",), f"""SELECT seq, {_UNIT.format("b")} AS size FROM (
     SELECT seq, bytes * [1, 1000, 1000000, 1000000000][seq % 4 + 1] AS b FROM log)""")
 _add("domain_counts", ("log",), """SELECT log, superdomain, domain, n AS domain_count,

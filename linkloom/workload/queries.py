@@ -521,6 +521,27 @@ def report_timing(spark, sf):
     return PR.report_of_lines(D.raw_log(spark, sf)).timing
 
 
+@query
+def report_discovery(spark, sf):
+    """Discovery table of the report, straight from raw log lines."""
+    out = PR.report_of_lines(D.raw_log(spark, sf)).discovery
+    return out.withColumn("truncated_pct", _r6("truncated_pct"))
+
+
+@query
+def report_statuses(spark, sf):
+    """Status table of the report, straight from raw log lines."""
+    out = PR.report_of_lines(D.raw_log(spark, sf)).statuses
+    return out.withColumn("rank", F.col("rank").cast("bigint")).withColumn("share_pct", _r6("share_pct"))
+
+
+@query
+def report_domains(spark, sf):
+    """Domain table of the report, straight from raw log lines."""
+    out = PR.report_of_lines(D.raw_log(spark, sf)).domains
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @query
 def domain_counts(spark, sf):
     return R.domain_counts(D.crawl_log(spark, sf))
