@@ -98,8 +98,10 @@ def exponent(sizes: DataFrame, target: Target) -> float:
 def weights(docs: DataFrame, target: Target) -> DataFrame:
     """``source, n, weight, quota, passes, rest``: whole passes over each source and the tokens after."""
     sizes = written(_sizes(docs), "sizes")
-    power = exponent(sizes, target)
-    s = _sums(sizes, power) if sizes.count() else {"total": 1.0, "least": 1.0}
+    power, s = 1.0, {"total": 1.0, "least": 1.0}
+    if not sizes.isEmpty():
+        power = exponent(sizes, target)
+        s = _sums(sizes, power)
     raised = F.pow(F.col("n").cast("double"), F.lit(power))
     out = sizes.withColumn("weight", raised / F.lit(s["total"]))
     out = out.withColumn("quota", F.round(F.col("weight") * F.lit(_budget(s, target))).cast("long"))
