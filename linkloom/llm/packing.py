@@ -158,7 +158,8 @@ class _Bins:
 
     def close_all(self) -> None:
         """The last pieces, long ones first, each to the first sequence it fits in."""
-        rest = sorted((p for held in self.open.values() for p in held), key=lambda p: (-p[2], p))
+        rest = [p for held in self.open.values() for p in held]
+        rest.sort(key=lambda p: (-p[2], p[0] is not None, p[0] or 0, p[1], p[3]))
         bins: list[list] = []
         free: list[int] = []
         for p in rest:
