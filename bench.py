@@ -17,7 +17,7 @@ HEADLINE = (
     "superdomain_links", "extract_links", "link_edges", "canonicalize_urls", "resolve_links",
     "robots_filter", "attach_counts", "frontier_order", "bfs_depths", "log_source", "log_totals",
     "status_distribution", "top_domains", "phase_p95", "run_summary", "running_domain_counts",
-    "stream_totals",
+    "stream_totals", "crawl_order", "page_link_counts", "stream_links",
 )
 FULL_PAGE = 262144
 
