@@ -61,12 +61,9 @@ def clusters(joined: np.ndarray) -> np.ndarray:
 def alike(flat: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of sets have ``100 * intersection >= percent * union``; never with an empty set."""
     sizes = np.diff(offsets)
-    n = len(sizes)
-    out = np.zeros((n, n), bool)
-    for a, common in overlaps(flat, offsets):
-        union = sizes[a : a + len(common), None] + sizes[None, :] - common
-        out[a : a + len(common)] = (100 * common >= percent * union) & (common > 0)
-    return out
+    common = overlaps(flat, offsets)
+    union = sizes[:, None] + sizes[None, :] - common
+    return (100 * common >= percent * union) & (common > 0)
 
 
 def pair_alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:

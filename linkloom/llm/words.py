@@ -104,26 +104,23 @@ def sketches(flat: np.ndarray, offsets: np.ndarray, size: int, seed: int = 5) ->
     return out
 
 
-def overlaps(flat: np.ndarray, offsets: np.ndarray, rows: int = 256):
-    """Blocks ``(first row, counts)`` of exact intersection sizes of all pairs of sets.
+def overlaps(flat: np.ndarray, offsets: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Exact intersection sizes of all pairs of sets.
 
-    Elements in one set only cannot meet and are left out; the rest is a product of 0/1 matrices.
+    Elements in one set only cannot meet and are left out; the rest is a product of 0/1 matrices of
+    ``step`` columns at a time.
     """
     n = len(offsets) - 1
     owner = np.repeat(np.arange(n), np.diff(offsets))
     _, ids, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[ids] > 1
-    kept, ids = owner[shared], ids[shared]
-    if len(ids):
-        _, ids = np.unique(ids, return_inverse=True)
-    width = int(ids.max()) + 1 if len(ids) else 0
-    step = 4096
-    for a in range(0, n, rows):
-        b = min(n, a + rows)
-        counts = np.zeros((b - a, n), np.float32)
-        for c in range(0, width, step):
-            inside = (ids >= c) & (ids < c + step)
-            m = np.zeros((n, min(step, width - c)), np.float32)
-            m[kept[inside], ids[inside] - c] = 1
-            counts += m[a:b] @ m.T
-        yield a, counts.astype(np.int64)
+    kept, ids = owner[shared], (np.cumsum(times > 1) - 1)[ids[shared]]
+    order = np.argsort(ids, kind="stable")
+    kept, ids = kept[order], ids[order]
+    counts = np.zeros((n, n), np.float32)
+    for c in range(0, int(ids[-1]) + 1 if len(ids) else 0, step):
+        a, b = np.searchsorted(ids, (c, c + step))
+        m = np.zeros((n, min(step, int(ids[-1]) + 1 - c)), np.float32)
+        m[kept[a:b], ids[a:b] - c] = 1
+        counts += m @ m.T
+    return counts.astype(np.int64)
