@@ -4,6 +4,8 @@ A text is its set of word shingles. In every tree, texts are dealt to child node
 values at one or two coordinates that the node chooses, 1/threshold of them on average, so a pair at
 the threshold keeps one common child on average at every level. Nodes of at most ``limit`` texts are
 compared exhaustively: first their sketches, then, for texts with a likely partner, the full sets.
+Nodes still above ``limit`` after the last level are compared as pairs of blocks, so no pair of a
+node is left out.
 Independent trees are repeated until a pair at the threshold is met almost surely.
 """
 
@@ -97,8 +99,15 @@ def _met(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.filter("n > 1"), "path")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Nodes of ``rows`` with the same members are one."""
+    once = rows.groupBy("n", "in_a", "in_b").agg(F.min("path").alias("path")).select("path")
+    return rows.join(once, "path", "left_semi")
+
+
 def _blocks(rows: DataFrame, limit: int) -> DataFrame:
-    """Nodes that no coordinate splits, dealt into blocks that all hold the node's smallest texts."""
+    """Nodes above the limit dealt into blocks that all hold the node's smallest text: a first pass
+    that joins near-identical sets before ``_rest`` compares what it leaves."""
     pivots = rows.groupBy("path").agg(F.min("id").alias("pivot"))
     dealt = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") * 2 / limit)))
     block = F.xxhash64("path", "_b")
@@ -111,28 +120,79 @@ def _blocks(rows: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def nodes(
-    marks: DataFrame, percent: int, trees: int, limit: int, levels: int
-) -> list[DataFrame]:
-    """Small nodes ``path, id`` of all trees over ``marks(id, sketch)``, by level.
+def _rest(left: DataFrame, whole: DataFrame, limit: int) -> DataFrame:
+    """Pairs of half-size blocks ``path, id`` that hold every pair of ``left`` still to be compared.
 
-    The driver reads one flag per level: whether a node above the limit is left. A node with the
-    same members as another is compared once.
+    Texts of a node's largest component in ``whole(id, component)`` are linked already and not compared
+    with each other; every other text of the node meets all texts of it.
     """
-    extra = 100 / percent - 1
-    roots = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(trees)]))
+    half = max(1, limit // 2)
+    known = left.select("path", "id").join(whole, "id", "left")
+    known = saved(known.select("path", "id", F.coalesce("component", "id").alias("component")))
+    sizes = known.groupBy("path", "component").agg(F.count("*").alias("n"))
+    most = saved(
+        sizes.groupBy("path")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+        .filter("n > most.n")
+        .select(
+            "path",
+            F.col("most.component").alias("main"),
+            F.ceil((F.col("n") - F.col("most.n")) / half).cast("int").alias("outer"),
+            F.ceil(F.col("most.n") / half).cast("int").alias("inner"),
+        )
+    )
+    rows = known.join(most, "path").withColumn("out", F.col("component") != F.col("main"))
+    place = F.xxhash64("id")
+    at = F.when(F.col("out"), F.pmod(place, "outer")).otherwise(F.col("outer") + F.pmod(place, "inner"))
+    last = F.when(F.col("out"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    paired = rows.withColumn("at", at.cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), last.cast("int")))
+    )
+    block = F.xxhash64("path", F.least("at", "other"), F.greatest("at", "other"))
+    return paired.filter("at != other").select(block.alias("path"), "id")
+
+
+def recall(depth: int, trees: int, percent: int) -> float:
+    """Chance that a pair with ``percent`` of its coordinates equal meets in a node of ``depth``."""
+    p, extra, q = percent / 100, 100 / percent - 1, 1.0
+    for _ in range(depth):
+        q = 1 - (1 - p * q) * (1 - extra * p * q)
+    return 1 - (1 - q) ** trees
+
+
+def _grown(
+    marks: DataFrame, extra: float, trees: range, limit: int, levels: int, enough: int
+) -> tuple[list[DataFrame], DataFrame | None, DataFrame | None]:
+    """Small nodes of ``trees`` by level, nodes still above the limit after the last level, and the
+    ids of texts in nodes that branch on below level ``enough``."""
+    roots = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in trees]))
     rows = _children(marks.select(roots.alias("path"), "id", "sketch"), extra)
-    found = []
+    found, deep = [], None
     for level in range(levels):
         met = saved(_met(saved(rows.distinct() if level else rows)))
-        small = met.filter(F.col("n") <= limit)
-        once = small.groupBy("n", "in_a", "in_b").agg(F.min("path").alias("path")).select("path")
-        found.append(small.join(once, "path", "left_semi").select("path", "id"))
+        found.append(_once(met.filter(F.col("n") <= limit)).select("path", "id"))
         large = met.filter(F.col("n") > limit)
         if large.isEmpty():
-            return found
-        rows = _children(large.select("path", "id").join(marks, "id").select("path", "id", "sketch"), extra)
-    return [*found, _blocks(large, limit)]
+            return found, None, deep
+        if level + 1 == enough:
+            deep = saved(large.select("id").distinct())
+        if level + 1 < levels:
+            rows = _children(
+                large.select("path", "id").join(marks, "id").select("path", "id", "sketch"), extra
+            )
+    return found, large, deep
+
+
+def nodes(
+    marks: DataFrame, percent: int, trees: int, limit: int, levels: int
+) -> tuple[list[DataFrame], DataFrame | None]:
+    """Small nodes ``path, id`` of all trees over ``marks(id, sketch)``, by level, and the nodes
+    ``path, id, n`` still above the limit after the last level.
+
+    The driver reads one flag per level: whether a node above the limit is left. A node with the
+    same members as another is compared once.
+    """
+    return _grown(marks, 100 / percent - 1, range(trees), limit, levels, 0)[:2]
 
 
 def _likely(found: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -190,6 +250,17 @@ def _confirmed(likely: DataFrame, docs: DataFrame, width: int, percent: int) ->
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _links(
+    found: list[DataFrame], marks: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links ``a, b`` inside the nodes of all of ``found(path, id)``."""
+    every = found[0]
+    for more in found[1:]:
+        every = every.union(more)
+    likely = saved(_likely(every, marks, percent))
+    return saved(_confirmed(likely, docs, width, percent))
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -216,12 +287,14 @@ def near_duplicates(
         .join(first.select("id"), "id")
         .dropDuplicates(["id"])
     )
-    found = nodes(marks, percent, trees, limit, levels)
-    likely = found[0]
-    for more in found[1:]:
-        likely = likely.union(more)
-    likely = saved(_likely(likely, marks, percent))
-    links = saved(_confirmed(likely, docs, width, percent))
+    found, left = nodes(marks, percent, trees, limit, levels)
+    if left is not None:
+        left = saved(_once(left).select("path", "id", "n"))
+        found = [*found, _blocks(left, limit)]
+    links = _links(found, marks, docs, width, percent)
+    if left is not None:
+        rest = _rest(left, components(links), limit)
+        links = links.union(_links([rest], marks, docs, width, percent))
     # Each repeated id with more than one text links these texts.
     same = with_set.select("doc_id", *key).distinct().join(first, key).filter("doc_id != id")
     whole = components(links.union(same.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))))

@@ -79,6 +79,20 @@ def test_nodes_that_never_split_are_dealt_into_blocks(spark):
     assert {r.component_id for r in out} == {0}
 
 
+def test_nodes_left_after_the_last_level_miss_no_pair(spark):
+    """A star of edits, alike to the centre only, which is not the smallest id."""
+    text = [f"t{i}" for i in range(1000)]
+    docs = [(999, " ".join(text))]
+    for i in range(50):
+        own = list(text)
+        own[i * 16 : i * 16 + 100] = [f"e{i}_{k}" for k in range(100)]
+        docs.append((i, " ".join(own)))
+    want = plain.near_duplicates(docs, 5)
+    assert max(c for _, c in want.values()) == 0
+    out = near_dedup.near_duplicates(frame(spark, docs), limit=8, levels=1).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
+
+
 @pytest.mark.parametrize("limit", [1024, 6])
 def test_lines(spark, limit):
     docs = [d for d in hard() if d[0] is not None]
