@@ -6,7 +6,8 @@ the threshold keeps one common child on average at every level. Nodes of at most
 compared exhaustively: first their sketches, then, for texts with a likely partner, the full sets.
 Nodes still above ``limit`` after the last level are compared as pairs of blocks, so no pair of a
 node is left out.
-Independent trees are repeated until a pair at the threshold is met almost surely.
+Independent trees are repeated until a pair at the threshold is met with chance ``RECALL`` at the depth
+its texts reach.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from linkloom.llm.nodes import bundles, star_links
 from linkloom.llm.words import LOWER, mixed, shingle_sets, sketches, word_codes, word_spans
 
 SIZE = 64  # coordinates of a sketch
-TREES = 10
+TREES = 16  # at least; texts in deep nodes get as many as RECALL asks for
+RECALL = 0.99  # of pairs at the threshold, at any depth
 LIMIT = 1024  # texts of a node compared exhaustively
 LEVELS = 24
 _U = np.uint64
@@ -153,7 +155,7 @@ def _rest(left: DataFrame, whole: DataFrame, limit: int) -> DataFrame:
 
 
 def recall(depth: int, trees: int, percent: int) -> float:
-    """Chance that a pair with ``percent`` of its coordinates equal meets in a node of ``depth``."""
+    """Chance that a pair with ``percent`` of its coordinates equal meets at ``depth`` in a tree."""
     p, extra, q = percent / 100, 100 / percent - 1, 1.0
     for _ in range(depth):
         q = 1 - (1 - p * q) * (1 - extra * p * q)
@@ -190,9 +192,25 @@ def nodes(
     ``path, id, n`` still above the limit after the last level.
 
     The driver reads one flag per level: whether a node above the limit is left. A node with the
-    same members as another is compared once.
+    same members as another is compared once. Recall falls with depth: texts that go deeper than
+    ``trees`` trees are enough for get further trees of their own, as many as the last level asks for.
+    A pair with one text that does not go so deep ends above that depth in every tree.
     """
-    return _grown(marks, 100 / percent - 1, range(trees), limit, levels, 0)[:2]
+    extra = 100 / percent - 1
+    enough = 1
+    while enough < levels and recall(enough + 1, trees, percent) >= RECALL:
+        enough += 1
+    found, left, deep = _grown(marks, extra, range(trees), limit, levels, enough)
+    wanted = trees
+    while recall(levels, wanted, percent) < RECALL:
+        wanted += 1
+    if deep is None or wanted == trees:
+        return found, left
+    own = saved(marks.join(deep, "id", "left_semi"))
+    more, last, _ = _grown(own, extra, range(trees, wanted), limit, levels, enough)
+    if left is not None and last is not None:
+        left = left.union(last)
+    return [*found, *more], left if left is not None else last
 
 
 def _likely(found: DataFrame, marks: DataFrame, percent: int) -> DataFrame:

@@ -93,6 +93,31 @@ def test_nodes_left_after_the_last_level_miss_no_pair(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
 
 
+def test_pairs_in_deep_nodes_meet(spark):
+    """A hot group of sketches, pairs of it equal in 52 of 64 places or a few more."""
+    r = np.random.default_rng(7)
+    core = r.integers(0, 2**32, near_dedup.SIZE, dtype=np.uint32)
+    rows = []
+    for i in range(60):
+        own = core.copy()
+        own[r.choice(near_dedup.SIZE, 6, replace=False)] = r.integers(0, 2**32, 6, dtype=np.uint32)
+        rows.append((i, own.tobytes()))
+    marks = ready(spark).createDataFrame(rows, "id long, sketch binary")
+    found, left = near_dedup.nodes(marks, 80, near_dedup.TREES, 4, near_dedup.LEVELS)
+    members = defaultdict(set)
+    for level, part in enumerate([*found, *([left] if left is not None else [])]):
+        for x in part.collect():
+            members[level, x.path].add(x.id)
+    met = {(a, b) for own in members.values() for a in own for b in own if a < b}
+    assert len(met) >= 0.99 * (60 * 59 / 2)
+
+
+def test_trees_reach_the_recall_at_every_depth():
+    assert near_dedup.recall(8, 10, 80) == pytest.approx(0.995, abs=1e-3)
+    assert near_dedup.recall(24, 16, 80) == pytest.approx(0.969, abs=1e-3)
+    assert near_dedup.recall(16, near_dedup.TREES, 80) >= near_dedup.RECALL
+
+
 @pytest.mark.parametrize("limit", [1024, 6])
 def test_lines(spark, limit):
     docs = [d for d in hard() if d[0] is not None]
