@@ -20,7 +20,7 @@ from linkloom.llm.components import components
 from linkloom.llm.nodes import bundles, star_links
 from linkloom.llm.words import mixed, sketches
 
-SHINGLE = 8  # characters; a power of two
+SHINGLE = 5  # characters
 BANDS = 10
 ROWS = 4  # minwise values of a band: a pair at 0.8 shares one of the bands with chance 0.995
 LIMIT = 1024  # lines compared exhaustively at once
@@ -58,7 +58,8 @@ def line_sets(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of each line in order, with repeats, and their offsets; a shorter line is one shingle.
 
-    Lines follow each other without overlap. A code of twice the width is made of two neighbours.
+    Lines follow each other without overlap. A code of twice the width is made of two neighbours, one of
+    any other width of two that overlap.
     """
     sizes = ends - starts
     counts = np.where(sizes >= width, sizes - width + 1, (sizes > 0).astype(np.int64))
@@ -68,8 +69,9 @@ def line_sets(
     padded = np.r_[letters, np.zeros(width, np.uint32)].astype(_U) + _U(1)
     reach, step = 1, 0
     while reach < width:
-        padded[:-reach] = padded[:-reach] * _STEP[step] + padded[reach:]
-        reach, step = reach * 2, step + 1
+        on = min(reach, width - reach)
+        padded[:-on] = padded[:-on] * _STEP[step] + padded[on:]
+        reach, step = reach + on, step + 1
     runs = mixed(padded[: len(letters)])
     chosen = np.zeros(len(letters) + 1, np.int8)
     long = sizes >= width
@@ -225,7 +227,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> Da
     """``doc_id, line_no, first_doc_id, first_line_no`` of every line that repeats an earlier one.
 
     Lines are numbered from 0 within ``docs(doc_id, text)`` and end at line feeds. Two are alike when
-    their sets of eight-character shingles (A-Z in lower case; a shorter line is one shingle) have a
+    their sets of five-character shingles (A-Z in lower case; a shorter line is one shingle) have a
     Jaccard similarity of ``percent``/100 or more; the first of a component, by ``doc_id`` and number,
     stays. Lines of blanks only always stay, as do rows with a null text. Rows without ``doc_id``
     or with one that is repeated take part by what their id and line number hold: equal lines at
