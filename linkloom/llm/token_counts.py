@@ -104,11 +104,12 @@ class PartCounts(dict):
         return count
 
     def counted(self, part: str) -> int:
-        """A part that ends in signs or starts with them is looked up without them."""
-        n, mates = len(part), self.mates
-        for i in range(n - 1, max(0, n - 4), -1):
-            if part[i - 1 : i + 1] not in mates:
-                return self[part[:i]] + self[part[i:]]
+        """A part is the sum of its stretches between characters that stand side by side in no piece."""
+        mates = self.mates
+        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in mates]
+        if cuts:
+            # No stretch is cut again.
+            return sum(self[part[a:b]] for a, b in zip([0, *cuts], [*cuts, len(part)]))
         return merged_count(part, self.ranks) if part else 0
 
 
