@@ -68,7 +68,8 @@ class Encoder:
     """Ids of whole texts as the ``tokenizers`` file ``path`` gives them without added tokens.
 
     A plain byte-level vocabulary whose ids are its merge ranks is run by ``tiktoken``, which gives
-    the same ids several times faster; any other file by ``tokenizers`` itself.
+    the same ids several times faster; any other file, and a text that ``tiktoken`` gives up on (a run
+    of a million blanks), by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -76,12 +77,18 @@ class Encoder:
             spec = json.load(f)
         self.fast = self._ranked(spec)
         self.specials = sorted(self.fast.special_tokens_set) if self.fast else []
-        if self.fast is None:
+        self.path, self.library = path, None
+
+    @property
+    def slow(self):
+        """The file in ``tokenizers``, read when first asked for."""
+        if self.library is None:
             from tokenizers import Tokenizer
 
-            self.slow = Tokenizer.from_file(path)
-            self.slow.no_padding()
-            self.slow.no_truncation()
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_padding()
+            self.library.no_truncation()
+        return self.library
 
     @staticmethod
     def _ranked(spec: dict):
@@ -111,13 +118,15 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Ids of a text, four little-endian bytes each."""
-        if self.fast is None:
-            ids = self.slow.encode(text, add_special_tokens=False).ids
-        elif any(t in text for t in self.specials):
-            ids = self.fast.encode(text, allowed_special="all", disallowed_special=())
-        else:
-            return self.fast.encode_to_numpy(text, disallowed_special=()).tobytes()
-        return np.array(ids, "<u4").tobytes()
+        if self.fast is not None:
+            try:
+                if any(t in text for t in self.specials):
+                    ids = self.fast.encode(text, allowed_special="all", disallowed_special=())
+                    return np.array(ids, "<u4").tobytes()
+                return self.fast.encode_to_numpy(text, disallowed_special=()).tobytes()
+            except ValueError:
+                pass  # too many blanks in a row for its pattern
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _encoder(path: str) -> Encoder:
