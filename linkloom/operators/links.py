@@ -180,7 +180,9 @@ def listed(parsed: DataFrame, keep: list[str | Column], name: str) -> DataFrame:
 def written_hrefs(html: Column) -> Column:
     """hrefs of a page's anchors as written, in page order, by the scan of the extraction pass.
 
-    Whatever the quotes, the case and the other attributes; anchors in comments and scripts are none.
+    Whatever the quotes and the case on plain pages (``plain_html``); no parser stands behind the scan, so
+    on other pages anchors that it does not match are left out (``<a href = "/x">``, an ``@click`` attribute,
+    more than 50 attributes). ``extract_links`` finds those. Anchors in comments and scripts are none.
     """
     return H.as_written(H.written_hrefs(H.constructs(html)))
 
