@@ -10,21 +10,23 @@ import pyarrow as pa
 from linkloom.llm.words import overlaps
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+def groups(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[pa.Table]:
     """Runs of equal ``key`` of a stream sorted by it; only the run at hand is held."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        values = batch.column(key).to_numpy(zero_copy_only=False)
-        cuts = np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
+        values = [batch.column(k).to_numpy(zero_copy_only=False) for k in key]
+        new = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+        cuts = np.r_[0, np.flatnonzero(new) + 1, batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:]):
-            if held and values[a] != last:
+            here = tuple(v[a] for v in values)
+            if held and here != last:
                 yield pa.Table.from_batches(held)
                 held = []
             held.append(batch.slice(a, b - a))
-            last = values[a]
+            last = here
     if held:
         yield pa.Table.from_batches(held)
 

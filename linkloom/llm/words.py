@@ -28,13 +28,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words and, per text, the number of the first word (one more at the end)."""
     n = len(data)
     if n == 0:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    inside = ~BLANK[data]
+    inside = ~blank[data]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     starts = np.flatnonzero(inside & (first[:n] | np.r_[True, ~inside[:-1]]))
