@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from linkloom.llm import chat, divergence, mixing, sentence_spans
+from linkloom.llm import chat, divergence, mixing, sentence_spans, vector_codes
 from linkloom.llm.exact_search import op10_exact_top_k
 from linkloom.llm.line_dedup import op5_fuzzy_line_dedup
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
@@ -28,12 +28,14 @@ QUERIES = (
     op9_small_world_neighbours,
     op10_exact_top_k,
     divergence.op11_source_divergence,
+    vector_codes.op12_vector_codes,
 )
 SQL: dict[str, str] = {
     "op1_temperature_mixing": mixing.SQL,
     "op2_reply_tree_chat": chat.SQL,
     "op6_sentence_spans": sentence_spans.SQL,
     "op11_source_divergence": divergence.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
 
 
