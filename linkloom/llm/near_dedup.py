@@ -38,17 +38,23 @@ def _sets(data: np.ndarray, offsets: np.ndarray, width: int):
     return shingle_sets(word_codes(low, starts, ends), firsts, width)
 
 
+def set_keys(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Two 64-bit keys of each whole set; zeros for an empty one."""
+    keys = np.zeros((2, len(offsets) - 1), _U)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        keys[0, full] = np.add.reduceat(mixed(flat + _U(1)), offsets[:-1][full])
+        keys[1, full] = np.bitwise_xor.reduceat(mixed(flat ^ _U(977)), offsets[:-1][full])
+    return keys
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n_shingles, key_a, key_b, sketch``; the keys identify the whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_pieces(batches):
             flat, where = _sets(data, offsets, width)
             counts = np.diff(where)
-            keys = np.zeros((2, len(counts)), _U)
-            full = np.flatnonzero(counts)
-            if len(full):
-                keys[0, full] = np.add.reduceat(mixed(flat + _U(1)), where[:-1][full])
-                keys[1, full] = np.bitwise_xor.reduceat(mixed(flat ^ _U(977)), where[:-1][full])
+            keys = set_keys(flat, where)
             marks = sketches(flat, where, SIZE)
             yield pa.record_batch(
                 [

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from linkloom.llm import chat, divergence, mixing, sentence_spans, vector_codes
 from linkloom.llm.exact_search import op10_exact_top_k
+from linkloom.llm.group_join import op13_group_join
 from linkloom.llm.line_dedup import op5_fuzzy_line_dedup
 from linkloom.llm.near_dedup import op8_minhash_near_dedup
 from linkloom.llm.neighbours import op9_small_world_neighbours
@@ -29,6 +30,7 @@ QUERIES = (
     op10_exact_top_k,
     divergence.op11_source_divergence,
     vector_codes.op12_vector_codes,
+    op13_group_join,
 )
 SQL: dict[str, str] = {
     "op1_temperature_mixing": mixing.SQL,
