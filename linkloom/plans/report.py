@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.metrics import human_bytes, ratio
 from linkloom.operators import report as R
 from linkloom.sources import crawl_log as L
+from linkloom.sources.log_sets import whole_logs
 
 
 @dataclass
@@ -50,3 +51,17 @@ def report_of(rows: DataFrame, stats: DataFrame, k: int = 10) -> Report:
 def report_of_lines(lines: DataFrame, k: int = 10) -> Report:
     """Report straight from log lines ``log, ord, line``."""
     return report_of(L.log_rows_with_debug(lines), L.stat_values(lines), k)
+
+
+def report_logs(
+    spark: SparkSession, paths: str | list[str], summary_path: str | None = None, k: int = 10
+) -> tuple[Report, DataFrame]:
+    """Report of every log of ``paths`` that can be read to its end, and one row for each that cannot.
+
+    With ``summary_path`` the run summary there gets a row for each good log, and none for the others.
+    """
+    logs = whole_logs(spark, paths)
+    report = report_of_lines(logs.lines, k)
+    if summary_path is not None:
+        L.append_summary(report.summary, summary_path)
+    return report, logs.failed

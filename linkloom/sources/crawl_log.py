@@ -194,12 +194,18 @@ def log_text(rows: DataFrame, debug: bool = True) -> DataFrame:
     return shaped.select(*lead, *[F.col(c).cast("string").alias(c) for c in columns])
 
 
-def write_log(rows: DataFrame, path: str, debug: bool = True, mode: str = "errorifexists") -> None:
+def write_log(
+    rows: DataFrame,
+    path: str,
+    debug: bool = True,
+    mode: str = "errorifexists",
+    compression: str = "none",
+) -> None:
     """Write rows as tab-separated logs with a header, one ``log=`` folder per log if there are several."""
     text = log_text(rows, debug)
     writer = text.write.mode(mode).options(
         sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression,
     )
     if "log" in rows.columns:
         writer = writer.partitionBy("log")

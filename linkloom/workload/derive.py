@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from linkloom.functions import urls as U
 from linkloom.operators.links import distinct_in_order, written_hrefs
 from linkloom.operators.ordering import running_domain_counts
-from linkloom.session import cut
+from linkloom.session import cut, fresh_path
+from linkloom.sources import crawl_log as L
 from linkloom.sources.pages import enough_tasks
 from linkloom.streaming.live import read_stream
 
@@ -398,3 +399,33 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The crawl log as a stream of events against the static page facts."""
     n = F.lit(pages(spark, sf).count())
     return log_from(read_stream(spark, sf, "events.parquet"), facts(spark, sf), n)
+
+
+def damaged_logs(spark: SparkSession, sf: str, block: int) -> list[str]:
+    """Three whole logs, gzipped; a fourth that has one file of the first cut in half beside a whole one, a
+    fifth whose file is no gzip, a sixth without files, and a seventh that is not there."""
+    path = fresh_path(spark, "logs")
+    rows = counted_log(spark, sf, block)
+    L.write_log(rows.repartition(2, "seq"), path, compression="gzip")
+    L.write_log(rows.filter("log = 'run0'").drop("log"), f"{path}/plain")
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def parts(folder: str) -> list:
+        found = fs.listStatus(place(f"{path}/{folder}"))
+        return [f for f in found if f.getPath().getName().startswith("part-")]
+
+    def copy(file, to: str, size: int) -> None:
+        source, target = fs.open(file.getPath()), fs.create(place(f"{path}/{to}"))
+        jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, size)
+        target.close()
+        source.close()
+
+    for k, file in enumerate(parts("log=run0")):
+        copy(file, f"log=cut/part-{k}.csv.gz", file.getLen() if k else file.getLen() // 2)
+    for k, file in enumerate(parts("plain")):
+        copy(file, f"log=plain/part-{k}.csv.gz", file.getLen())
+    fs.mkdirs(place(f"{path}/log=empty"))
+    names = ("run0", "cut", "run1", "plain", "run2", "empty", "none")
+    return [f"{path}/log={name}" for name in names]

@@ -294,6 +294,10 @@ _add("log_source_lenient", ("typed",), """SELECT log, ord, TRY_CAST(status AS IN
     elapsed_ms FROM typed WHERE TRY_CAST(status AS INTEGER) IS NOT NULL""")
 _add("multi_log_source", ("log",), """SELECT log, count(*) AS n_rows, CAST(sum(bytes) AS BIGINT) AS total_bytes,
     count(*) FILTER (debug_ok) AS debug_rows, CAST(1 AS BIGINT) AS skipped FROM log GROUP BY log""")
+_add("failed_logs", ("log",), """SELECT log, 'read' AS state, count(*) AS n_rows,
+    CAST(sum(bytes) AS BIGINT) AS total_bytes FROM log GROUP BY log
+    UNION ALL SELECT unnest(['cut', 'plain', 'empty', 'none']),
+      unnest(['damaged', 'damaged', 'empty', 'missing']), NULL, NULL""")
 _add("row_quality", ("kinds",), "SELECT log, kind, count(*) AS n_lines FROM kinds GROUP BY log, kind")
 _RUNNING = """count(*) OVER (PARTITION BY log, domain ORDER BY seq) AS domain_count,
     count(*) OVER (PARTITION BY log, superdomain ORDER BY seq) AS super_count"""

@@ -19,6 +19,7 @@ from linkloom.plans import report as PR
 from linkloom.plans import traverse as T
 from linkloom.session import cut, fresh_path, tune
 from linkloom.sources import crawl_log as L
+from linkloom.sources import log_sets as LS
 from linkloom.sources import pages as P
 from linkloom.sources import seeds as S
 from linkloom.streaming import live
@@ -111,6 +112,11 @@ def multi_log_source(spark, sf):
     )
 
 
+@query
+def failed_logs(spark, sf):
+    return LS.log_states(LS.whole_logs(spark, D.damaged_logs(spark, sf, BLOCK)))
+
+
 @query
 def row_quality(spark, sf):
     return L.row_quality(D.raw_log(spark, sf))
