@@ -73,9 +73,9 @@ def written_hrefs(found: Column) -> Column:
     )
 
 
-def as_written(hrefs: Column) -> Column:
-    """hrefs with their ampersands back."""
-    return F.transform(hrefs, lambda h: F.replace(h, F.lit(_AMP), F.lit("&")))
+def _as_written(href: Column) -> Column:
+    """The href with its ampersands back."""
+    return F.replace(href, F.lit(_AMP), F.lit("&"))
 
 
 def _brackets(text: Column) -> Column:
@@ -89,18 +89,25 @@ def is_plain(text: Column, base: Column, found: Column, hrefs: Column) -> Column
     return base.rlike(_BASE) & ~base.rlike(_UNEVEN) & ~text.contains(_AMP) & whole & ~odd
 
 
-def plain_links(base: Column, hrefs: Column) -> Column:
-    """Distinct absolute links from the hrefs of a plain page."""
+def resolved_hrefs(base: Column, hrefs: Column) -> Column:
+    """``href, dst`` of the hrefs of a plain page: as written, and absolute without the fragment."""
     origin = F.regexp_extract(base, r"^(https?://[^/]*)", 1)
     folder = F.regexp_extract(base, r"^(https?://[^/]*/(?:[^?#]*/)?)", 1)
     page = F.regexp_replace(base, r"#.*\z", "")
-    web = F.filter(hrefs, lambda h: ~h.rlike("^(?:javascript|mailto|tel|data):"))
-    resolved = F.transform(
-        web,
-        lambda h: F.when(h.startswith("/"), F.concat(origin, h))
-        .when(h.startswith("#"), page)
-        .when(h.rlike("^https?:"), h)
-        .otherwise(F.concat(folder, h)),
-    )
-    clean = F.transform(resolved, lambda u: F.substring_index(F.replace(u, F.lit(_AMP), F.lit("&")), "#", 1))
-    return F.array_distinct(clean)
+
+    def absolute(h: Column) -> Column:
+        whole = (
+            F.when(h.startswith("/"), F.concat(origin, h))
+            .when(h.startswith("#"), page)
+            .when(h.rlike("^(?:https?|javascript|mailto|tel|data):"), h)
+            .otherwise(F.concat(folder, h))
+        )
+        return F.substring_index(_as_written(whole), "#", 1)
+
+    return F.transform(hrefs, lambda h: F.struct(_as_written(h).alias("href"), absolute(h).alias("dst")))
+
+
+def plain_links(resolved: Column) -> Column:
+    """Distinct absolute web links among the resolved hrefs of a plain page."""
+    web = F.filter(resolved, lambda r: ~r["href"].rlike("^(?:javascript|mailto|tel|data):"))
+    return F.array_distinct(F.transform(web, lambda r: r["dst"]))

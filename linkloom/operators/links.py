@@ -8,6 +8,7 @@ filters on pages belong before it, because predicates do not cross a Python boun
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin, urlsplit
 
@@ -41,13 +42,23 @@ class _Anchors(HTMLParser):
                 self.hrefs.append(values[self.pick])
 
 
-def _targets(hrefs, base: str, accept) -> list[str]:
-    """Distinct accepted absolute links in page order; a link that cannot be parsed is skipped."""
-    found: dict[str, None] = {}
+def _resolved(hrefs: list[str], base: str) -> list[tuple[str, str | None]]:
+    """Each href with its absolute link, fragment dropped; None if it cannot be resolved."""
+    out = []
     for href in hrefs:
         try:
-            target = urldefrag(urljoin(base, href)).url
-            if accept(target):
+            out.append((href, urldefrag(urljoin(base, href)).url))
+        except ValueError:
+            out.append((href, None))
+    return out
+
+
+def _accepted(resolved: list[tuple[str, str | None]], accept) -> list[str]:
+    """Distinct accepted links in page order."""
+    found: dict[str, None] = {}
+    for href, target in resolved:
+        try:
+            if target is not None and accept(href, target):
                 found.setdefault(target)
         except ValueError:
             continue
@@ -69,42 +80,70 @@ def _fed(page: _Anchors, text: str, close: bool) -> bool:
     return False
 
 
-def _fast(text: str, base: str) -> tuple[list[str], bool]:
+@dataclass
+class _Parsed:
+    """What one mode makes of one page."""
+
+    links: list[str]
+    parse_error: bool
+    parser_used: str
+    hrefs: list[tuple[str, str | None]]
+
+
+def _literal(href: str, target: str) -> bool:
+    return target.startswith(("http://", "https://"))
+
+
+def _navigable(href: str, target: str) -> bool:
+    return not href.strip().lower().startswith(_NO_PAGE) and urlsplit(target).scheme in ("http", "https")
+
+
+def _fast(text: str, base: str) -> _Parsed:
     page = _Anchors(pick=0, convert_charrefs=True)
     broken = _fed(page, text, close=False)
-    return _targets(page.hrefs, base, lambda u: u.startswith(("http://", "https://"))), broken
+    hrefs = _resolved(page.hrefs, base)
+    return _Parsed(_accepted(hrefs, _literal), broken, "fast", hrefs)
 
 
-def _robust(text: str, base: str) -> tuple[list[str], bool]:
+def _robust(text: str, base: str) -> _Parsed:
     page = _Anchors(pick=-1, convert_charrefs=False)
     broken = _fed(page, text, close=True)
-    wanted = (h for h in page.hrefs if not h.strip().lower().startswith(_NO_PAGE))
-    return _targets(wanted, base, lambda u: urlsplit(u).scheme in ("http", "https")), broken
+    hrefs = _resolved(page.hrefs, base)
+    return _Parsed(_accepted(hrefs, _navigable), broken, "robust", hrefs)
+
 
+def _auto(text: str, base: str) -> _Parsed:
+    found = _robust(text, base)
+    return _fast(text, base) if found.parse_error else found
 
-def _auto(text: str, base: str) -> tuple[list[str], bool, str]:
-    links, broken = _robust(text, base)
-    if not broken:
-        return links, False, "robust"
-    return *_fast(text, base), "fast"
 
+# Types of what a parse gives, by name.
+_FOUND = {
+    "links": "array<string>",
+    "parse_error": "boolean",
+    "parser_used": "string",
+    "hrefs": "array<struct<href:string,dst:string>>",
+}
+_MODES = {"fast": _fast, "robust": _robust, "auto": _auto}
+
+
+def _batch(mode: str, columns: list[str]):
+    """The parse of ``mode`` as a Pandas UDF that returns ``columns``."""
+    parse = _MODES[mode]
+
+    def value(page: _Parsed, name: str):
+        found = getattr(page, name)
+        return [{"href": h, "dst": d} for h, d in found] if name == "hrefs" else found
 
-def _batch(parse, columns: list[str]):
     def run(text: pd.Series, base: pd.Series) -> pd.DataFrame:
         rows = [parse(t or "", b or "") for t, b in zip(text, base)]
-        return pd.DataFrame(rows, columns=columns)
+        return pd.DataFrame({c: pd.Series([value(r, c) for r in rows], dtype=object) for c in columns})
 
     # Pandas UDFs are told apart by their hints.
     run.__annotations__ = {"text": pd.Series, "base": pd.Series, "return": pd.DataFrame}
-    return run
-
-
-_FOUND = "links array<string>, parse_error boolean"
-_BATCHES = {
-    "fast": (_batch(_fast, ["links", "parse_error"]), _FOUND),
-    "robust": (_batch(_robust, ["links", "parse_error"]), _FOUND),
-    "auto": (_batch(_auto, ["links", "parse_error", "parser_used"]), f"{_FOUND}, parser_used string"),
-}
+    # Declared nondeterministic so that the optimizer keeps one copy: it would otherwise repeat the
+    # parse in the filter it derives from an explode.
+    return F.pandas_udf(run, ", ".join(f"{c} {_FOUND[c]}" for c in columns)).asNondeterministic()
 
 
 def page_text(body: Column, cap: int | None = None) -> Column:
@@ -123,19 +162,20 @@ def with_links(
     body: str = "html",
     cap: int | None = None,
     errors: bool = False,
+    hrefs: bool = False,
 ) -> DataFrame:
     """Add ``links``: the distinct absolute web links of each page in first-seen order.
 
     ``mode`` is ``fast`` (first href attribute, literal http/https), ``robust`` (last href
     attribute, scheme test ignores case) or ``auto`` (robust, falling back to fast on a page the
     robust parser rejects; adds ``parser_used``). A page the parser gives up on keeps the links met
-    until then; ``errors`` adds ``parse_error``, true for such pages. Bodies are read whole unless
-    ``cap`` names a number of bytes.
+    until then; ``errors`` adds ``parse_error``, true for such pages. ``hrefs`` adds the same pass's
+    ``hrefs``: every href of an anchor that is not empty, in page order, as ``href`` (entities decoded)
+    and ``dst`` (absolute, fragment dropped, of any scheme; NULL if it cannot be resolved). Bodies are
+    read whole unless ``cap`` names a number of bytes.
     """
-    batch, schema = _BATCHES[mode]
-    # Declared nondeterministic so that the optimizer keeps one copy: it would otherwise repeat the
-    # parse in the filter it derives from the explode.
-    parse = F.pandas_udf(batch, schema).asNondeterministic()
+    extra = ["parser_used"] * (mode == "auto") + ["parse_error"] * errors + ["hrefs"] * hrefs
+    parse = _batch(mode, ["links", *extra])
     base = F.col(url)
     read = pages.withColumn("_text", page_text(F.col(body), cap))
     read = read.withColumn("_found", H.constructs(F.col("_text")))
@@ -143,13 +183,18 @@ def with_links(
     plain = H.is_plain(F.col("_text"), base, F.col("_found"), F.col("_hrefs"))
     read = read.withColumn("_plain", plain).drop("_found")
     parsed = read.withColumn("_parsed", parse(F.when(~F.col("_plain"), F.col("_text")), base))
-    easy = F.when(F.col("_plain"), H.plain_links(base, F.col("_hrefs")))
-    out = [F.coalesce(easy, "_parsed.links").alias("links")]
-    if mode == "auto":
-        used = F.when(F.col("_plain"), "robust").otherwise(F.col("_parsed.parser_used"))
-        out.append(used.alias("parser_used"))
-    if errors:
-        out.append((~F.col("_plain") & F.col("_parsed.parse_error")).alias("parse_error"))
+    easy = F.when(F.col("_plain"), H.resolved_hrefs(base, F.col("_hrefs")))
+    parsed = parsed.withColumn("_easy", easy)
+    known = {
+        "links": H.plain_links(F.col("_easy")),
+        "parser_used": F.lit("robust"),
+        "parse_error": F.lit(False),
+        "hrefs": F.col("_easy"),
+    }
+    out = [
+        F.when(F.col("_plain"), known[c]).otherwise(F.col(f"_parsed.{c}")).alias(c)
+        for c in ("links", *extra)
+    ]
     return parsed.select(*pages.columns, *out)
 
 
@@ -177,14 +222,22 @@ def listed(parsed: DataFrame, keep: list[str | Column], name: str) -> DataFrame:
     return rows.filter(F.col("pos").isNotNull())
 
 
-def written_hrefs(html: Column) -> Column:
-    """hrefs of a page's anchors as written, in page order, by the scan of the extraction pass.
+def page_hrefs(
+    pages: DataFrame,
+    key: str = "page_id",
+    mode: str = "robust",
+    url: str = "url",
+    body: str = "html",
+    cap: int | None = None,
+) -> DataFrame:
+    """One row per href of an anchor: ``key``, ``pos`` (page order), ``href`` as written, ``dst`` resolved.
 
-    Whatever the quotes and the case on plain pages (``plain_html``); no parser stands behind the scan, so
-    on other pages anchors that it does not match are left out (``<a href = "/x">``, an ``@click`` attribute,
-    more than 50 attributes). ``extract_links`` finds those. Anchors in comments and scripts are none.
+    The hrefs of the extraction pass (``with_links``), so of any page the parser can read; of a page it
+    gives up on, those met until then. Anchors in comments and scripts are none.
     """
-    return H.as_written(H.written_hrefs(H.constructs(html)))
+    parsed = with_links(pages.select(key, url, body), mode, url, body, cap, hrefs=True)
+    rows = parsed.select(key, F.posexplode_outer("hrefs").alias("pos", "h")).filter(F.col("pos").isNotNull())
+    return rows.select(key, F.col("pos").cast("bigint").alias("pos"), "h.href", "h.dst")
 
 
 def distinct_in_order(links: Column) -> Column:

@@ -35,13 +35,27 @@ def _answered(status: Column) -> Column:
     return (status >= 200) & (status < 300)
 
 
+def _rank(status: Column, body: Column) -> Column:
+    """How much an answer says: rules, then a good answer without a body, 4xx, 5xx, any other status, none."""
+    return (
+        F.when(_answered(status), F.when(body.isNotNull(), 0).otherwise(1))
+        .when((status >= 400) & (status < 500), 2)
+        .when((status >= 500) & (status < 600), 3)
+        .when(status != 0, 4)
+        .otherwise(5)
+    )
+
+
 def one_answer(robots: DataFrame) -> DataFrame:
-    """One robots answer per host: the least status, so a good answer goes before a failed one.
+    """One robots answer per host, of several copies the one that says most: 2xx with a body before 2xx
+    without, then 4xx, 5xx and other statuses, and no answer (0 or NULL) only where there is no other.
+    In a class the least status and then the least body, so the choice does not depend on order.
 
     Copies shrink to one row per task before the shuffle, and the later steps, all by host, reuse
     this partitioning.
     """
-    answer = F.min(F.struct("status", "body")).alias("answer")
+    rank = _rank(F.col("status"), F.col("body")).alias("rank")
+    answer = F.min(F.struct(rank, "status", "body")).alias("answer")
     return robots.groupBy("host").agg(answer).select("host", "answer.status", "answer.body")
 
 

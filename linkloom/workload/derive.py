@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import urls as U
-from linkloom.operators.links import distinct_in_order, written_hrefs
+from linkloom.operators.links import distinct_in_order, with_links
 from linkloom.operators.ordering import running_domain_counts
 from linkloom.session import cut, fresh_path
 from linkloom.sources import crawl_log as L
@@ -37,22 +37,34 @@ def n_pages(spark: SparkSession, sf: str) -> Column:
     return pages(spark, sf).agg(F.count("*")).scalar()
 
 
+def url_facts(pages_df: DataFrame) -> DataFrame:
+    """What a page's URL tells; bodies are not read."""
+    url = U.canonical_url(F.col("url"))
+    return pages_df.select(
+        "page_id",
+        url.alias("url"),
+        U.url_domain(url).alias("domain"),
+        U.superdomain(U.url_domain(url)).alias("superdomain"),
+    )
+
+
 def page_facts(pages_df: DataFrame) -> DataFrame:
     """Narrow page attributes; bodies stay behind."""
+    parsed = with_links(pages_df.select("page_id", "url", "html"), "robust", hrefs=True)
+    distinct = distinct_in_order(F.transform("hrefs", lambda h: h["href"]))
     url = U.canonical_url(F.col("url"))
-    hrefs = distinct_in_order(written_hrefs(F.col("html")))
-    return pages_df.select(
+    return parsed.select(
         "page_id",
         url.alias("url"),
         U.url_domain(url).alias("domain"),
         U.superdomain(U.url_domain(url)).alias("superdomain"),
         F.octet_length("html").cast("bigint").alias("size"),
-        F.size(hrefs).cast("bigint").alias("n_links"),
+        F.size(distinct).cast("bigint").alias("n_links"),
     )
 
 
-def log_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
-    """Crawl-log rows: one per event, the page chosen by event_id."""
+def visits_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
+    """One visit per event, the page chosen by event_id: what of a log row needs no body."""
     e = F.col("event_id")
     status = (
         F.when((F.col("event_type") == "signup") & (e % 4 == 0), 404)
@@ -62,25 +74,26 @@ def log_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
         )
         .otherwise(200)
     )
-    elapsed = (100 + F.floor(F.col("value") * 10)).cast("bigint")
+    return events_df.select(
+        F.concat(F.lit("run"), F.col("user_id") % 3).alias("log"),
+        e.alias("seq"),
+        (e % n).alias("page_id"),
+        "event_id",
+        "ts",
+        status.cast("int").alias("status"),
+        (F.col("user_id") % 5).cast("int").alias("depth"),
+        ((F.col("user_id") % 5) - (e % 7) * F.lit(0.000125)).alias("priority"),
+        (100 + F.floor(F.col("value") * 10)).cast("bigint").alias("elapsed_ms"),
+        (e % 10 != 0).alias("debug_ok"),
+    ).join(facts, "page_id")
+
+
+def log_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
+    """Crawl-log rows: one per visit."""
+    e = F.col("event_id")
     good = F.col("status") == 200
-    debug_ok = e % 10 != 0
-    rows = (
-        events_df.select(
-            F.concat(F.lit("run"), F.col("user_id") % 3).alias("log"),
-            e.alias("seq"),
-            (e % n).alias("page_id"),
-            "event_id",
-            "ts",
-            status.cast("int").alias("status"),
-            (F.col("user_id") % 5).cast("int").alias("depth"),
-            ((F.col("user_id") % 5) - (e % 7) * F.lit(0.000125)).alias("priority"),
-            elapsed.alias("elapsed_ms"),
-            debug_ok.alias("debug_ok"),
-        )
-        .join(facts, "page_id")
-        .withColumn("bytes", F.when(good, F.col("size")).otherwise(0).cast("bigint"))
-    )
+    size = F.when(good, F.col("size")).otherwise(0).cast("bigint")
+    rows = visits_from(events_df, facts, n).withColumn("bytes", size)
     found = F.when(good, F.col("n_links")).otherwise(0)
 
     def tail(x: Column) -> Column:
@@ -102,7 +115,17 @@ def log_from(events_df: DataFrame, facts: DataFrame, n: Column) -> DataFrame:
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     """Page attributes, kept: a join would otherwise work them out again for every event."""
-    return cut(page_facts(pages(spark, sf)))
+    return cut(page_facts(parse_pages(spark, sf)))
+
+
+def urls_of_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """URL attributes of the pages, kept as ``facts`` are."""
+    return cut(url_facts(pages(spark, sf)))
+
+
+def visits(spark: SparkSession, sf: str) -> DataFrame:
+    """Log rows without what comes from bodies, for queries that ask for URLs, domains and statuses."""
+    return visits_from(events(spark, sf), urls_of_pages(spark, sf), n_pages(spark, sf))
 
 
 def crawl_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,7 +348,7 @@ def robots_for(hosts: DataFrame) -> DataFrame:
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate URLs, half of them without a page: ``event_id, url, ct, depth, domain, superdomain``."""
     e = F.col("event_id")
-    known = facts(spark, sf).select("page_id", F.col("url").alias("known"))
+    known = urls_of_pages(spark, sf).select("page_id", F.col("url").alias("known"))
     url = F.coalesce(
         "known", F.concat(F.lit("https://missing.example.com/"), F.col("page_id").cast("string"))
     )
@@ -429,3 +452,41 @@ def damaged_logs(spark: SparkSession, sf: str, block: int) -> list[str]:
     fs.mkdirs(place(f"{path}/log=empty"))
     names = ("run0", "cut", "run1", "plain", "run2", "empty", "none")
     return [f"{path}/log={name}" for name in names]
+
+
+def damaged_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with anchors written in eight ways that parsers read alike or are known to differ on:
+    ``page_id, url, html``. Five in eight are not plain, and one in eight breaks the parser off."""
+    p = F.col("page_id").cast("string")
+    k = F.col("page_id") % 8
+
+    def text(*parts) -> Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    before = (
+        F.when(k == 0, text("<a href=/u", p, ">u</a>"))
+        .when(k == 1, text('<a href = "/s', p, '">s</a>'))
+        .when(k == 2, text('<a href="/e', p, '?a=1&#38;b=2">e</a>'))
+        .when(k == 3, text('<a href="/one', p, '" href="/two', p, '">t</a>'))
+        .when(k == 4, text("<A @click=\"go()\" HREF='/q", p, "'>q</A><!-- <a href=\"/no", p, '">n</a> -->'))
+        .when(k == 5, text('<a title="a>b" href = /g', p, '><a href="/h', p, '">h</a></a>'))
+        .when(k == 6, text('<a href="/b', p, '">b</a><![odd[ <a href="/lost', p, '">l</a>'))
+        .otherwise("")
+    )
+    after = F.when(k == 7, text('<a href="/y', p, '">y</a><a class="x" href = "/cut', p)).otherwise("")
+    html = F.concat(F.lit("<html><body>"), before, F.lit("<hr>"), F.col("html"), after)
+    return parse_pages(spark, sf).select("page_id", "url", html.alias("html"))
+
+
+def robots_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """A robots answer per page, so several per host, of one to five kinds: ``host, status, body``."""
+    hosts = pages(spark, sf).select("page_id", U.url_domain(F.col("url")).alias("host"))
+    least = hosts.groupBy("host").agg(F.min("page_id").alias("p"))
+    kinds = F.col("p") % 5
+    kind = F.col("page_id") % (kinds + 1) + 4 - kinds
+    status = (
+        F.when(kind == 0, 200).when(kind == 1, 404).when(kind == 2, 403).when(kind == 3, 503)
+        .when(F.col("page_id") % 2 == 0, 0)
+    )
+    body = F.when(kind == 0, "User-agent: *\nDisallow: /en")
+    return hosts.join(least, "host").select("host", status.cast("int").alias("status"), body.alias("body"))

@@ -177,6 +177,30 @@ _CTE = {
     "links": """SELECT page_id, url, dst,
         CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(pos)) - 1 AS BIGINT) AS pos
         FROM resolved GROUP BY page_id, url, dst""",
+    # Hrefs that damaged_pages adds: as the parser that takes the last of two hrefs reads them, and as the
+    # one that takes the first does; a page broken off keeps none of its own.
+    "added": """SELECT page_id, page_id % 8 AS k, page_id % 8 = 7 AS behind, page_id % 8 = 6 AS broken,
+        CASE page_id % 8 WHEN 0 THEN ['/u'] WHEN 1 THEN ['/s'] WHEN 2 THEN ['/e'] WHEN 3 THEN ['/two']
+          WHEN 4 THEN ['/q'] WHEN 5 THEN ['/g', '/h'] WHEN 6 THEN ['/b'] ELSE ['/y'] END AS names FROM pages""",
+    "added_hrefs": """SELECT page_id, k, behind, names[i] || page_id || CASE WHEN k = 2 THEN '?a=1&b=2' ELSE '' END AS href,
+        i - 1 AS i, len(names) AS n FROM (SELECT *, unnest(range(1, len(names) + 1)) AS i FROM added)""",
+    "own_hrefs": """SELECT page_id, replace(href, '&amp;', '&') AS href, dst, pos FROM resolved
+        WHERE page_id % 8 <> 6""",
+    "own_counts": "SELECT page_id, count(*) AS n FROM own_hrefs GROUP BY page_id",
+    "damaged_hrefs": """SELECT page_id, pos + CASE WHEN behind THEN 0 ELSE len(names) END AS pos, href, dst
+          FROM own_hrefs JOIN added USING (page_id)
+        UNION ALL SELECT a.page_id, a.i + CASE WHEN behind THEN coalesce(o.n, 0) ELSE 0 END, a.href,
+          regexp_extract(c.url, '^([^:]*://[^/?]*)', 1) || a.href
+        FROM added_hrefs a JOIN clean c USING (page_id) LEFT JOIN own_counts o USING (page_id)""",
+    "damaged_links": """SELECT page_id, dst, CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(pos)) - 1 AS BIGINT) AS pos
+        FROM damaged_hrefs GROUP BY page_id, dst""",
+    "copies": f"""SELECT host, CASE kind WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 403 WHEN 3 THEN 503
+          ELSE CASE WHEN page_id % 2 = 0 THEN 0 END END AS status, kind
+        FROM (SELECT host, page_id, page_id % (p % 5 + 1) + 4 - p % 5 AS kind FROM (
+          SELECT page_id, {_HOST.format("url")} AS host, min(page_id) OVER (PARTITION BY {_HOST.format("url")}) AS p
+          FROM pages))""",
+    "best_copy": """SELECT host, min(CASE kind WHEN 0 THEN 0 WHEN 2 THEN 1 ELSE kind + 1 END) AS best
+        FROM copies GROUP BY host""",
     "hrefvar": """SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos FROM (
         SELECT page_id, ['/p' || page_id, 'HTTP://' || a || '/p' || page_id,
           'https://' || a || '/p' || page_id, 'mailto:a@' || a, '  JavaScript:go(' || page_id || ')',
@@ -267,7 +291,9 @@ _NEEDS = {
     "queue": ("edges",), "best": ("queue",), "walk": ("links_of",), "bfs": ("walk",),
     "by_host": ("bfs",), "by_level": ("bfs",), "robots": ("hosts",), "rlines": ("robots",),
     "rfields": ("rlines",), "rgroups": ("rfields",), "rrules": ("rgroups",), "rchosen": ("rrules",),
-    "rhits": ("clean", "rchosen"), "long": ("log",), "long_raw": ("tailed",),
+    "rhits": ("clean", "rchosen"), "added_hrefs": ("added",), "own_hrefs": ("resolved",),
+    "own_counts": ("own_hrefs",), "damaged_hrefs": ("own_counts", "added_hrefs", "clean"),
+    "damaged_links": ("damaged_hrefs",), "best_copy": ("copies",), "long": ("log",), "long_raw": ("tailed",),
 }
 
 
@@ -320,6 +346,16 @@ _add("run_summary_append", ("summary",), "SELECT * FROM summary UNION ALL SELECT
 for _name in ("extract_links", "extract_links_fast", "stream_links"):
     _add(_name, ("links",), "SELECT page_id, pos, dst FROM links")
 _add("extract_links_auto", ("links",), "SELECT page_id, 'robust' AS parser_used, pos, dst FROM links")
+_add("damaged_links", ("damaged_links",), "SELECT page_id, pos, dst FROM damaged_links")
+_add("damaged_links_fast", ("damaged_links",), """SELECT page_id, pos,
+    CASE WHEN page_id % 8 = 3 AND pos = 0 THEN replace(dst, '/two', '/one') ELSE dst END AS dst FROM damaged_links""")
+_add("damaged_links_auto", ("damaged_links",), """SELECT page_id, pos, dst,
+    CASE WHEN page_id % 8 = 6 THEN 'fast' ELSE 'robust' END AS parser_used FROM damaged_links""")
+_add("damaged_hrefs", ("damaged_hrefs",), "SELECT page_id, CAST(pos AS BIGINT) AS pos, href, dst FROM damaged_hrefs")
+_add("damaged_dedupe", ("damaged_hrefs",), """SELECT page_id, CAST(sum(n) AS BIGINT) AS n_links, count(*) AS n_distinct,
+    string_agg(href, ' ' ORDER BY pos) AS links
+    FROM (SELECT page_id, href, min(pos) AS pos, count(*) AS n FROM damaged_hrefs GROUP BY page_id, href)
+    GROUP BY page_id""")
 _add("navigable_hrefs", ("hrefvar",), """SELECT page_id, pos, href FROM hrefvar
     WHERE href <> '' AND NOT regexp_matches(lower(trim(href)), '^(javascript|mailto|tel|data):')""")
 _add("http_only", ("hrefvar",), """SELECT page_id, pos,
@@ -394,6 +430,13 @@ _add("robots_filter", ("clean", "robots", "rhits"), f"""SELECT c.page_id, c.url,
     CASE k WHEN 5 THEN false WHEN 6 THEN false WHEN 7 THEN true ELSE coalesce(h.allow, true) END AS if_deny,
     CASE k WHEN 5 THEN true WHEN 6 THEN false WHEN 7 THEN true ELSE coalesce(h.allow, true) END AS if_allow
     FROM clean c JOIN robots r ON r.host = {_HOST.format("c.url")} LEFT JOIN rhits h USING (page_id)""")
+# 403 goes before 404 in their class, and refuses.
+_add("robots_copies", ("clean", "best_copy"), f"""SELECT c.page_id, c.url,
+    CASE best WHEN 0 THEN NOT ok WHEN 2 THEN true ELSE false END AS if_deny,
+    CASE best WHEN 0 THEN NOT ok WHEN 1 THEN false ELSE true END AS if_allow
+    FROM (SELECT page_id, url, {_HOST.format("url")} AS host,
+            starts_with(regexp_extract(url, '^[^:]*://[^/?]*(.*)$', 1), '/en') AS ok FROM clean) c
+    JOIN best_copy USING (host)""")
 
 # -- traversal -------------------------------------------------------------------------------
 

@@ -188,11 +188,7 @@ def http_only(spark, sf):
 
 @query
 def resolve_links(spark, sf):
-    hrefs = D.pages(spark, sf).select(
-        "page_id", "url", F.posexplode(K.written_hrefs(F.col("html"))).alias("pos", "href")
-    )
-    dst = U.resolve_url(F.col("url"), F.col("href"))
-    return hrefs.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", dst.alias("dst"))
+    return K.page_hrefs(D.parse_pages(spark, sf))
 
 
 @query
@@ -202,9 +198,14 @@ def defragment(spark, sf):
 
 @query
 def dedupe_links(spark, sf):
-    hrefs = K.written_hrefs(F.col("html"))
+    return _deduped(D.parse_pages(spark, sf))
+
+
+def _deduped(pages):
+    parsed = K.with_links(pages.select("page_id", "url", "html"), "robust", hrefs=True)
+    hrefs = F.transform("hrefs", lambda h: h["href"])
     kept = K.distinct_in_order(hrefs)
-    return D.pages(spark, sf).select(
+    return parsed.select(
         "page_id",
         F.size(hrefs).cast("bigint").alias("n_links"),
         F.size(kept).cast("bigint").alias("n_distinct"),
@@ -212,6 +213,31 @@ def dedupe_links(spark, sf):
     )
 
 
+@query
+def damaged_links(spark, sf):
+    return K.extract_links(D.damaged_pages(spark, sf), mode="robust")
+
+
+@query
+def damaged_links_fast(spark, sf):
+    return K.extract_links(D.damaged_pages(spark, sf), mode="fast")
+
+
+@query
+def damaged_links_auto(spark, sf):
+    return K.extract_links(D.damaged_pages(spark, sf), mode="auto")
+
+
+@query
+def damaged_hrefs(spark, sf):
+    return K.page_hrefs(D.damaged_pages(spark, sf))
+
+
+@query
+def damaged_dedupe(spark, sf):
+    return _deduped(D.damaged_pages(spark, sf))
+
+
 @query
 def decode_html(spark, sf):
     damaged = F.concat(F.col("html").cast("binary"), F.unhex(F.lit("FFC328")))
@@ -276,7 +302,7 @@ def link_edges(spark, sf):
 def page_link_counts(spark, sf):
     edges = K.link_edges(D.parse_pages(spark, sf)).withColumn("domain", U.url_domain(F.col("dst")))
     visited = D.pages(spark, sf).select(U.canonical_url(F.col("url")).alias("url")).distinct()
-    failing = fr.failing_domains(D.crawl_log(spark, sf), 30)
+    failing = fr.failing_domains(D.visits(spark, sf), 30)
     rules = ~U.has_disallowed_extension(F.col("dst"))
     return K.page_link_counts(fr.mark_accepted(edges, visited, failing, rules))
 
@@ -352,7 +378,7 @@ def parse_eligible(spark, sf):
 
 @query
 def attach_counts(spark, sf):
-    counts = D.crawl_log(spark, sf).groupBy("domain", "superdomain").agg(F.count("*").alias("n"))
+    counts = D.visits(spark, sf).groupBy("domain", "superdomain").agg(F.count("*").alias("n"))
     return fr.attach_counts(D.candidates(spark, sf), counts).select(
         "event_id", "domain_seen", "super_seen"
     )
@@ -399,6 +425,14 @@ def robots_filter(spark, sf):
     return both.select("page_id", "url", "if_deny", "if_allow")
 
 
+@query
+def robots_copies(spark, sf):
+    urls = D.pages(spark, sf).select("page_id", U.canonical_url(F.col("url")).alias("url"))
+    urls = urls.withColumn("domain", U.url_domain(F.col("url")))
+    both = RB.robots_verdicts(urls, D.robots_copies(spark, sf), D.USER_AGENT)
+    return both.select("page_id", "url", "if_deny", "if_allow")
+
+
 # -- traversal -------------------------------------------------------------------------------
 
 

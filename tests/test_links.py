@@ -58,8 +58,54 @@ def test_auto_names_its_parser(spark):
 
 
 def test_auto_falls_back(monkeypatch):
-    monkeypatch.setattr(K, "_robust", lambda text, base: ([], True))
-    assert K._auto('<a href="/x">', BASE) == (["https://a.com/x"], False, "fast")
+    monkeypatch.setattr(K, "_robust", lambda text, base: K._Parsed([], True, "robust", []))
+    found = K._auto('<a href="/x">', BASE)
+    assert (found.links, found.parse_error, found.parser_used) == (["https://a.com/x"], False, "fast")
+
+
+HREFS = [
+    # html, hrefs as written, their links; plain pages first
+    ('<a href="/a#f">x</a><a href="mailto:m@a#b"><a href=b?c=1&amp;d=2>', ["/a#f", "mailto:m@a#b", "b?c=1&d=2"],
+     ["https://a.com/a", "mailto:m@a", "https://a.com/x/b?c=1&d=2"]),
+    ('<a href="#top">x</a><a href="">e</a><a>n</a><a href="http://b.com">', ["#top", "http://b.com"],
+     ["https://a.com/x/y?q", "http://b.com"]),
+    ('<a href = "/a">x</a><A @click="go()" HREF=\'../b\'>y</A>', ["/a", "../b"], ["https://a.com/a", "https://a.com/b"]),
+    ('<a href="/one" href="/two">x</a><a href="/a?b&#61;1">', ["/two", "/a?b=1"], ["https://a.com/two", "https://a.com/a?b=1"]),
+    ('<!-- <a href="/no"> --><a href=" http://[bad/x">x</a><a  href="/a"' + " b=c" * 60 + ">", [" http://[bad/x", "/a"],
+     [None, "https://a.com/a"]),
+    ('<a href="/a">x</a><![odd[ <a href="/lost">', ["/a"], ["https://a.com/a"]),
+    ('<a href="/a">x</a><a href = "/cut', ["/a"], ["https://a.com/a"]),
+    ("", [], []),
+    (None, [], []),
+]
+
+
+def test_hrefs_of_the_parse(spark):
+    df = spark.createDataFrame([(i, BASE, h[0]) for i, h in enumerate(HREFS)], "page_id int, url string, html string")
+    rows = K.page_hrefs(df).orderBy("page_id", "pos").collect()
+    for i, (html, hrefs, links) in enumerate(HREFS):
+        assert [(r.pos, r.href, r.dst) for r in rows if r.page_id == i] == [
+            (k, h, x) for k, (h, x) in enumerate(zip(hrefs, links))
+        ], html
+    # Both parsers read plain pages alike; they differ where a page gives an anchor two hrefs.
+    fast = {(r.page_id, r.pos): r.href for r in K.page_hrefs(df, mode="fast").collect()}
+    assert fast[(3, 0)] == "/one" and fast[(0, 2)] == "b?c=1&d=2"
+    both = K.with_links(df, "robust", hrefs=True).collect()
+    alone = {r.page_id: r.links for r in K.with_links(df, "robust").collect()}
+    assert all(r.links == alone[r.page_id] for r in both)
+
+
+def test_damaged_pages_reach_the_parser(spark, small):
+    from linkloom.functions import plain_html as H
+    from linkloom.workload import derive as D
+
+    df = D.damaged_pages(spark, small)
+    found = H.constructs(F.col("html"))
+    plain = H.is_plain(F.col("html"), F.col("url"), found, H.written_hrefs(found))
+    kinds = {r.k: r.plain for r in df.groupBy((F.col("page_id") % 8).alias("k")).agg(F.bool_and(plain).alias("plain")).collect()}
+    assert sum(not p for p in kinds.values()) >= 4
+    used = {r.parser_used for r in K.with_links(df, "auto").select("parser_used").collect()}
+    assert used == {"robust", "fast"}
 
 
 def test_links_before_broken_markup_are_kept(spark):

@@ -95,3 +95,32 @@ def test_copies_of_an_answer_count_once(spark):
     df = spark.createDataFrame([("h", "http://h/x"), ("h", "http://h/y")], "domain string, url string")
     got = {r.url: r.allowed for r in R.robots_filter(df, robots, AGENT).collect()}
     assert got == {"http://h/x": False, "http://h/y": True}
+
+
+def test_choice_among_copies(spark):
+    rules, other = "User-agent: *\nDisallow: /x", "User-agent: *\nDisallow: /y"
+    copies = {
+        "none-and-good": [(0, None), (None, None), (200, rules)],
+        "good-without-body": [(200, None), (204, rules)],
+        "failed-and-good": [(503, None), (404, None), (200, rules), (0, None)],
+        "two-good": [(200, other), (200, rules)],
+        "moved": [(302, None), (0, None)],
+        "gone": [(500, None), (404, None), (0, None)],
+        "refused": [(404, None), (403, None), (503, None)],
+        "down": [(503, None), (0, None), (None, "x")],
+        "nothing": [(0, None), (None, None)],
+    }
+    rows = [(h, s, b) for h, answers in copies.items() for s, b in answers]
+    for order in (rows, rows[::-1], rows * 3):
+        df = spark.createDataFrame(order, "host string, status int, body string").repartition(3)
+        best = {r.host: (r.status, r.body) for r in R.one_answer(df).collect()}
+        assert best == {
+            "none-and-good": (200, rules), "good-without-body": (204, rules), "failed-and-good": (200, rules),
+            "two-good": (200, rules), "moved": (302, None), "gone": (404, None), "refused": (403, None),
+            "down": (503, None), "nothing": (None, None),
+        }
+        urls = spark.createDataFrame([(h, f"https://{h}{p}") for h in copies for p in ("/x", "/z")], "domain string, url string")
+        got = {r.url[8:]: (r.if_deny, r.if_allow) for r in R.robots_verdicts(urls, df, "bot/1").collect()}
+        assert got["none-and-good/x"] == (False, False) and got["none-and-good/z"] == (True, True)
+        assert got["gone/x"] == (True, True) and got["refused/x"] == (False, False)
+        assert got["down/x"] == got["nothing/x"] == got["moved/x"] == (False, True)
