@@ -119,6 +119,44 @@ def bfs_depths(
     return visited.all
 
 
+def enqueue_order(
+    edges: DataFrame,
+    seeds: DataFrame,
+    max_depth: int = fr.MAX_DEPTH,
+    hot_edges: int = HOT_EDGES,
+) -> DataFrame:
+    """``url, depth, seq``: the number under which a breadth-first traversal first queues each URL.
+
+    ``edges`` is ``src, pos, dst``, ``seeds`` is ``url, ord``. Seeds are queued in their order; a level's
+    pages are taken in theirs, and each queues its new links by position. A URL's place in its level is
+    the path of positions that leads to it, so a level is never numbered by itself: paths of one level
+    have one length and compare as arrays, and all rows are numbered once, at the end.
+    """
+    table = LinkTable.of(edges.select("src", "pos", "dst"), hot_edges)
+
+    def reached(found: DataFrame, depth: int) -> tuple[DataFrame, int]:
+        path = F.concat("parent", F.array("pos"))
+        return settle(found.select("url", F.lit(depth).alias("depth"), path.alias("path")), "url")
+
+    start = seeds.groupBy("url").agg(F.min(F.col("ord").cast("bigint")).alias("pos"))
+    start = start.withColumn("parent", F.array().cast("array<bigint>"))
+    visited = Visited([], [])
+    level, n = reached(start, 0)
+    visited.add(level, n)
+    for depth in range(1, max_depth + 1):
+        first = (
+            table.leaving(level.select("url", F.col("path").alias("parent")))
+            .groupBy(F.col("dst").alias("url"))
+            .agg(F.min(F.struct("parent", F.col("pos").cast("bigint").alias("pos"))).alias("first"))
+            .select("url", "first.*")
+        )
+        level, n = reached(visited.without(first), depth)
+        if n == 0:
+            break
+        visited.add(level, n)
+    return numbered(visited.all, ["depth", "path"], "seq").select("url", "depth", "seq")
+
+
 def seen_before_level(nodes: DataFrame, key: str, name: str) -> DataFrame:
     """Nodes of each ``key`` at smaller depths: ``key, depth, name``."""
     earlier = Window.partitionBy(key).orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,20 +172,57 @@ def crawl_order(
     max_pages: int | None = None,
     weights: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Crawl rank of every reachable URL by ``(priority, depth, url)``.
+    """Crawl rank of every reachable URL by ``(priority, depth, seq)``, ``seq`` as in ``enqueue_order``.
 
     A URL's priority uses the counts of its domain and superdomain at the start of its level.
     """
     domain = U.url_domain(F.col("url"))
-    nodes = bfs_depths(edges, seeds, max_depth).withColumn("domain", domain)
+    nodes = enqueue_order(edges, seeds, max_depth).withColumn("domain", domain)
     nodes = nodes.withColumn("superdomain", U.superdomain(F.col("domain")))
     by_domain = own_side(seen_before_level(nodes, "domain", "domain_seen"))
     by_super = own_side(seen_before_level(nodes, "superdomain", "super_seen"))
     counted = nodes.join(by_domain, ["domain", "depth"]).join(by_super, ["superdomain", "depth"])
-    ranked = numbered(fr.with_priority(counted, **(weights or {})), ["priority", "depth", "url"])
+    ranked = numbered(fr.with_priority(counted, **(weights or {})), ["priority", "depth", "seq"])
     if max_pages is not None:
         ranked = ranked.filter(F.col("rank") <= max_pages)
-    return ranked.select("rank", "url", "depth", "domain", "superdomain", "priority")
+    return ranked.select("rank", "url", "depth", "seq", "domain", "superdomain", "priority")
+
+
+@dataclass
+class Counters:
+    """Pages and failures per domain and pages per superdomain of the levels so far.
+
+    A level is folded in by itself: what came before is these two tables, not the levels.
+    """
+
+    by_domain: DataFrame | None = None
+    by_super: DataFrame | None = None
+
+    def fold(self, level: DataFrame) -> Counters:
+        new = level.filter("NOT refused").groupBy("domain", "superdomain").agg(
+            F.count("*").alias("domain_seen"),
+            F.count_if(is_backoff_status(F.col("status"))).alias("failures"),
+        )
+        if self.by_domain is not None:
+            both = self.by_domain.unionByName(new)
+            sums = [F.sum(c).alias(c) for c in ("domain_seen", "failures")]
+            new = both.groupBy("domain", "superdomain").agg(*sums)
+        by_domain = own_side(new)
+        by_super = by_domain.groupBy("superdomain").agg(F.sum("domain_seen").alias("super_seen"))
+        return Counters(by_domain, own_side(by_super))
+
+    def attached(self, out: DataFrame, backoff: int) -> DataFrame:
+        """Candidates with ``domain_seen`` and ``super_seen``; those of domains at the failure limit go."""
+        zero = F.lit(0).cast("bigint")
+        if self.by_domain is None:
+            return out.withColumns({"domain_seen": zero, "super_seen": zero})
+        return (
+            out.join(self.by_domain.drop("superdomain"), "domain", "left")
+            .filter(F.coalesce("failures", zero) < backoff)
+            .join(self.by_super, "superdomain", "left")
+            .withColumns({c: F.coalesce(c, zero) for c in ("domain_seen", "super_seen")})
+            .drop("failures")
+        )
 
 
 @dataclass
@@ -172,6 +247,7 @@ def _page_facts(pages: DataFrame, cap: int | None) -> DataFrame:
             "elapsed_ms",
             (F.octet_length(html) > 0).alias("has_body"),
             full.cast("int").alias("html_truncated"),
+            *([F.col("final_url")] if "final_url" in pages.columns else []),
         ).alias("page"),
     )
     return narrow.groupBy("url").agg(F.min_by("page", "page.page_id").alias("page"))
@@ -212,6 +288,10 @@ def crawl(
     ``(priority, parent's place, position on the page)``; counters and failures are those of the
     levels before. A URL without a page is logged with status 0. ``robots=None`` turns the robots
     rules off.
+
+    Pages may have a ``final_url``, where a redirect led: the log then carries it (a page without one has
+    its own URL there). It changes nothing else: links are resolved against the URL that was asked for,
+    and the final URL is not visited by that.
     """
     pages = snapshot(pages)
     facts = cut(_page_facts(pages, cap))
@@ -224,18 +304,13 @@ def crawl(
         facts, robots, user_agent, on_unreachable, skip,
     )
 
-    def visit(found: DataFrame, depth: int, before: DataFrame | None) -> tuple[DataFrame, int]:
+    def visit(found: DataFrame, depth: int, before: Counters) -> tuple[DataFrame, int]:
         """Rows of a level from ``url, parent, pos``; ``place`` sorts a level by visiting order.
 
         A place is the row's priority, its parent's place and its position in one array: levels are
         compared with themselves only, so the arrays have equal length, and no level is numbered.
         """
-        out = found.join(nodes, "url").filter("allowed")
-        if before is None:
-            zero = F.lit(0).cast("bigint")
-            out = out.withColumns({"domain_seen": zero, "super_seen": zero})
-        else:
-            out = _with_state(out, before, backoff)
+        out = before.attached(found.join(nodes, "url").filter("allowed"), backoff)
         priority = novelty_priority(
             F.lit(depth), F.col("domain_seen"), F.col("super_seen"), **(weights or {})
         )
@@ -249,7 +324,7 @@ def crawl(
     found = start.groupBy("url").agg(F.min("ord").alias("pos"))
     found = found.withColumn("parent", F.array().cast("array<double>"))
     seen = Visited([], [])
-    left, before = max_pages, None
+    left, before = max_pages, Counters()
     for depth in range(max_depth + 1):
         level, size_of_level = visit(found, depth, before)
         n = level.filter("NOT refused").count()
@@ -260,7 +335,7 @@ def crawl(
         left = None if left is None else left - n
         if left == 0 or n == 0 or depth == max_depth:
             break
-        before = seen.all.filter("NOT refused")
+        before = before.fold(level)
         sources = level.filter("NOT refused").filter(parsed).select("url", F.col("place").alias("parent"))
         first = (
             table.leaving(sources)
@@ -285,10 +360,15 @@ def crawl(
         F.coalesce("links_found", zero).alias("links_found"),
         F.coalesce("links_enqueued", zero).alias("links_enqueued"),
         "html_truncated",
+        *(["final_url"] if "final_url" in counted.columns else []),
     )
     return Crawl(log, visited.filter("refused").select("url", "domain", "depth"))
 
 
+def _final(final_url: Column) -> Column:
+    return F.coalesce(final_url, F.col("url")).alias("final_url")
+
+
 def _nodes(
     urls: DataFrame,
     facts: DataFrame,
@@ -321,35 +401,13 @@ def _nodes(
         F.coalesce("page.elapsed_ms", F.lit(0).cast("bigint")).alias("elapsed_ms"),
         F.coalesce("page.has_body", F.lit(False)).alias("has_body"),
         F.coalesce("page.html_truncated", F.lit(0)).alias("html_truncated"),
+        *([_final(F.col("page.final_url"))] if "final_url" in facts.schema["page"].dataType.names else []),
         allowed.alias("allowed"),
         refused.alias("refused"),
     )
     return store(rows, "url")
 
 
-def _with_state(out: DataFrame, before: DataFrame, backoff: int) -> DataFrame:
-    """Add the counts of ``before`` to candidates; those of domains at the failure limit go."""
-    by_domain = own_side(
-        before.groupBy("domain", "superdomain").agg(
-            F.count("*").alias("domain_seen"),
-            F.count_if(is_backoff_status(F.col("status"))).alias("failures"),
-        )
-    )
-    by_super = own_side(
-        by_domain.groupBy("superdomain").agg(F.sum("domain_seen").alias("super_seen"))
-    )
-    zero = F.lit(0).cast("bigint")
-    return (
-        out.join(by_domain.drop("superdomain"), "domain", "left")
-        .filter(F.coalesce("failures", zero) < backoff)
-        .join(by_super, "superdomain", "left")
-        .withColumns(
-            {c: F.coalesce(c, zero).alias(c) for c in ("domain_seen", "super_seen")}
-        )
-        .drop("failures")
-    )
-
-
 def _within(level: DataFrame, left: int) -> tuple[DataFrame, int]:
     """The part of a level up to its ``left``-th page; refused URLs up to there stay."""
     nth = numbered(level.filter("NOT refused"), ["place"], "nth")

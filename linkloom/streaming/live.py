@@ -7,6 +7,7 @@ is available and returns the result table; pass ``trigger`` to keep a query runn
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +26,35 @@ def read_stream(spark: SparkSession, folder: str, glob: str, max_files: int = 10
     return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
-def _drain(writer: DataStreamWriter, state: str) -> None:
-    query = writer.option("checkpointLocation", state).trigger(availableNow=True).start()
-    query.awaitTermination()
+@dataclass
+class Batch:
+    """What one batch of a stream did to the state store."""
+
+    rows_in: int
+    state_rows: int
+    late_rows: int
 
 
-def _to_parquet(stream: DataFrame, name: str) -> DataFrame:
-    """Append sink: each row is written once, exactly."""
+def _drain(writer: DataStreamWriter, state: str) -> list[Batch]:
+    query = writer.option("checkpointLocation", state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [
+        Batch(
+            p["numInputRows"],
+            sum(o["numRowsTotal"] for o in p["stateOperators"]),
+            sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]),
+        )
+        for p in query.recentProgress
+    ]
+
+
+def _to_parquet(stream: DataFrame, name: str, batches: list[Batch] | None = None) -> DataFrame:
+    """Append sink: each row is written once, exactly. ``batches`` is told what each batch did."""
     spark = stream.sparkSession
     out, state = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
-    _drain(stream.writeStream.outputMode("append").format("parquet").option("path", out), state)
+    done = _drain(stream.writeStream.outputMode("append").format("parquet").option("path", out), state)
+    if batches is not None:
+        batches += done
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -88,6 +108,24 @@ def live_visited(rows: DataFrame, within: tuple[str, str] | None = None) -> Data
     return _to_parquet(unique, "live-visited")
 
 
+def live_sightings(
+    rows: DataFrame, time: str, every: str, delay: str, batches: list[Batch] | None = None
+) -> DataFrame:
+    """``url, since``: each URL once in every ``every`` of event time, when first seen there.
+
+    Bounded state, the same rows however the stream is cut into batches: a URL is remembered until the
+    watermark (the latest ``time`` less ``delay``) passes the end of its window, then let go. A copy in the
+    same window gives no row, on time or late. A row is late when its window ended before the
+    watermark of the batch before its own: it is dropped, also where its URL was not seen before, and
+    counted in ``batches``. Rows without a time
+    give none.
+    """
+    timed = rows.select("url", F.col(time).cast("timestamp").alias("at")).withWatermark("at", delay)
+    windows = timed.select("url", F.window("at", every).alias("window"))
+    unique = windows.dropDuplicates(["url", "window"])
+    return _to_parquet(unique.select("url", F.col("window.start").alias("since")), "live-sightings", batches)
+
+
 def live_domains(rows: DataFrame, threshold: int = BACKOFF_FAILURES) -> DataFrame:
     """Pages and failures per domain so far, and whether the domain is backed off."""
     state = rows.groupBy("domain").agg(

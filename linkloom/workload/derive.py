@@ -490,3 +490,18 @@ def robots_copies(spark: SparkSession, sf: str) -> DataFrame:
     )
     body = F.when(kind == 0, "User-agent: *\nDisallow: /en")
     return hosts.join(least, "host").select("host", status.cast("int").alias("status"), body.alias("body"))
+
+
+def visit_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits as a stream of events against the static URL attributes."""
+    n = F.lit(pages(spark, sf).count())
+    return visits_from(read_stream(spark, sf, "events.parquet"), urls_of_pages(spark, sf), n)
+
+
+def redirected_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with a ``final_url``: a third lead to a page of their host, a third to themselves, a third tell
+    nothing."""
+    p, url = F.col("page_id"), U.canonical_url(F.col("url"))
+    other = F.concat(F.regexp_extract(url, "^([^:]*://[^/]*)", 1), F.lit("/to/"), p.cast("string"), F.lit("#x"))
+    final = F.when(p % 3 == 0, other).when(p % 3 == 1, F.col("url"))
+    return pages(spark, sf).select("page_id", "url", final.alias("final_url"))

@@ -21,13 +21,17 @@ def _with(*ctes: str) -> str:
 
     for name in ctes:
         add(name)
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({_CTE[n]})" for n in wanted) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in _KEPT else ''}({_CTE[n]})" for n in wanted
+    ) + "\n"
 
 
 _SUPER = "array_to_string(list_slice(string_split({0}, '.'), -2, -1), '.')"
 _HREFS = """regexp_extract_all(html, '<a\\s+href="([^"]*)"', 1)"""
 _HOST = "lower(regexp_extract({0}, '//([^/?#]*)', 1))"
 _FAIL = "status IN (429, 417, 403, 401, 500, 0)"
+_EXT = """regexp_matches(lower(regexp_extract({0}, '//[^/?#]*([^?#]*)', 1)),
+    '\\.(jpg|jpeg|png|gif|bmp|svg|webp|ico|pdf|ps|eps|mp3|wav|ogg|flac|mp4|mkv|avi|mov|wmv|webm|css|js|mjs|ts|zip|tar|gz|tgz|rar|7z|apk|dmg|exe|bin|iso|rss|json|txt|csv)$')"""
 _NODE = "'https://h' || ({0} % 17) || '.example.com/p/' || ({0})"
 
 _CTE = {
@@ -296,6 +300,95 @@ _NEEDS = {
     "damaged_links": ("damaged_hrefs",), "best_copy": ("copies",), "long": ("log",), "long_raw": ("tailed",),
 }
 
+# Tables that later levels of a traversal read again and again.
+_KEPT: set[str] = {"glinks", "gnodes", "visited"}
+_DEPTH = 10
+
+
+def _levels(prefix: str, upto: int, columns: str, where: str = "true") -> str:
+    """Rows of the first levels of a traversal, with their depth."""
+    return " UNION ALL ".join(
+        f"SELECT {columns}, {d} AS depth FROM {prefix}{d} WHERE {where}" for d in range(upto + 1)
+    )
+
+
+# Where a URL lies in its level: the path of positions that leads to it.
+_CTE["q0"] = "SELECT min(page_id) AS a, [0::BIGINT] AS path FROM pages"
+for _d in range(1, _DEPTH + 1):
+    _CTE[f"q{_d}"] = f"""SELECT l.b AS a, min(list_append(q.path, l.pos)) AS path
+        FROM q{_d - 1} q JOIN links_of l ON l.a = q.a
+        WHERE l.b NOT IN (SELECT a FROM ({_levels("q", _d - 1, "a")})) GROUP BY l.b"""
+    _NEEDS[f"q{_d}"] = (f"q{_d - 1}", "links_of")
+_CTE["queued"] = f"""SELECT a, {_NODE.format("a")} AS url, depth, row_number() OVER (ORDER BY depth, path) AS seq
+    FROM ({_levels("q", _DEPTH, "a, path")})"""
+_NEEDS["queued"] = (f"q{_DEPTH}",)
+_KEPT |= {f"q{_d}" for _d in range(_DEPTH + 1)}
+
+# A whole crawl, level by level: every level is joined to the counts of all levels before it.
+_CTE |= {
+    "gsnap": f"""SELECT page_id AS a, {_NODE.format("page_id")} AS url,
+        CASE WHEN page_id % 11 = 5 THEN 503 WHEN page_id % 13 = 7 THEN 403 WHEN page_id % 19 = 4 THEN 404
+          ELSE 200 END AS status,
+        CASE WHEN page_id % 23 = 9 THEN 'application/json' ELSE 'text/html; charset=utf-8' END AS ct,
+        strlen('<html><body>' || coalesce(x.anchors, '') || '<hr>' || html) AS bytes
+        FROM pages LEFT JOIN (SELECT a, string_agg('<a href="' || dst || '">x</a>', ' ' ORDER BY pos) AS anchors
+          FROM edges GROUP BY a) x ON x.a = page_id""",
+    "glinks": f"""SELECT a, dst, min(pos) AS pos FROM (
+          SELECT a, dst, pos FROM edges UNION ALL
+          SELECT page_id, regexp_extract({_NODE.format("page_id")}, '^([^:]*://[^/?]*)', 1)
+            || regexp_replace(replace(href, '&amp;', '&'), '#.*$', ''), 100 + i FROM hrefs) GROUP BY a, dst""",
+    "gurls": f"""SELECT DISTINCT u AS url, {_HOST.format("u")} AS domain, {_SUPER.format(_HOST.format("u"))} AS superdomain,
+        regexp_extract(u, '^[^:]*://[^/?]*(.*)$', 1) AS tail
+        FROM (SELECT dst AS u FROM glinks UNION ALL SELECT {_NODE.format("min(page_id)")} FROM pages)""",
+    "ghosts": f"SELECT {_HOST.format(_NODE.format('page_id'))} AS domain, min(page_id) AS p FROM pages GROUP BY 1",
+    "gnodes": f"""SELECT url, domain, superdomain, a, coalesce(status, 0) AS status, coalesce(ct, '') AS ct,
+        coalesce(bytes, 0) AS bytes, NOT {_EXT.format("url")} AS allowed,
+        CASE WHEN p IS NULL OR p IN (5, 6) THEN true WHEN p = 8 THEN false
+          WHEN p = 1 THEN starts_with(tail, '/p/7')
+          WHEN p = 2 THEN NOT starts_with(tail, '/p/2') AND starts_with(tail, '/p/1')
+          ELSE starts_with(tail, '/p/9') END AS refused
+        FROM gurls LEFT JOIN gsnap USING (url) LEFT JOIN ghosts USING (domain)""",
+}
+_NEEDS |= {
+    "gsnap": ("edges",), "glinks": ("edges", "hrefs"), "gurls": ("glinks",), "gnodes": ("gurls", "gsnap", "ghosts"),
+}
+_PRIORITY = "{d} - 0.001::DOUBLE * (1.0::DOUBLE / log2(2 + {h}) + 0.3::DOUBLE / log2(2 + {s}))"
+_PARSED = "NOT refused AND status = 200 AND starts_with(ct, 'text/html') AND bytes > 0"
+for _d in range(_DEPTH + 1):
+    if _d == 0:
+        _first = f"SELECT {_NODE.format('min(page_id)')} AS url, [0::DOUBLE] AS path FROM pages"
+        _state = "SELECT NULL AS domain, NULL AS superdomain, 0 AS n, 0 AS failures WHERE false"
+        _before = "SELECT NULL AS url WHERE false"
+    else:
+        _first = f"""SELECT l.dst AS url, min(list_append(c.place, l.pos::DOUBLE)) AS path
+            FROM crawl{_d - 1} c JOIN glinks l ON l.a = c.a WHERE {_PARSED} GROUP BY l.dst"""
+        _state = f"""SELECT domain, superdomain, count(*) AS n, count(*) FILTER ({_FAIL}) AS failures
+            FROM ({_levels("crawl", _d - 1, "domain, superdomain, status", "NOT refused")}) GROUP BY ALL"""
+        _before = f"SELECT url FROM ({_levels('crawl', _d - 1, 'url')})"
+        _NEEDS[f"crawl{_d}"] = (f"state{_d}",)
+        _NEEDS[f"state{_d}"] = (f"crawl{_d - 1}",)
+    _CTE[f"state{_d}"] = _state
+    _CTE[f"crawl{_d}"] = f"""SELECT *, list_prepend(priority, path) AS place FROM (
+        SELECT n.*, path, {_PRIORITY.format(d=_d, h="coalesce(h.n, 0)", s="coalesce(s.n, 0)")} AS priority
+        FROM ({_first}) f JOIN gnodes n USING (url)
+        LEFT JOIN (SELECT domain, n, failures FROM state{_d}) h ON h.domain = n.domain
+        LEFT JOIN (SELECT superdomain, sum(n) AS n FROM state{_d} GROUP BY ALL) s ON s.superdomain = n.superdomain
+        WHERE n.allowed AND coalesce(h.failures, 0) < 5 AND n.url NOT IN ({_before}))"""
+    _KEPT |= {f"crawl{_d}", f"state{_d}"}
+_NEEDS["crawl0"] = ("state0", "gnodes")
+_CTE["visited"] = _levels("crawl", _DEPTH, "*")
+_NEEDS["visited"] = (f"crawl{_DEPTH}",)
+_CTE["down"] = f"""SELECT domain, min(depth) AS down_from FROM (
+    SELECT domain, depth, sum(count(*)) OVER (PARTITION BY domain ORDER BY depth) AS upto
+    FROM visited WHERE NOT refused AND {_FAIL} GROUP BY domain, depth) WHERE upto >= 5 GROUP BY domain"""
+_CTE["enqueued"] = f"""SELECT v.a, count(*) AS links_found,
+    count(*) FILTER (n.allowed AND coalesce(least(t.depth, down_from) > v.depth, true)) AS links_enqueued
+    FROM visited v JOIN glinks l ON l.a = v.a JOIN gnodes n ON n.url = l.dst
+    LEFT JOIN visited t ON t.url = l.dst LEFT JOIN down o ON o.domain = n.domain
+    WHERE NOT v.refused AND v.status = 200 AND starts_with(v.ct, 'text/html') AND v.bytes > 0 AND v.depth < {_DEPTH}
+    GROUP BY v.a"""
+_NEEDS |= {"down": ("visited",), "enqueued": ("visited", "down")}
+
 
 def _add(name: str, ctes: tuple[str, ...], body: str) -> None:
     _SQL[name] = (_with(*ctes) if ctes else "") + body
@@ -383,8 +476,6 @@ _add("url_domains", ("canon",), "SELECT page_id, host AS domain FROM canon")
 _add("url_superdomains", ("canon",), f"SELECT page_id, {_SUPER.format('host')} AS superdomain FROM canon")
 _add("url_parts", ("parts",), "SELECT page_id, scheme, host, port, path, query FROM parts")
 _add("link_edges", ("links",), "SELECT url AS src, CAST(1 AS INTEGER) AS depth, pos, dst FROM links")
-_EXT = """regexp_matches(lower(regexp_extract({0}, '//[^/?#]*([^?#]*)', 1)),
-    '\\.(jpg|jpeg|png|gif|bmp|svg|webp|ico|pdf|ps|eps|mp3|wav|ogg|flac|mp4|mkv|avi|mov|wmv|webm|css|js|mjs|ts|zip|tar|gz|tgz|rar|7z|apk|dmg|exe|bin|iso|rss|json|txt|csv)$')"""
 _add("page_link_counts", ("links", "fails"), f"""SELECT l.url AS src, count(*) AS links_found,
     count(*) FILTER (NOT {_EXT.format("l.dst")} AND l.dst NOT IN (SELECT url FROM clean)
       AND {_HOST.format("l.dst")} NOT IN (SELECT domain FROM fails WHERE failures >= 30)) AS links_enqueued
@@ -441,13 +532,26 @@ _add("robots_copies", ("clean", "best_copy"), f"""SELECT c.page_id, c.url,
 # -- traversal -------------------------------------------------------------------------------
 
 _add("bfs_depths", ("bfs",), "SELECT url, CAST(depth AS BIGINT) AS depth FROM bfs")
-_add("crawl_order", ("by_host", "by_level"), """SELECT
-    row_number() OVER (ORDER BY p, depth, url) AS rank, url, CAST(depth AS BIGINT) AS depth,
-    round(p, 9) AS priority FROM (SELECT url, depth,
-      depth - 0.001::DOUBLE * (1.0::DOUBLE / log2(2 + coalesce((SELECT sum(n) FROM by_host h
-          WHERE h.h = b.h AND h.depth < b.depth), 0))
+_add("enqueue_order", ("queued",), "SELECT url, CAST(depth AS BIGINT) AS depth, seq FROM queued")
+_add("crawl_order", ("queued", "by_host", "by_level"), """SELECT
+    row_number() OVER (ORDER BY p, depth, seq) AS rank, url, CAST(depth AS BIGINT) AS depth,
+    round(p, 9) AS priority FROM (SELECT b.url, b.depth, seq,
+      b.depth - 0.001::DOUBLE * (1.0::DOUBLE / log2(2 + coalesce((SELECT sum(n) FROM by_host h
+          WHERE h.h = b.a % 17 AND h.depth < b.depth), 0))
         + 0.3::DOUBLE / log2(2 + coalesce((SELECT sum(n) FROM by_level l WHERE l.depth < b.depth), 0))) AS p
-      FROM bfs b)""")
+      FROM queued b)""")
+_add("crawl_snapshot", ("enqueued",), """SELECT seq, url, status, bytes, depth, round(priority, 9) AS priority, domain,
+    row_number() OVER (PARTITION BY domain ORDER BY seq) AS domain_count, superdomain,
+    row_number() OVER (PARTITION BY superdomain ORDER BY seq) AS super_count, 0 AS elapsed_ms, ct,
+    0 AS t_connect_ms, 0 AS t_read_ms, 0 AS t_parse_ms, coalesce(links_found, 0) AS links_found,
+    coalesce(links_enqueued, 0) AS links_enqueued, 0 AS html_truncated
+    FROM (SELECT *, row_number() OVER (ORDER BY depth, place) AS seq FROM visited WHERE NOT refused)
+    LEFT JOIN enqueued USING (a)""")
+_add("crawl_blocked", ("visited",), "SELECT url, domain, depth FROM visited WHERE refused")
+_add("redirects", ("clean",), """SELECT c.page_id, c.url, coalesce(r.to, c.url) AS final_url FROM clean c LEFT JOIN (
+      SELECT url, arg_min(page_id, page_id) AS p,
+        regexp_extract(url, '^([^:]*://[^/]*)', 1) || '/to/' || min(page_id) AS to FROM clean GROUP BY url) r
+    ON r.url = c.url AND r.p % 3 = 0""")
 
 # -- statistics ------------------------------------------------------------------------------
 
@@ -539,5 +643,7 @@ _add("running_backoff", ("log",), f"""SELECT *, earlier_failures >= 5 AS blocked
 
 _add("stream_totals", ("stats",), "SELECT log, pages_crawled, total_bytes, num_404, num_403 FROM stats")
 _add("stream_dedupe", ("log",), "SELECT DISTINCT url FROM log")
+_add("stream_dedupe_bounded", ("log",), """SELECT DISTINCT url, time_bucket(INTERVAL '1 day', ts::TIMESTAMP) AS since
+    FROM log""")
 _add("stream_domain_state", ("log",), f"""SELECT domain, count(*) AS pages, count(*) FILTER ({_FAIL}) AS failures,
     count(*) FILTER ({_FAIL}) >= 30 AS blocked FROM log GROUP BY domain""")

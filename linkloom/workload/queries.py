@@ -452,8 +452,13 @@ def crawl_order(spark, sf):
 
 
 @query
-def crawl_snapshot(spark, sf):
-    result = T.crawl(
+def enqueue_order(spark, sf):
+    out = T.enqueue_order(D.graph_edges(spark, sf), D.graph_seed(spark, sf), max_depth=10)
+    return out.withColumn("depth", F.col("depth").cast("bigint"))
+
+
+def _crawled(spark, sf):
+    return T.crawl(
         D.graph_snapshot(spark, sf),
         D.graph_seed(spark, sf),
         D.graph_robots(spark, sf),
@@ -461,7 +466,23 @@ def crawl_snapshot(spark, sf):
         max_depth=10,
         block=BLOCK,
     )
-    return result.log.drop("ts").withColumn("priority", F.round("priority", 9))
+
+
+@query
+def crawl_snapshot(spark, sf):
+    return _crawled(spark, sf).log.drop("ts").withColumn("priority", F.round("priority", 9))
+
+
+@query
+def crawl_blocked(spark, sf):
+    return _crawled(spark, sf).blocked
+
+
+@query
+def redirects(spark, sf):
+    pages = D.redirected_pages(spark, sf)
+    urls = pages.select("page_id", U.canonical_url(F.col("url")).alias("url"))
+    return P.with_final_url(urls, P.redirects(pages)).select("page_id", "url", "final_url")
 
 
 # -- statistics ------------------------------------------------------------------------------
@@ -627,6 +648,11 @@ def stream_dedupe(spark, sf):
     return live.live_visited(D.log_stream(spark, sf))
 
 
+@query
+def stream_dedupe_bounded(spark, sf):
+    return live.live_sightings(D.visit_stream(spark, sf), "ts", "1 day", "1 day")
+
+
 @query
 def stream_domain_state(spark, sf):
     return live.live_domains(D.log_stream(spark, sf), 30)

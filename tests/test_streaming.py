@@ -49,3 +49,39 @@ def test_domain_state(spark, small):
 def test_links(spark, small):
     pages = D.pages(spark, small)
     assert rows(live.live_links(split_stream(spark, pages, 3))) == rows(K.extract_links(pages))
+
+
+def test_sightings_let_their_state_go(spark):
+    """One file per day, in order: state holds a few days' URLs however long the stream is."""
+    path = fresh_path(spark, "days")
+    for day in range(12):
+        at = (F.lit(f"2024-01-{day + 1:02d} 00:00:00").cast("timestamp") + F.expr("make_dt_interval(0, 0, id % 1440)")).alias("ts")
+        spark.range(300).select(F.concat(F.lit("u"), F.col("id") % 100).alias("url"), at).coalesce(1).write.mode("append").parquet(path)
+    batches = []
+    stream = live.read_stream(spark, path, "*.parquet", max_files=1)
+    got = live.live_sightings(stream, "ts", "1 day", "12 hours", batches)
+    assert got.count() == got.distinct().count() == 12 * 100
+    assert len(batches) >= 12 and max(b.state_rows for b in batches) <= 300
+    assert sum(b.late_rows for b in batches) == 0
+
+
+def test_late_copies(spark):
+    """On time or late, a copy gives no second row; a row whose window was let go is dropped and counted."""
+    path = fresh_path(spark, "late")
+    days = [
+        [("a", "2024-01-01 01:00:00"), ("a", "2024-01-01 02:00:00"), ("b", "2024-01-01 03:00:00"), ("n", None)],
+        [("a", "2024-01-02 12:00:00"), ("a", "2024-01-01 05:00:00")],  # late but within the delay
+        [("c", "2024-01-09 00:00:00")],
+        [("d", "2024-01-09 02:00:00")],  # the watermark that makes rows late is that of the batch before
+        [("a", "2024-01-01 04:00:00"), ("z", "2024-01-01 04:00:00"), ("c", "2024-01-09 01:00:00")],  # let go by now
+    ]
+    for rows_ in days:
+        df = spark.createDataFrame(rows_, "url string, at string").select("url", F.col("at").cast("timestamp").alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(path)
+    batches = []
+    got = live.live_sightings(live.read_stream(spark, path, "*.parquet", max_files=1), "ts", "1 day", "2 days", batches)
+    assert sorted((r.url, str(r.since)[:10]) for r in got.collect()) == [
+        ("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01"), ("c", "2024-01-09"), ("d", "2024-01-09"),
+    ]
+    assert sum(b.late_rows for b in batches) == 2
+    assert batches[-1].state_rows < 4

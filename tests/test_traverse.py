@@ -214,6 +214,83 @@ def test_crawl_equals_the_simulation(spark, seed, options):
     assert len(rows) > 10
 
 
+def enqueued(edges, seeds, limit):
+    """Queue order of one process."""
+    out = {}
+    for u in seeds:
+        out.setdefault(u, 0)
+    level = list(out)
+    for d in range(1, limit + 1):
+        following = []
+        for page in level:
+            for _, b in sorted((pos, b) for a, pos, b in edges if a == page):
+                if b not in out:
+                    out[b] = d
+                    following.append(b)
+        level = following
+    return {u: (d, k + 1) for k, (u, d) in enumerate(out.items())}
+
+
+@pytest.mark.parametrize("limit, hot_edges", [(10, 20), (2, 10**6), (0, 10**6)])
+def test_enqueue_order_is_the_queues(spark, limit, hot_edges):
+    rng = random.Random(limit)
+    edges = [("n0", i, f"n{i % 40}") for i in range(60)]
+    edges += [(f"n{rng.randint(0, 79)}", 100 + i, f"n{rng.randint(0, 79)}") for i in range(150)]
+    seeds = ["n9", "n0", "n9", "n70"]
+    df = spark.createDataFrame(edges, "src string, pos int, dst string").repartition(3)
+    start = spark.createDataFrame([(u, i) for i, u in enumerate(seeds)], "url string, ord int")
+    got = {r.url: (r.depth, r.seq) for r in T.enqueue_order(df, start, limit, hot_edges).collect()}
+    assert got == enqueued(edges, seeds, limit)
+
+
+def test_crawl_order_breaks_ties_by_the_queue(spark):
+    """All URLs of a level are on one host, so their priorities are equal."""
+    edges = [("https://h.com/z", 0, "https://h.com/m"), ("https://h.com/z", 1, "https://h.com/a"), ("https://h.com/m", 0, "https://h.com/k")]
+    seeds = spark.createDataFrame([("https://h.com/z", 0)], "url string, ord int")
+    df = spark.createDataFrame(edges, "src string, pos int, dst string")
+    out = T.crawl_order(df, seeds).orderBy("rank").collect()
+    assert [(r.url[-1], r.seq) for r in out] == [("z", 1), ("m", 2), ("a", 3), ("k", 4)]
+
+
+def test_counters_fold_levels(spark):
+    schema = "domain string, superdomain string, status int, refused boolean"
+    levels = [
+        [("a.x", "x", 200, False), ("a.x", "x", 500, False), ("b.x", "x", 200, True)],
+        [("a.x", "x", 0, False), ("b.x", "x", 200, False), ("c.y", "y", 429, False)],
+        [],
+    ]
+    counters = T.Counters()
+    for rows in levels:
+        counters = counters.fold(spark.createDataFrame(rows, schema))
+    assert {tuple(r) for r in counters.by_domain.collect()} == {("a.x", "x", 3, 2), ("b.x", "x", 1, 0), ("c.y", "y", 1, 1)}
+    out = spark.createDataFrame([(d, d[2:]) for d in ("a.x", "b.x", "c.y", "d.y", "e.z")], "domain string, superdomain string")
+    got = {r.domain: (r.domain_seen, r.super_seen) for r in counters.attached(out, 2).collect()}
+    assert got == {"b.x": (1, 4), "c.y": (1, 1), "d.y": (0, 1), "e.z": (0, 0)}
+
+
+def test_final_url_is_carried_and_changes_nothing(spark):
+    from linkloom.sources import pages as P
+
+    rows = [
+        (1, "https://a.com/x/", '<a href="y">y</a><a href="/z">z</a>', "https://b.com/elsewhere/"),
+        (2, "https://a.com/x/y", "", None),
+        (3, "https://a.com/z", "", "https://a.com/z"),
+        (4, "https://A.com/x/", "", "https://c.com/later"),
+    ]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, final_url string")
+    seeds = spark.createDataFrame([("https://a.com/x/", 0)], "url string, ord int")
+    log = T.crawl(df, seeds, None, "bot").log.orderBy("seq")
+    assert [(r.url, r.final_url) for r in log.collect()] == [
+        ("https://a.com/x/", "https://b.com/elsewhere/"),
+        ("https://a.com/x/y", "https://a.com/x/y"),
+        ("https://a.com/z", "https://a.com/z"),
+    ]
+    plain = T.crawl(df.drop("final_url"), seeds, None, "bot").log.orderBy("seq")
+    assert plain.collect() == log.drop("final_url").collect()
+    assert {tuple(r) for r in P.redirects(df).collect()} == {("https://a.com/x/", "https://b.com/elsewhere/")}
+    assert "final_url" in P.snapshot(df).columns and "final_url" not in P.snapshot(df.drop("final_url")).columns
+
+
 def test_crawl_log_goes_through_writer_and_report(spark, small):
     from linkloom.operators import report as R
     from linkloom.session import fresh_path
