@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -47,6 +48,13 @@ def saved(df: DataFrame) -> DataFrame:
     return cut(df)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Ask the driver to collect what it no longer refers to: Spark then deletes the shuffle files of
+    finished steps, which otherwise stay on the executors until the driver happens to collect."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -3,12 +3,13 @@
 Three steps keep the join exact and small:
 
 1. A document can only have a partner if enough of its shingles lie in other documents too. Blocks of texts
-   send their shingles, each once, to buckets, which answer how many of a document's shingles are shared.
-   Everything after that sees only documents that pass, one for each distinct set.
-2. Similar documents are put into groups: runs of the order of their minwise values, compared inside a few
-   times, then once more with linked documents next to each other. A row of the token-group matrix says
-   which groups hold a shingle; as a pair at the threshold shares one of the rarest shingles of both, only
-   those are looked up.
+   send each of their shingles once, packed, to buckets, which answer which of them other documents have
+   and how many. Only documents that share enough go on, with their shared shingles, one for each
+   distinct set. The texts are read once.
+2. Similar documents are put into groups: runs of the order of their minwise values, and of those with the
+   document among them that has the least of its own, are compared first; then linked documents lie
+   next to each other. A row of the token-group matrix says which groups hold a shingle; as a pair at the
+   threshold shares one of the rarest shingles of both, only those are looked up.
 3. A document is sent to a group that it may match. There the group's token union bounds the overlap with
    any member, and only if the bound reaches the threshold is the group opened and compared in full.
 
@@ -19,7 +20,6 @@ largest component look up the groups, which is every pair that may still join tw
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +27,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import partitions, ready, saved, table, text_pieces, texts, written
+from linkloom.llm.common import let_go, partitions, ready, saved, table, text_pieces, texts, written
 from linkloom.llm.components import components
-from linkloom.llm.near_dedup import set_keys, signatures
+from linkloom.llm.near_dedup import set_keys
 from linkloom.llm.nodes import clusters, groups
-from linkloom.llm.words import LOWER, overlaps, shingle_sets, word_codes, word_spans
+from linkloom.llm.words import LOWER, overlaps, shingle_sets, sketches, word_codes, word_spans
 from linkloom.session import own_side
 
 PERCENT = 85
 BLOCK = 1 << 21  # shingles that a block of texts sends at once
 BLOCK_DOCS = 60_000
-BUCKET = 1 << 21  # shingles of a bucket, on average
+BUCKET_BYTES = 8 << 20  # bytes of text whose shingles meet in one bucket, on average
 MEMBERS = 64  # documents of a group
-ORDERS = 3  # orders by minwise values in which runs are compared first
+MARKS = 3  # minwise values that order documents
 ASKERS = 2048  # documents compared with one copy of a group
 _U = np.uint64
-_SEVERAL = 0xFFFF  # in place of a document's number: the block holds the shingle more than once
+_SEVERAL = 0xFFFF  # in place of a document's number: several of the block have the shingle
+_LOW = _U((1 << 48) - 1)
 
-_SETS = "id long, n long, codes binary"
+# What blocks send: shingles to a bucket, and one row with what the block knows of its documents.
+_ASKED = (
+    "bucket int, block long, low binary, high binary, owners binary, times binary,"
+    " ids binary, sizes binary, key_a binary, key_b binary, marks binary"
+)
+# What they get back.
+_ANSWERED = (
+    "block long, bucket int, low binary, high binary, owners binary, times binary,"
+    " ids binary, sizes binary, key_a binary, key_b binary, marks binary"
+)
+_KNOWN = (
+    "doc_id long, n_shingles long, key_a long, key_b long, passed boolean, marks binary, codes binary,"
+    " rare array<long>"
+)
+_HEAD = ("ids", "sizes", "key_a", "key_b", "marks")
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
+    types = [kinds[part.split()[1]] for part in schema.split(",")]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_names(schema))
 
 
 def _shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,39 +79,48 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.nda
 
 
 def _asked(docs: DataFrame, width: int, buckets: int) -> DataFrame:
-    """Requests ``bucket, block, marks, owners, ids``: shingles of a block that lie in one bucket.
+    """Requests of blocks of texts, by bucket.
 
-    A shingle is sent once, with its document's number or as one that several have. A last request of
-    each block carries its ids and what is known of their shared shingles already.
+    A shingle is sent once for a block, with its document's number or, where several have it, how many:
+    however common it is, a bucket gets it once from each block. 48 bits tell shingles of a bucket apart.
     """
-    schema = "bucket int, block long, marks binary, owners binary, ids binary"
 
-    def block(number: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        ids = np.concatenate([p[0] for p in parts])
-        codes = np.concatenate([p[1] for p in parts])
-        owner = np.repeat(np.arange(len(ids)), np.concatenate([p[2] for p in parts]))
+    def block(number: int, parts: list[tuple]) -> pa.RecordBatch:
+        ids, codes, sizes, keys, marks = (np.concatenate(c, axis=-1) for c in zip(*parts))
+        owner = np.repeat(np.arange(len(ids)), sizes)
         order = np.argsort(codes)
         codes, owner = codes[order], owner[order]
         first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
         times = np.diff(np.r_[first, len(codes)])
-        shared = np.bincount(owner[np.repeat(times > 1, times)], minlength=len(ids)).astype(np.int64)
-        codes, owner = codes[first], np.where(times > 1, _SEVERAL, owner[first]).astype(np.uint16)
-        place = ((codes >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+        place = ((codes[first] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+        again = np.repeat(times > 1, times)
+        ident, holders = _ident(codes[again], np.repeat(place, times)[again]), owner[again].astype(np.uint16)
+        rows = []
+        codes, owner = codes[first], np.where(times > 1, _SEVERAL, owner[first])
         cuts = np.searchsorted(place, np.arange(buckets + 1))
-        low = codes.astype(np.uint32)
-        full = np.flatnonzero(np.diff(cuts))
-        rows = [(int(b), number, low[cuts[b] : cuts[b + 1]].tobytes(), owner[cuts[b] : cuts[b + 1]].tobytes(), None) for b in full]
-        rows.append((number % buckets, number, None, shared.tobytes(), ids.tobytes()))
-        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-
-    names = [part.split()[0] for part in schema.split(", ")]
+        nothing = (None,) * len(_HEAD)
+        for b in np.flatnonzero(np.diff(cuts)):
+            # By document: steps from one number to the next are small and compress well.
+            at = cuts[b] + np.argsort(owner[cuts[b] : cuts[b + 1]], kind="stable")
+            own = owner[at]
+            rows.append((
+                int(b), number, codes[at].astype(np.uint32).tobytes(), (codes[at] >> _U(32)).astype(np.uint16).tobytes(),
+                np.diff(own, prepend=0).astype(np.uint16).tobytes(),
+                times[at[own == _SEVERAL]].astype(np.uint32).tobytes(), *nothing,
+            ))
+        rows.append((
+            number % buckets, number, ident.tobytes(), None, holders.tobytes(), None,
+            ids.tobytes(), sizes.tobytes(), keys[0].tobytes(), keys[1].tobytes(), np.ascontiguousarray(marks.T).tobytes(),
+        ))
+        return _batch(_ASKED, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
         for part, data, offsets in text_pieces(batches):
             flat, where = _shingles(data, offsets, width)
-            held.append((part.column("doc_id").to_numpy(), flat, np.diff(where)))
+            marks = sketches(flat, where, MARKS)
+            ids = part.column("doc_id").to_numpy()
+            held.append((ids, flat, np.diff(where), set_keys(flat, where), marks.T))
             size, rows = size + len(flat), rows + part.num_rows
             if size >= BLOCK or rows >= BLOCK_DOCS:
                 yield block(number, held)
@@ -94,122 +128,127 @@ def _asked(docs: DataFrame, width: int, buckets: int) -> DataFrame:
         if held:
             yield block(number, held)
 
-    return texts(docs.filter("doc_id is not null")).mapInArrow(run, schema)
+    return texts(docs.filter("doc_id is not null")).mapInArrow(run, _ASKED)
+
+
+def _ident(codes: np.ndarray, bucket) -> np.ndarray:
+    """A shingle's name after its bucket has seen it."""
+    return (codes & _LOW) | (np.asarray(bucket).astype(_U) << _U(48))
 
 
 def _answered(requests: DataFrame) -> DataFrame:
-    """``block, owners, times, ids``: shared shingles of a block's documents, by bucket."""
+    """For each block and bucket the shingles that more than one document has, and how many have them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in groups(batches, "bucket"):
-            marks = bucket.column("marks").to_pylist()
-            owners = bucket.column("owners").to_pylist()
-            blocks = bucket.column("block").to_pylist()
-            out = [
-                (b, o, None, i)
-                for b, o, i in zip(blocks, owners, bucket.column("ids").to_pylist())
-                if i is not None
-            ]
-            asked = [k for k, m in enumerate(marks) if m is not None]
-            if asked:
-                code = np.concatenate([np.frombuffer(marks[k], np.uint32) for k in asked])
-                owner = np.concatenate([np.frombuffer(owners[k], np.uint16) for k in asked])
-                cuts = np.r_[0, np.cumsum([len(marks[k]) // 4 for k in asked])]
-                _, at, times = np.unique(code, return_inverse=True, return_counts=True)
-                several = times > 1
-                several[at[owner == _SEVERAL]] = True
-                hit = several[at] & (owner != _SEVERAL)
-                for k, a, b in zip(asked, cuts[:-1], cuts[1:]):
-                    docs, n = np.unique(owner[a:b][hit[a:b]], return_counts=True)
-                    if len(docs):
-                        out.append((blocks[k], docs.tobytes(), n.astype(np.uint32).tobytes(), None))
+            number = bucket.column("bucket")[0].as_py()
+            asks, out = [], []
+            for row in bucket.select(_names(_ASKED)[1:]).to_pylist():
+                if row["ids"] is not None:
+                    kept = (row["block"], number, row["low"], None, row["owners"], None)
+                    out.append((*kept, *(row[c] for c in _HEAD)))
+                else:
+                    asks.append(row)
+            if asks:
+                low = np.concatenate([np.frombuffer(r["low"], np.uint32) for r in asks]).astype(_U)
+                high = np.concatenate([np.frombuffer(r["high"], np.uint16) for r in asks]).astype(_U)
+                owner = np.concatenate([np.cumsum(np.frombuffer(r["owners"], np.uint16), dtype=np.uint16) for r in asks])
+                times = np.ones(len(low), np.int64)
+                times[owner == _SEVERAL] = np.concatenate([np.frombuffer(r["times"], np.uint32) for r in asks])
+                code = low | (high << _U(32))
+                _, at = np.unique(code, return_inverse=True)
+                df = np.bincount(at, weights=times).astype(np.int64)[at]
+                df = np.minimum(df, 2**32 - 1).astype(np.uint32)
+                cuts = np.r_[0, np.cumsum([len(r["low"]) // 4 for r in asks])]
+                for r, a, b in zip(asks, cuts[:-1], cuts[1:]):
+                    hit = a + np.flatnonzero(df[a:b] > 1)
+                    if len(hit):
+                        told = (low[hit].astype(np.uint32), high[hit].astype(np.uint16), owner[hit], df[hit])
+                        out.append((r["block"], number, *(x.tobytes() for x in told), *(None,) * len(_HEAD)))
             if out:
-                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.record_batch(
-                    [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                    names=["block", "owners", "times", "ids"],
-                )
-
-    schema = "block long, owners binary, times binary, ids binary"
-    return requests.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
-
-
-def shared_counts(docs: DataFrame, width: int, total: int) -> DataFrame:
-    """``doc_id, shared`` of each row: shingles of its set that other rows have too.
-
-    Never below the true number; a document's own copies count as others. ``total`` shingles in all.
+                yield _batch(_ANSWERED, out)
+
+    return requests.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _ANSWERED)
+
+
+def _told(answer: dict) -> np.ndarray:
+    low, high = np.frombuffer(answer["low"], np.uint32), np.frombuffer(answer["high"], np.uint16)
+    return _ident(low.astype(_U) | (high.astype(_U) << _U(32)), answer["bucket"])
+
+
+def _sets_of(block: pa.Table, percent: int) -> Iterator[tuple]:
+    """Rows of ``_KNOWN`` of the documents of one block from its answers."""
+    rows = block.to_pylist()
+    head = next(r for r in rows if r["ids"] is not None)
+    ids, sizes, key_a, key_b = (np.frombuffer(head[c], np.int64) for c in ("ids", "sizes", "key_a", "key_b"))
+    marks = np.frombuffer(head["marks"], np.uint32).reshape(len(ids), -1)
+    told = [r for r in rows if r["ids"] is None]
+    none = [np.zeros(0, _U)]
+    code = np.concatenate([_told(r) for r in told] or none)
+    owner = np.concatenate([np.frombuffer(r["owners"], np.uint16) for r in told] or none).astype(np.int64)
+    df = np.concatenate([np.frombuffer(r["times"], np.uint32) for r in told] or none).astype(np.int64)
+    # Shingles that several of the block have: their documents are known here, their number is in the answers.
+    common, holders = np.frombuffer(head["low"], _U), np.frombuffer(head["owners"], np.uint16)
+    several = owner == _SEVERAL
+    order = np.argsort(code[several])
+    at = np.searchsorted(code[several][order], common)
+    code = np.r_[code[~several], common]
+    df = np.r_[df[~several], df[several][order][at]]
+    owner = np.r_[owner[~several], holders.astype(np.int64)]
+    order = np.lexsort((code, df, owner))
+    code, owner = code[order].view(np.int64), owner[order]
+    where = np.searchsorted(owner, np.arange(len(ids) + 1))
+    shared = np.diff(where)
+    passed = (sizes > 0) & (100 * shared >= percent * sizes)
+    # Of equal sets of a block one row carries the shingles.
+    _, first = np.unique(np.stack([key_a, key_b], axis=1), axis=0, return_index=True)
+    carries = np.zeros(len(ids), bool)
+    carries[first] = True
+    for i in range(len(ids)):
+        codes = rare = mark = None
+        if passed[i] and carries[i]:
+            own = code[where[i] : where[i + 1]]
+            least = -(-int(sizes[i]) * percent // 100)
+            codes, rare, mark = np.sort(own).tobytes(), own[: len(own) - least + 1], marks[i].astype(">u4").tobytes()
+        yield int(ids[i]), int(sizes[i]), int(key_a[i]), int(key_b[i]), bool(passed[i]), mark, codes, rare
+
+
+def known_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, key_a, key_b, passed, marks, codes, rare`` of each row with an id, written.
+
+    ``passed`` says that ``percent`` of the shingles lie in other rows too; of such sets one row of a block
+    at least has ``codes``, the shared shingles in order, and ``rare``, the rarest of them that any partner
+    must share one of (those that no other document has come before them and are left out).
     """
-    buckets = max(1, -(-total // BUCKET))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    answers = _answered(_asked(docs, width, max(1, -(-size // BUCKET_BYTES))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in groups(batches, "block"):
-            rows = list(zip(*(block.column(c).to_pylist() for c in ("owners", "times", "ids"))))
-            head = next(r for r in rows if r[2] is not None)
-            ids, shared = np.frombuffer(head[2], np.int64), np.frombuffer(head[0], np.int64).copy()
-            for owners, times, _ in rows:
-                if times is not None:
-                    shared[np.frombuffer(owners, np.uint16)] += np.frombuffer(times, np.uint32)
-            yield pa.record_batch([pa.array(ids), pa.array(shared)], names=["doc_id", "shared"])
-
-    answers = _answered(_asked(docs, width, buckets))
-    dealt = answers.repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "doc_id long, shared long")
+            rows = []
+            for row in _sets_of(block, percent):
+                rows.append(row)
+                if len(rows) == 512:
+                    yield _batch(_KNOWN, rows)
+                    rows = []
+            if rows:
+                yield _batch(_KNOWN, rows)
 
+    dealt = answers.repartition("block").sortWithinPartitions("block")
+    return written(dealt.mapInArrow(run, _KNOWN), "sets")
 
-def _token_rows(bodies: DataFrame, width: int) -> DataFrame:
-    """``id, n, code`` of every shingle of ``bodies(id, key_a, key_b, text)`` whose text has those keys."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in text_pieces(batches):
-            flat, where = _shingles(data, offsets, width)
-            n = np.diff(where)
-            own = np.stack([part.column(k).to_numpy() for k in ("key_a", "key_b")])
-            same = (set_keys(flat, where).view(np.int64) == own).all(axis=0)
-            ids = np.repeat(part.column("id").to_numpy(), n)
-            rows = pa.table({"id": ids, "n": np.repeat(n, n), "code": flat.view(np.int64)})
-            yield from rows.filter(pa.array(np.repeat(same, n))).to_batches(max_chunksize=1 << 16)
-
-    return bodies.mapInArrow(run, "id long, n long, code long")
 
+def _sizes(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, n_shingles`` of rows without id."""
 
-def _packed_sets(rows: DataFrame, percent: int) -> DataFrame:
-    """``id, n, codes, rare`` from ``id, n, code, df``: shared shingles, and the rarest of all that any
-    partner must meet; shingles that no other document has come first among the rare and are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sizes, sets, rare = [], [], [], []
-        for doc in groups(batches, "id"):
-            # Equal rows of a table give a shingle more than once.
-            code, at = np.unique(doc.column("code").to_numpy(), return_index=True)
-            n = doc.column("n")[0].as_py()
-            least = -(-n * percent // 100)
-            if len(code) < least:
-                continue
-            order = np.lexsort((code, doc.column("df").to_numpy()[at]))
-            ids.append(doc.column("id")[0].as_py())
-            sizes.append(n)
-            sets.append(code.tobytes())
-            rare.append(code[order[: len(code) - least + 1]])
-            if len(ids) == 256:
-                yield _set_rows(ids, sizes, sets, rare)
-                ids, sizes, sets, rare = [], [], [], []
-        if ids:
-            yield _set_rows(ids, sizes, sets, rare)
-
-    dealt = rows.repartition("id").sortWithinPartitions("id")
-    return dealt.mapInArrow(run, f"{_SETS}, rare array<long>")
-
-
-def _set_rows(ids, sizes, sets, rare) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-    return pa.record_batch(
-        [pa.array(c, t) for c, t in zip((ids, sizes, sets, rare), kinds)], names=["id", "n", "codes", "rare"]
-    )
-
+        for part, data, offsets in text_pieces(batches):
+            _, where = _shingles(data, offsets, width)
+            yield pa.record_batch(
+                [part.column("doc_id"), pa.array(np.diff(where))], names=["doc_id", "n_shingles"]
+            )
 
-def candidates(docs: DataFrame, first: DataFrame, width: int, percent: int) -> DataFrame:
-    """``id, n, codes, rare`` of the sets ``first(doc_id, id, key_a, key_b)`` that may have a partner."""
-    bodies = texts(docs).join(first, "doc_id").drop("doc_id")
-    tokens = written(_token_rows(bodies, width), "tokens")
-    shared = own_side(tokens.groupBy("code").agg(F.count("*").alias("df")).filter("df > 1"))
-    return written(_packed_sets(tokens.join(shared, "code"), percent), "sets")
+    return texts(docs.filter("doc_id is null")).mapInArrow(run, "doc_id long, n_shingles long")
 
 
 def _loaded(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -220,8 +259,9 @@ def _loaded(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return rows.column("id").to_numpy(), rows.column("n").to_numpy(), flat, where
 
 
-def _runs_linked(rows: DataFrame, order: list[str], percent: int, members: int) -> DataFrame:
-    """Links ``a, b`` inside runs of ``members`` rows of ``rows(id, n, codes)`` in the given order."""
+def _runs_linked(sets: DataFrame, percent: int, members: int) -> DataFrame:
+    """Links ``a, b`` inside runs of ``members`` documents in the order of their minwise values."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _stretches(batches, members):
             ids, n, flat, where = _loaded(block)
@@ -232,8 +272,23 @@ def _runs_linked(rows: DataFrame, order: list[str], percent: int, members: int)
             if len(at):
                 yield pa.record_batch([pa.array(ids[label[at]]), pa.array(ids[at])], names=["a", "b"])
 
-    dealt = rows.repartitionByRange(partitions(rows.sparkSession), *order, "id")
-    return dealt.sortWithinPartitions(*order, "id").select("id", "n", "codes").mapInArrow(run, "a long, b long")
+    order = ["marks", "id"]
+    dealt = sets.repartitionByRange(partitions(sets.sparkSession), *order)
+    return dealt.sortWithinPartitions(*order).select("id", "n", "codes").mapInArrow(run, "a long, b long")
+
+
+def _hub_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` to hubs: of the documents with a rare shingle the one with the least of its own.
+
+    Copies that were changed in different places are alike to what they were made from more often
+    than to each other. Each document is compared with one hub per rare shingle.
+    """
+    own = sets.select("id", "n", (F.octet_length("codes") / 8 / F.col("n")).alias("part"), F.explode("rare").alias("code"))
+    hubs = own.groupBy("code").agg(F.max(F.struct("part", (-F.col("id")).alias("last"))).alias("hub"), F.count("*").alias("docs"))
+    hubs = own_side(hubs.filter("docs > 1").select("code", (-F.col("hub.last")).alias("grp")))
+    asks = own.select("id", "code").join(hubs, "code").filter("id != grp").select("id", "grp").distinct()
+    placed = hubs.select(F.col("grp").alias("id"), "grp").distinct()
+    return _open(saved(asks), sets, placed, percent)
 
 
 def _stretches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
@@ -253,7 +308,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def _grouped(sets: DataFrame, marks: DataFrame, whole: DataFrame, members: int) -> DataFrame:
+def _grouped(sets: DataFrame, whole: DataFrame, members: int) -> DataFrame:
     """``id, component, grp, only``: groups of ``members`` documents, linked ones next to each other.
 
     Components follow the minwise values of their first document. ``only`` is the component of a group
@@ -261,7 +316,7 @@ def _grouped(sets: DataFrame, marks: DataFrame, whole: DataFrame, members: int)
     """
     known = sets.select("id").join(whole, "id", "left")
     known = known.withColumn("component", F.coalesce("component", "id"))
-    heads = marks.select(F.col("id").alias("component"), F.col("keys").alias("head"))
+    heads = sets.select(F.col("id").alias("component"), F.col("marks").alias("head"))
     rows = known.join(heads, "component")
     order = ["head", "component", "id"]
 
@@ -384,7 +439,7 @@ def _asks(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
 
 
 def group_join(
-    docs: DataFrame, width: int = 5, percent: int = PERCENT, members: int = MEMBERS, orders: int = ORDERS
+    docs: DataFrame, width: int = 5, percent: int = PERCENT, members: int = MEMBERS
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -395,50 +450,35 @@ def group_join(
     ``doc_id`` stands alone too, with a null component. Repeated ids are one document for linking and
     give one row each; other columns are ignored. An empty table gives no rows.
     """
-    known = written(signatures(docs, width), "signatures")
+    known = known_sets(docs, width, percent)
+    let_go(docs.sparkSession)
     key = ["n_shingles", "key_a", "key_b"]
-    with_set = known.filter("n_shingles > 0 and doc_id is not null")
-    total = with_set.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = shared_counts(docs, width, total).groupBy("doc_id").agg(F.max("shared").alias("shared"))
-    passed = saved(
-        with_set.join(shared, "doc_id")
-        .filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
-        .select("doc_id", *key, "sketch")
-    )
-    # A number for each distinct set; its text is that of the smallest id, its sketch any (all are equal).
-    first = passed.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
-    first = saved(first.withColumn("id", F.monotonically_increasing_id()))
-    sets = candidates(docs, first.select("doc_id", "id", "key_a", "key_b"), width, percent)
-    coordinates = F.transform(
-        F.sequence(F.lit(0), F.lit(3 * orders - 1)), lambda i: F.substring("sketch", 4 * i + 1, F.lit(4))
-    )
-    marks = saved(first.select("id", coordinates.alias("keys")))
-    marked = saved(sets.select("id", "n", "codes").join(marks, "id"))
-    runs = [
-        _runs_linked(marked.withColumn("at", F.slice("keys", 3 * k + 1, 3)), ["at"], percent, members)
-        for k in range(orders)
-    ]
-    links = saved(reduce(DataFrame.union, runs).distinct())
-    placed = _grouped(sets, marks, components(links), members)
+    one = F.min(F.struct("doc_id", "codes", "rare", "marks")).alias("one")
+    sets = known.filter("codes is not null").groupBy(*key).agg(one)
+    sets = written(
+        sets.select(
+            F.monotonically_increasing_id().alias("id"), *key, F.col("n_shingles").alias("n"),
+            "one.codes", "one.rare", "one.marks",
+        ),
+        "distinct-sets",
+    )
+    links = saved(_runs_linked(sets, percent, members).union(_hub_links(sets, percent)).distinct())
+    placed = _grouped(sets, components(links), members)
     opened = _open(_asks(sets, placed, percent), sets, placed, percent)
     # Sets of one id are linked.
-    own = saved(passed.select("doc_id", *key).distinct().join(own_side(first.select("id", *key)), key))
+    passed = known.filter("passed").select("doc_id", *key).distinct()
+    own = saved(passed.join(own_side(sets.select("id", *key)), key).select("doc_id", "id"))
     least = own.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
     several = own.join(least.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b"))
     whole = components(links.union(opened).union(several))
-    linked = own.select("doc_id", "id").join(own_side(whole), "id")
-    names = own_side(linked.groupBy("component").agg(F.min("doc_id").alias("name")))
-    alone = own.join(whole, "id", "left_anti").groupBy("id").agg(F.min("doc_id").alias("name"))
-    named = (
-        linked.join(names, "component")
-        .select("doc_id", "name")
-        .union(own.join(own_side(alone), "id").select("doc_id", "name"))
-        .groupBy("doc_id")
-        .agg(F.min("name").alias("component_id"))
-    )
-    return known.join(named, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    of = own.join(own_side(whole), "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
+    of = saved(of.distinct())
+    names = own_side(of.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    named = of.join(names, "component").select("doc_id", "component_id").distinct()
+    rows = known.select("doc_id", "n_shingles").join(named, "doc_id", "left")
+    rows = rows.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    alone = _sizes(docs, width).withColumn("component_id", F.lit(None).cast("long"))
+    return rows.unionByName(alone)
 
 
 def op13_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,15 +57,15 @@ def crafted():
     return rows
 
 
-@pytest.mark.parametrize("width, percent, members, orders", [(4, 85, 8, 1), (5, 85, 64, 3), (3, 70, 4, 2)])
-def test_group_join(spark, crafted, width, percent, members, orders):
-    out = group_join.group_join(frame(spark, crafted), width, percent, members, orders).collect()
+@pytest.mark.parametrize("width, percent, members", [(4, 85, 8), (5, 85, 64), (3, 70, 4)])
+def test_group_join(spark, crafted, width, percent, members):
+    out = group_join.group_join(frame(spark, crafted), width, percent, members).collect()
     assert key(out) == key(components(crafted, width, percent))
 
 
 def test_many_blocks_and_buckets(spark, crafted, monkeypatch):
     monkeypatch.setattr(group_join, "BLOCK", 500)
-    monkeypatch.setattr(group_join, "BUCKET", 700)
+    monkeypatch.setattr(group_join, "BUCKET_BYTES", 4000)
     monkeypatch.setattr(group_join, "ASKERS", 3)
     out = group_join.group_join(frame(spark, crafted), 4, 85, 8).collect()
     assert key(out) == key(components(crafted, 4, 85))
