@@ -428,14 +428,19 @@ def _asks(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     )
     several = own_side(most.filter("kinds > 1").select("code", F.col("most.component").alias("main")))
     mixed = saved(rows.join(several, "code"))
-    matrix = mixed.groupBy("code", "grp", "only").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asking = mixed.filter("component != main").select("code", "id", "n", "component")
-    found = asking.join(own_side(matrix), "code").filter(
-        (F.col("only").isNull() | (F.col("only") != F.col("component")))
-        & (100 * F.col("high") >= percent * F.col("n"))
-        & (percent * F.col("low") <= 100 * F.col("n"))
+    sizes = F.min("n").alias("low"), F.max("n").alias("high")
+    matrix = mixed.groupBy("code", "grp", "only").agg(*sizes)
+    outside = mixed.filter("component != main")
+    # Documents that ask lie in groups as well: groups are paired first, then each asks for its documents.
+    asking = outside.groupBy("code", "grp", "only").agg(*sizes)
+    asking = asking.select("code", *[F.col(c).alias(f"a_{c}") for c in ("grp", "only", "low", "high")])
+    pairs = asking.join(own_side(matrix), "code").filter(
+        (F.col("only").isNull() | F.col("a_only").isNull() | (F.col("only") != F.col("a_only")))
+        & (100 * F.col("high") >= percent * F.col("a_low"))
+        & (percent * F.col("low") <= 100 * F.col("a_high"))
     )
-    return saved(found.select("id", "grp").distinct())
+    asks = outside.select("id", F.col("grp").alias("a_grp")).distinct()
+    return saved(pairs.select("a_grp", "grp").distinct().join(asks, "a_grp").select("id", "grp"))
 
 
 def group_join(
