@@ -37,13 +37,10 @@ _COUNTS = "lang string, source string, term string, c long, df long"
 _SUMS = "lang string, a string, b string, total long, met long"
 
 
-def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The pieces of UTF-8 ``data`` between ``starts`` and ``ends``."""
-    sizes = ends - starts
+def _strings(letters: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Strings of these sizes, one after the other in ``letters``."""
     offsets = np.r_[0, np.cumsum(sizes)]
-    at = np.arange(offsets[-1], dtype=np.int64) + np.repeat(starts - offsets[:-1], sizes)
-    chars = np.ascontiguousarray(data[at])
-    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(chars))
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(letters))
 
 
 def _summed(parts: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
@@ -55,7 +52,7 @@ def _summed(parts: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]) -> pa.Re
     starts, ends, firsts = word_spans(data, offsets, PARTS)
     if len(starts) == 0:
         return None
-    term = _strings(LOWER[data], starts, ends).dictionary_encode()
+    term = _strings(LOWER[data[~PARTS[data]]], ends - starts).dictionary_encode()
     lang = whole.column("lang").combine_chunks().dictionary_encode()
     source = whole.column("source").combine_chunks().dictionary_encode()
     group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
