@@ -1,29 +1,34 @@
 """Fuzzy line deduplication by MinHash.
 
 Lines that are equal are one line to begin with. A line is the set of its character shingles; minwise
-signatures are cut into bands, lines that share a band are compared on their exact sets, and the links
-are joined into components by distributed union-find. The first line of a component stays.
+signatures are cut into bands. Which bands several lines share is found by buckets of packed band values, so
+only lines with a candidate become rows. Candidates are compared on their sketches first, then, once
+however many bands they share, on their exact sets; the links are joined into components by distributed
+union-find. The first line of a component stays.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import ready, saved, table, text_pieces, texts, written
+from linkloom.llm.common import let_go, ready, saved, table, text_pieces, texts, written
 from linkloom.llm.components import components
-from linkloom.llm.nodes import bundles, star_links
+from linkloom.llm.nodes import bundles, clusters, groups, star_links
 from linkloom.llm.words import mixed, sketches
+from linkloom.session import own_side
 
 SHINGLE = 5  # characters
 BANDS = 10
 ROWS = 4  # minwise values of a band: a pair at 0.8 shares one of the bands with chance 0.995
 LIMIT = 1024  # lines compared exhaustively at once
+BLOCK = 60_000  # lines that send their bands at once
+BUCKET = 1 << 21  # band values of a bucket, on average
 _U = np.uint64
 _STEP = np.random.default_rng(41).integers(1, 2**63, 64, dtype=np.int64).astype(_U) | _U(1)
 
@@ -88,9 +93,10 @@ def line_sets(
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, key_a, key_b, bands`` of every line that has more than blanks.
+    """``doc_id, row, line_no, key_a, key_b, bands, sketch`` of every line that has more than blanks.
 
-    The keys identify the line's characters, letters A-Z in lower case.
+    ``row`` tells texts of one id apart. The keys identify the line's characters, letters A-Z in lower
+    case. ``sketch`` holds four bits of each minwise value.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,41 +114,121 @@ def signatures(docs: DataFrame) -> DataFrame:
             codes = mixed(flat + place * _STEP[8])
             key_a = np.add.reduceat(codes, at[:-1])
             key_b = np.add.reduceat((codes ^ (codes >> _U(32))) * _STEP[9], at[:-1])
-            marks = sketches(flat, at, BANDS * ROWS).astype(_U).reshape(-1, BANDS, ROWS)
+            values = sketches(flat, at, BANDS * ROWS)
+            marks = values.astype(_U).reshape(-1, BANDS, ROWS)
             bands = mixed((marks * _STEP[10 : 10 + ROWS]).sum(axis=2, dtype=_U)).astype(np.uint32)
-            rows = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int32).ravel()), BANDS)
+            few = (values & np.uint32(15)).astype(np.uint8)
+            few = few[:, ::2] | (few[:, 1::2] << np.uint8(4))
             yield pa.record_batch(
                 [
                     part.column("doc_id").take(pa.array(owner)),
+                    part.column("row").take(pa.array(owner)),
                     pa.array(number.astype(np.int32)),
                     pa.array(key_a.view(np.int64)),
                     pa.array(key_b.view(np.int64)),
-                    rows.cast(pa.list_(pa.int32())),
+                    pa.array([b.tobytes() for b in bands], pa.binary()),
+                    pa.array([f.tobytes() for f in few], pa.binary()),
                 ],
-                names=["doc_id", "line_no", "key_a", "key_b", "bands"],
+                names=["doc_id", "row", "line_no", "key_a", "key_b", "bands", "sketch"],
             )
 
-    schema = "doc_id long, line_no int, key_a long, key_b long, bands array<int>"
-    return texts(docs).mapInArrow(run, schema)
-
-
-def _met(firsts: DataFrame, limit: int) -> DataFrame:
-    """Groups ``path, lid`` of different lines that share a band, one of each kind."""
-    rows = firsts.select("lid", F.posexplode("bands").alias("band", "value"))
-    rows = rows.select(F.xxhash64("band", "value").alias("path"), "lid")
-    group = Window.partitionBy("path")
-    met = saved(
-        rows.withColumns(
-            {
-                "n": F.count("*").over(group),
-                "in_a": F.bit_xor(F.xxhash64("lid")).over(group),
-                "in_b": F.bit_xor(F.xxhash64("lid", F.lit(1))).over(group),
-            }
-        ).filter("n > 1")
-    )
-    once = met.groupBy("n", "in_a", "in_b").agg(F.min("path").alias("path")).select("path")
-    met = met.join(once, "path", "left_semi").select("path", "n", "lid")
-    return met.filter(F.col("n") <= limit).drop("n").unionByName(_blocks(met.filter(F.col("n") > limit), limit))
+    schema = "doc_id long, row long, line_no int, key_a long, key_b long, bands binary, sketch binary"
+    return _rows(docs).mapInArrow(run, schema)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, row, text`` of the rows with an id; ``row`` is a hash of the text."""
+    named = texts(docs.filter("doc_id is not null"))
+    return named.select("doc_id", F.xxhash64("text").alias("row"), "text")
+
+
+def _asked(firsts: DataFrame, buckets: int) -> DataFrame:
+    """Band values of blocks of lines, packed by bucket: ``bucket, low, owners, base, several``.
+
+    A value that several lines of a block have is sent once, without them; they are in a row with
+    ``several``, which says that the value is shared as it is. So however common a band is, a bucket gets
+    it once from each block.
+    """
+
+    def block(lids: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:
+        bands = np.frombuffer(b"".join(blobs), np.uint32).reshape(-1, BANDS).astype(_U)
+        codes = mixed(bands + (np.arange(BANDS, dtype=_U) << _U(32))).ravel()
+        owner = np.repeat(np.arange(len(lids)), BANDS)
+        order = np.argsort(codes)
+        codes, owner = codes[order], owner[order]
+        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+        times = np.diff(np.r_[first, len(codes)])
+        place = ((codes >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+        again = np.repeat(times > 1, times)
+        path = (codes & _U(0xFFFFFFFF)) | (place.astype(_U) << _U(32))
+        rows = [(TaskContext.get().partitionId() % buckets, path[again].tobytes(), lids[owner[again]].tobytes(), 0, True)]
+        codes, place = codes[first], place[first]
+        owner = np.where(times > 1, 0xFFFF, owner[first])
+        cuts = np.searchsorted(place, np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(cuts)):
+            at = cuts[b] + np.argsort(owner[cuts[b] : cuts[b + 1]], kind="stable")
+            steps = np.diff(owner[at], prepend=0).astype(np.uint16)
+            rows.append((int(b), codes[at].astype(np.uint32).tobytes(), steps.tobytes(), int(lids[0]), False))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.bool_())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    names = ["bucket", "low", "owners", "base", "several"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lids, blobs = [], []
+        for batch in batches:
+            for lid, bands in zip(batch.column("lid").to_pylist(), batch.column("bands").to_pylist()):
+                # Lines of a block follow each other, so that a short number names them.
+                if lids and (len(lids) == BLOCK or lid != lids[-1] + 1):
+                    yield block(np.array(lids), blobs)
+                    lids, blobs = [], []
+                lids.append(lid)
+                blobs.append(bands)
+        if lids:
+            yield block(np.array(lids), blobs)
+
+    schema = "bucket int, low binary, owners binary, base long, several boolean"
+    return firsts.select("lid", "bands").mapInArrow(run, schema)
+
+
+def _met(firsts: DataFrame, total: int) -> DataFrame:
+    """``path, lid`` of lines that share a band with another line; a path names a band value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in groups(batches, "bucket"):
+            number = bucket.column("bucket")[0].as_py()
+            paths, lids = [], []
+            low, owner, base = [], [], []
+            for row in bucket.to_pylist():
+                if row["several"]:
+                    paths.append(np.frombuffer(row["low"], np.int64))
+                    lids.append(np.frombuffer(row["owners"], np.int64))
+                    continue
+                low.append(np.frombuffer(row["low"], np.uint32))
+                owner.append(np.cumsum(np.frombuffer(row["owners"], np.uint16), dtype=np.uint16))
+                base.append(np.full(len(low[-1]), row["base"]))
+            if low:
+                values, own, start = np.concatenate(low), np.concatenate(owner), np.concatenate(base)
+                _, at, times = np.unique(values, return_inverse=True, return_counts=True)
+                shared = times > 1
+                shared[at[own == 0xFFFF]] = True
+                hit = shared[at] & (own != 0xFFFF)
+                paths.append(values[hit].astype(np.int64) | (number << 32))
+                lids.append(start[hit] + own[hit])
+            out = pa.table({"path": np.concatenate(paths), "lid": np.concatenate(lids)})
+            yield from out.to_batches(max_chunksize=1 << 16)
+
+    buckets = max(1, -(-total * BANDS // BUCKET))
+    dealt = _asked(firsts, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "path long, lid long")
+
+
+def _sized(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows(path, lid)`` in groups of at most ``limit``: larger ones as pairs of blocks."""
+    sizes = own_side(rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"))
+    met = saved(rows.join(sizes, "path"))
+    small = met.filter(F.col("n") <= limit).select("path", "lid")
+    return small.unionByName(_blocks(met.filter(F.col("n") > limit), limit))
 
 
 def _blocks(large: DataFrame, limit: int) -> DataFrame:
@@ -156,42 +242,67 @@ def _blocks(large: DataFrame, limit: int) -> DataFrame:
     return paired.select(block.alias("path"), "lid")
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, packed``: texts compressed for the shuffle that brings them to their lines."""
+def _likely(met: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """``path, lid`` of lines whose sketch agrees with another of the group almost as asked.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [zlib.compress(t.as_buffer(), 1) for t in batch.column("text")]
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"]
-            )
+    Lines of a group that hang together by such pairs are a group of their own, named by its members, so
+    lines that meet in several bands are one candidate.
+    """
+    size = BANDS * ROWS
+    # Four standard deviations of the share of equal four-bit values of a pair at the threshold.
+    p = percent / 100 + (1 - percent / 100) / 16
+    least = int(size * (p - 4 * (p * (1 - p) / size) ** 0.5))
 
-    return texts(docs).mapInArrow(run, "doc_id long, packed binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, cuts in bundles(batches, "path", 4096):
+            few = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, size // 2)
+            marks = np.concatenate([few & np.uint8(15), few >> np.uint8(4)], axis=1)
+            lids = part.column("lid").to_numpy()
+            names = mixed(lids.astype(_U) + _U(1))
+            paths, out = [], []
+            pairs = cuts[:-1][np.diff(cuts) == 2]
+            alike = (marks[pairs] == marks[pairs + 1]).sum(axis=1) >= least
+            both = pairs[alike]
+            paths.append(np.repeat((names[both] + names[both + 1]).view(np.int64), 2))
+            out.append(np.stack([lids[both], lids[both + 1]], axis=1).ravel())
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if b - a <= 2:
+                    continue
+                own = marks[a:b]
+                near = np.zeros((b - a, b - a), bool)
+                for i in range(0, b - a, 64):
+                    near[i : i + 64] = (own[i : i + 64, None, :] == own[None, :, :]).sum(axis=2, dtype=np.uint8) >= least
+                label = clusters(near)
+                sums, members = np.zeros(b - a, _U), np.bincount(label, minlength=b - a)
+                np.add.at(sums, label, names[a:b])
+                keep = members[label] > 1
+                paths.append(sums[label[keep]].view(np.int64))
+                out.append(lids[a:b][keep])
+            yield pa.record_batch([pa.array(np.concatenate(paths)), pa.array(np.concatenate(out))], names=["path", "lid"])
+
+    rows = met.join(firsts.select("lid", "sketch"), "lid").select("path", "lid", "sketch")
+    dealt = rows.repartition("path").sortWithinPartitions("path")
+    return dealt.mapInArrow(run, "path long, lid long").distinct()
 
 
-def _with_letters(met: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``path, lid, text`` of the rows of ``met``: every document is cut once for all its lines."""
-    per_line = met.groupBy("lid").agg(F.collect_list("path").alias("paths"))
-    per_line = per_line.join(firsts.select("lid", "doc_id", "line_no"), "lid")
-    wanted = per_line.groupBy("doc_id").agg(
-        F.collect_list(F.struct("line_no", "lid", "paths")).alias("wanted")
-    )
+def _line_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``lid, text`` of the lines ``wanted(doc_id, row, line_no, lid)``, each document cut once."""
+    lists = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line_no", "lid")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for packed, lines in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
-                own = zlib.decompress(packed).decode().split("\n")
-                for line in lines:
-                    if line["line_no"] < len(own):
-                        out += ((p, line["lid"], own[line["line_no"]]) for p in line["paths"])
-            if out:
-                types = (pa.int64(), pa.int64(), pa.string())
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
-                yield pa.record_batch(columns, names=["path", "lid", "text"])
+            lids, lines = [], []
+            for text, places in zip(batch.column("text"), batch.column("wanted").to_pylist()):
+                own = text.as_py().split("\n")
+                for place in places:
+                    lids.append(place["lid"])
+                    lines.append(own[place["line_no"]])
+            if lids:
+                yield pa.record_batch([pa.array(lids, pa.int64()), pa.array(lines, pa.string())], names=["lid", "text"])
 
-    joined = _packed_texts(docs).join(wanted, "doc_id").select("packed", "wanted")
-    return joined.mapInArrow(run, "path long, lid long, text string")
+    # Equal rows of one id are one text.
+    joined = _rows(docs).join(lists, ["doc_id", "row"]).select("text", "wanted")
+    return joined.mapInArrow(run, "lid long, text string")
 
 
 def _confirmed(rows: DataFrame, percent: int) -> DataFrame:
@@ -224,62 +335,81 @@ def _confirmed(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> DataFrame:
-    """``doc_id, line_no, first_doc_id, first_line_no`` of every line that repeats an earlier one.
+    """``doc_id, line_no, first_doc_id, first_line_no, row`` of every line that repeats an earlier one.
 
     Lines are numbered from 0 within ``docs(doc_id, text)`` and end at line feeds. Two are alike when
     their sets of five-character shingles (A-Z in lower case; a shorter line is one shingle) have a
-    Jaccard similarity of ``percent``/100 or more; the first of a component, by ``doc_id`` and number,
-    stays. Lines of blanks only always stay, as do rows with a null text. Rows without ``doc_id``
-    or with one that is repeated take part by what their id and line number hold: equal lines at
-    equal places are one line. Other columns are ignored; an empty table gives no rows.
+    Jaccard similarity of ``percent``/100 or more; the first of a component, by ``doc_id``, number and
+    ``row``, stays. ``row`` is a hash of the text: texts of one id are told apart by it, and rows with the
+    same id and text are one, none of which repeats the others. Lines of blanks only always stay, as do
+    rows with a null text. Rows without ``doc_id`` take no part. Other columns are ignored; an empty
+    table gives no rows.
     """
-    lines = written(signatures(docs).filter("doc_id is not null"), "lines")
-    place = F.struct("doc_id", "line_no")
-    firsts = lines.groupBy("key_a", "key_b").agg(F.min(F.struct("doc_id", "line_no", "bands")).alias("f"))
-    firsts = saved(
-        firsts.select("key_a", "key_b", "f.*").withColumn("lid", F.monotonically_increasing_id())
+    place = ["doc_id", "line_no", "row"]
+    lines = written(signatures(docs), "lines")
+    firsts = lines.groupBy("key_a", "key_b").agg(
+        F.min(F.struct(*place, "bands", "sketch")).alias("f"), F.count("*").alias("times")
+    )
+    firsts = written(
+        firsts.select("key_a", "key_b", "times", "f.*").withColumn("lid", F.monotonically_increasing_id()),
+        "first-lines",
     )
-    met = saved(_met(firsts, limit))
-    links = _confirmed(_with_letters(met, firsts, docs), percent)
-    whole = components(links).withColumnRenamed("id", "lid")
-    members = firsts.select("lid", "key_a", "key_b", place.alias("own")).join(whole, "lid", "left")
-    members = members.withColumn("component", F.coalesce("component", "lid"))
-    least = members.filter("component is not null").groupBy("component").agg(F.min("own").alias("first"))
-    keys = saved(members.join(least, "component").select("key_a", "key_b", "first"))
+    met = saved(_met(firsts, firsts.count()))
+    likely = saved(_likely(_sized(met, limit), firsts, percent))
+    let_go(docs.sparkSession)
+    wanted = firsts.select(*place, "lid").join(likely.select("lid").distinct(), "lid", "left_semi")
+    bodies = likely.join(_line_texts(wanted, docs).dropDuplicates(["lid"]), "lid")
+    links = saved(_confirmed(bodies.select("path", "lid", "text"), percent))
+    let_go(docs.sparkSession)
+    whole = own_side(components(links).withColumnRenamed("id", "lid"))
+    # Lines that nothing repeats are left out before the last join.
+    members = firsts.select("lid", "key_a", "key_b", "times", F.struct(*place).alias("own")).join(whole, "lid", "left")
+    members = members.filter("component is not null or times > 1")
+    members = saved(members.withColumn("component", F.coalesce("component", "lid")))
+    least = own_side(members.groupBy("component").agg(F.min("own").alias("first")))
+    keys = own_side(members.join(least, "component").select("key_a", "key_b", "first"))
     return (
-        lines.select("doc_id", "line_no", "key_a", "key_b")
+        lines.select(*place, "key_a", "key_b")
         .distinct()
         .join(keys, ["key_a", "key_b"])
-        .filter(place != F.col("first"))
+        .filter(F.struct(*place) != F.col("first"))
         .select(
             "doc_id",
             "line_no",
             F.col("first.doc_id").alias("first_doc_id"),
             F.col("first.line_no").alias("first_line_no"),
+            "row",
         )
     )
 
 
 def without_lines(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``docs`` less the lines ``repeated(doc_id, line_no)``, all columns kept.
+    """``docs`` less the lines ``repeated(doc_id, row, line_no)``, all columns kept.
 
     A text that loses all its lines goes with its row; texts that lose nothing stay as they are, null
-    ones too. ``n_chars``, where it is a column, is counted anew for texts that change.
+    ones too. Another text under the same id keeps its lines. ``n_chars``, where it is a column, is
+    counted anew for texts that change.
     """
-    gone = repeated.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    joined = rows.join(gone, F.col("row.doc_id") == F.col("doc_id"), "left")
-    own = F.col("row.text")
-    kept = F.filter(F.split(own, "\n", -1), lambda line, i: ~F.array_contains("gone", i))
+    gone = repeated.groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("gone"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("all"),
+        docs["doc_id"],
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("row"),
+    )
+    joined = rows.join(own_side(gone), ["doc_id", "row"], "left").select("all", "gone")
+    own = F.col("all.text")
+    # A map: every line is looked up at once, however many go.
+    went = F.map_from_arrays("gone", F.transform("gone", lambda i: F.lit(True)))
+    kept = F.filter(F.split(own, "\n", -1), lambda line, i: ~F.map_contains_key("went", i))
     changed = F.col("gone").isNotNull()
     solid = F.exists("kept", lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0)
-    out = joined.withColumn("kept", F.when(changed, kept)).filter(~changed | solid)
+    out = joined.withColumn("went", went).withColumn("kept", F.when(changed, kept)).filter(~changed | solid)
     new = {"text": F.array_join("kept", "\n")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(new["text"]).cast(docs.schema["n_chars"].dataType)
     return out.select(
         *[
-            (F.when(changed, new[c]).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]).alias(c)
+            (F.when(changed, new[c]).otherwise(F.col("all")[c]) if c in new else F.col("all")[c]).alias(c)
             for c in docs.columns
         ]
     )
@@ -287,4 +417,4 @@ def without_lines(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def op5_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of the documents that repeats an earlier line, with that line."""
-    return repeated_lines(table(ready(spark), sf_dir, "documents"))
+    return repeated_lines(table(ready(spark), sf_dir, "documents")).drop("row")

@@ -56,7 +56,7 @@ def near_duplicates(docs: list[tuple], width: int) -> dict:
     return {i: (len(sets[i]), parts.top(i)) for i in sets}
 
 
-def repeated_lines(docs: list[tuple]) -> set:
+def repeated_lines(docs: list[tuple], width: int = 5) -> set:
     """``doc_id, line_no, first_doc_id, first_line_no`` of lines that repeat earlier ones."""
     first, where = {}, {}
     for d, text in sorted((d, t or "") for d, t in docs):
@@ -67,7 +67,7 @@ def repeated_lines(docs: list[tuple]) -> set:
                 where[d, i] = line
     names = {at: line for line, at in first.items()}
     sets = {
-        at: frozenset(x[i : i + 8] for i in range(len(x) - 7)) if len(x) >= 8 else frozenset([x])
+        at: frozenset(x[i : i + width] for i in range(len(x) - width + 1)) if len(x) >= width else frozenset([x])
         for at, x in names.items()
     }
     parts = linked(sets)

@@ -123,7 +123,7 @@ def test_lines(spark, limit):
     docs = [d for d in hard() if d[0] is not None]
     docs = list(dict(docs).items())
     found = line_dedup.repeated_lines(frame(spark, docs), limit=limit)
-    assert {tuple(r) for r in found.collect()} == plain.repeated_lines(docs)
+    assert {tuple(r)[:4] for r in found.collect()} == plain.repeated_lines(docs)
     left = {r.doc_id: r.text for r in line_dedup.without_lines(frame(spark, docs), found).collect()}
     gone = defaultdict(set)
     for d, n, _, _ in plain.repeated_lines(docs):
