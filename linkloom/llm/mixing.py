@@ -33,9 +33,9 @@ class Target:
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    """``source, n`` tokens of each source, null being a source; one without words counts as one."""
+    """``source, n`` tokens of each source, null being a source."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    return docs.groupBy("source").agg(F.greatest(F.sum(words), F.lit(1)).cast("long").alias("n"))
+    return docs.groupBy("source").agg(F.sum(words).cast("long").alias("n"))
 
 
 def _sums(sizes: DataFrame, power: float) -> dict:
@@ -96,16 +96,21 @@ def exponent(sizes: DataFrame, target: Target) -> float:
 
 
 def weights(docs: DataFrame, target: Target) -> DataFrame:
-    """``source, n, weight, quota, passes, rest``: whole passes over each source and the tokens after."""
+    """``source, n, weight, quota, passes, rest``: whole passes over each source and the tokens after.
+
+    A source without a word has no weight and no say in those of others; it is passed once.
+    """
     sizes = written(_sizes(docs), "sizes")
+    with_words = sizes.filter("n > 0")
     power, s = 1.0, {"total": 1.0, "least": 1.0}
-    if not sizes.isEmpty():
-        power = exponent(sizes, target)
-        s = _sums(sizes, power)
-    raised = F.pow(F.col("n").cast("double"), F.lit(power))
+    if not with_words.isEmpty():
+        power = exponent(with_words, target)
+        s = _sums(with_words, power)
+    raised = F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), F.lit(power))).otherwise(F.lit(0.0))
     out = sizes.withColumn("weight", raised / F.lit(s["total"]))
     out = out.withColumn("quota", F.round(F.col("weight") * F.lit(_budget(s, target))).cast("long"))
-    out = out.withColumn("passes", F.floor(F.col("quota") / F.col("n")).cast("int"))
+    whole = F.when(F.col("n") > 0, F.call_function("div", F.col("quota"), F.col("n"))).otherwise(F.lit(1))
+    out = out.withColumn("passes", whole.cast("long"))
     return out.withColumn("rest", F.col("quota") - F.col("passes") * F.col("n"))
 
 
@@ -167,10 +172,10 @@ def mixed(docs: DataFrame, target: Target) -> DataFrame:
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     drawn = rows.join(full, F.col("row.source").eqNullSafe(F.col("of")))
     doc = F.col("row.doc_id")
-    every = F.when(F.col("passes") > 0, F.sequence(F.lit(1), F.col("passes")))
+    every = F.when(F.col("passes") > 0, F.sequence(F.lit(1).cast("long"), F.col("passes")))
     last = F.col("passes") + 1
     extra = F.when(_key(target.seed, last, doc) <= F.col("edge"), F.array(last))
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<long>")
     turns = F.concat(F.coalesce(every, none), F.coalesce(extra, none))
     out = drawn.select("row", F.explode(turns).alias("pass"))
     return out.withColumn("place_key", _key(target.seed, F.col("pass"), doc))
@@ -202,8 +207,8 @@ def _sql() -> str:
     return rf"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS tokens FROM documents),
-sizes AS (SELECT source, greatest(sum(tokens), 1)::DOUBLE AS n FROM docs GROUP BY source),
-ns AS (SELECT list(n) AS ns FROM sizes),
+sizes AS (SELECT source, sum(tokens)::DOUBLE AS n FROM docs GROUP BY source),
+ns AS (SELECT list(n) AS ns FROM sizes WHERE n > 0),
 low AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, ns FROM ns
   UNION ALL SELECT i + 1, CASE WHEN {entropy} >= {goal} THEN (lo + hi) / 2 ELSE lo END,
     CASE WHEN {entropy} >= {goal} THEN hi ELSE (lo + hi) / 2 END, ns FROM low WHERE i < {HALVINGS}),
@@ -215,14 +220,16 @@ power AS (SELECT CASE WHEN {chosen_passes} <= {MIX.repeats} THEN chosen
     WHEN {one_passes} <= {MIX.repeats} THEN (SELECT hi FROM high WHERE i = {HALVINGS}) ELSE 1.0 END AS p, ns FROM first),
 budget AS (SELECT p, list_sum(list_transform(ns, lambda n: pow(n, p))) AS total,
   list_min(list_transform(ns, lambda n: pow(n, p) / n)) AS least FROM power),
-plan AS (SELECT source, n, round(pow(n, p) / total * (total / least))::BIGINT AS quota FROM sizes, budget),
-passes AS (SELECT source, n, (quota // n::BIGINT)::INT AS passes, quota - (quota // n::BIGINT) * n::BIGINT AS rest FROM plan),
+plan AS (SELECT source, n, CASE WHEN n > 0 THEN round(pow(n, p) / total * (total / least))::BIGINT ELSE 0 END AS quota
+  FROM sizes, budget),
+passes AS (SELECT source, CASE WHEN n > 0 THEN quota // n::BIGINT ELSE 1 END AS passes,
+    CASE WHEN n > 0 THEN quota % n::BIGINT ELSE 0 END AS rest FROM plan),
 keyed AS (SELECT doc_id, d.source, tokens, passes, rest,
     md5('{MIX.seed}:' || (passes + 1) || ':' || coalesce(doc_id::VARCHAR, '')) AS k
   FROM docs d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source),
 run AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY k) AS upto FROM keyed),
 drawn AS (
-  SELECT doc_id, source, unnest(range(1, passes + 1))::INT AS pass FROM keyed
+  SELECT doc_id, source, unnest(range(1, passes + 1)) AS pass FROM keyed
   UNION ALL SELECT doc_id, source, passes + 1 FROM run WHERE rest > 0 AND upto <= rest)
 SELECT doc_id, source, pass, md5('{MIX.seed}:' || pass || ':' || coalesce(doc_id::VARCHAR, '')) AS place_key FROM drawn
 """
