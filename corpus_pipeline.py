@@ -36,7 +36,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8): the smallest ``doc_id``."""
+    """One document of each group of near duplicates (five words, 0.8): the smallest ``doc_id``.
+
+    Rows of one id are one document and stay or go together.
+    """
     ready(spark)
     gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
