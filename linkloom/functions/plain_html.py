@@ -1,7 +1,7 @@
 """Links of plainly written pages by regular expression, in the JVM.
 
-A page is plain when every ``<`` of it opens a construct whose extent all HTML parsers agree on, and
-every href is of a kind whose resolution is a concatenation. On such pages the result is provably
+A page is plain when every ``<`` of it opens a construct whose extent all HTML parsers agree on (so that
+none is left when the constructs are taken away), and every href is of a kind whose resolution is a concatenation. On such pages the result is provably
 that of the page parser; every other page goes to the parser. Loops are possessive, lazy or bounded,
 so no page, however odd, makes the matcher recurse deeply.
 """
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 _WS = r"[ \t\n\r\f]"
 _NAME = r"[a-z][a-z0-9_:.\-]*+"
-_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`]++)"""
+# No bracket in quotes: a page that has one is not plain, so no anchor hides in an attribute.
+_VALUE = r"""(?:"[^"<]*+"|'[^'<]*+'|[^\s"'=<>`]++)"""
 _ATTR = rf"{_WS}++(?!{_WS}){_NAME}(?:={_VALUE})?+(?=[ \t\n\r\f/>])"
 # Attributes beside href, and any attributes.
 _OTHER = rf"(?:(?!{_WS}++href[ \t\n\r\f=/>]){_ATTR}){{0,50}}+"
@@ -38,7 +39,8 @@ _CONSTRUCTS = (
     r"[^<>]*+\z",
 )
 SCAN = "(?is)<(?:" + "|".join(_CONSTRUCTS) + ")"
-_ANCHOR = "(?is)^<" + _CONSTRUCTS[0]
+# Anchors with an href, and what may hold text that looks like one.
+ANCHORS = "(?is)<(?:" + "|".join(_CONSTRUCTS[:1] + _CONSTRUCTS[4:8]) + ")"
 
 _PATH = r"/(?!/)[^\s?#;&]*+(?:\?[^\s#;&]++)?+"
 _HREF = (
@@ -55,15 +57,12 @@ _BASE = r"^https?://[A-Za-z0-9.\-]++(?::[0-9]++)?+/[^\s?#;]*+(?:\?[^\s#;]++)?+(?
 _AMP = "\x00"
 
 
-def constructs(text: Column) -> Column:
-    """Tags, comments and text-only elements of a page in order, one scan."""
-    return F.regexp_extract_all(text, F.lit(SCAN), 0)
+def written_hrefs(text: Column) -> Column:
+    """hrefs of a plain page's anchors in page order, quotes off and ``&amp;`` decoded.
 
-
-def written_hrefs(found: Column) -> Column:
-    """hrefs among the constructs in page order, quotes off and ``&amp;`` decoded."""
-    anchors = F.filter(found, lambda c: c.startswith("<a") | c.startswith("<A"))
-    hrefs = F.transform(anchors, lambda c: F.regexp_extract(c, _ANCHOR, 1))
+    One scan that stops at anchors, comments and text-only elements; the latter two give no href.
+    """
+    hrefs = F.regexp_extract_all(text, F.lit(ANCHORS), 1)
     bare = F.transform(
         F.filter(hrefs, lambda h: h != ""),
         lambda h: F.when(h.rlike("^[\"']"), F.substr(h, F.lit(2), F.length(h) - 2)).otherwise(h),
@@ -78,13 +77,9 @@ def _as_written(href: Column) -> Column:
     return F.replace(href, F.lit(_AMP), F.lit("&"))
 
 
-def _brackets(text: Column) -> Column:
-    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("<"), F.lit("")))
-
-
-def is_plain(text: Column, base: Column, found: Column, hrefs: Column) -> Column:
+def is_plain(text: Column, base: Column, hrefs: Column) -> Column:
     """True when the expressions here give exactly what the page parser would."""
-    whole = _brackets(text) == _brackets(F.array_join(found, ""))
+    whole = ~F.regexp_replace(text, SCAN, "").contains("<")
     odd = F.exists(hrefs, lambda h: ~h.rlike(_HREF) | h.rlike(_UNEVEN))
     return base.rlike(_BASE) & ~base.rlike(_UNEVEN) & ~text.contains(_AMP) & whole & ~odd
 

@@ -178,11 +178,14 @@ def with_links(
     parse = _batch(mode, ["links", *extra])
     base = F.col(url)
     read = pages.withColumn("_text", page_text(F.col(body), cap))
-    read = read.withColumn("_found", H.constructs(F.col("_text")))
-    read = read.withColumn("_hrefs", H.written_hrefs(F.col("_found")))
-    plain = H.is_plain(F.col("_text"), base, F.col("_found"), F.col("_hrefs"))
-    read = read.withColumn("_plain", plain).drop("_found")
-    parsed = read.withColumn("_parsed", parse(F.when(~F.col("_plain"), F.col("_text")), base))
+    read = read.withColumn("_hrefs", H.written_hrefs(F.col("_text")))
+    plain = F.coalesce(H.is_plain(F.col("_text"), base, F.col("_hrefs")), F.lit(False))
+    read = read.withColumn("_plain", plain)
+    # Only what the parser must read goes on to it: rows of plain pages stay small.
+    rest = F.when(~F.col("_plain"), F.coalesce("_text", F.lit("")))
+    read = read.withColumn("_rest", rest).drop("_text", "_plain")
+    parsed = read.withColumn("_parsed", parse(F.col("_rest"), base))
+    parsed = parsed.withColumn("_plain", F.col("_rest").isNull())
     easy = F.when(F.col("_plain"), H.resolved_hrefs(base, F.col("_hrefs")))
     parsed = parsed.withColumn("_easy", easy)
     known = {

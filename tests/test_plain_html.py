@@ -54,8 +54,8 @@ def test_plain_pages_give_the_parsers_links(spark):
     docs = list(documents(6000, 11))
     df = spark.createDataFrame(docs, "i int, url string, html string").repartition(8)
     html, base = F.col("html"), F.col("url")
-    df = df.withColumn("found", H.constructs(html)).withColumn("hrefs", H.written_hrefs(F.col("found")))
-    df = df.withColumn("plain", H.is_plain(html, base, F.col("found"), F.col("hrefs")))
+    df = df.withColumn("hrefs", H.written_hrefs(html))
+    df = df.withColumn("plain", H.is_plain(html, base, F.col("hrefs")))
     rows = df.filter("plain").select("i", H.plain_links(H.resolved_hrefs(base, F.col("hrefs"))).alias("links")).collect()
     assert len(rows) > 1500
     for r in rows:
