@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import sys
 import types
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +52,12 @@ def saved(df: DataFrame) -> DataFrame:
 
 def let_go(spark: SparkSession) -> None:
     """Ask the driver to collect what it no longer refers to: Spark then deletes the shuffle files of
-    finished steps, which otherwise stay on the executors until the driver happens to collect."""
+    finished steps, which otherwise stay on the executors until the driver happens to collect.
+
+    The listeners of a finished job hold its plan for a moment, so it waits for them, not for long.
+    """
+    with contextlib.suppress(Py4JJavaError):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(5000)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
