@@ -14,17 +14,17 @@ from linkloom.llm.common import ready, saved, table, texts
 
 SPAN = 2
 LONG = 40  # words; a sentence this long is a run by itself
-LEAST = 20  # words of a stretch of repeated sentences that is taken out
+LEAST = 20  # words of a stretch of repeated sentences that the registered query reports
 _BLANK = " \t\r\n"
-_MARK = "\x01"
 # A sentence ends after a stop and white space, or at a line end.
-BREAK = r"([.!?][ \t\r\n]+|\n[ \t\r\n]*)"
+BREAK = r"[.!?][ \t\r\n]+|\n[ \t\r\n]*"
+PIECE = rf"(?s).*?(?:{BREAK})|.+"
 WORD = r"[^ \t\r\n]+"
 
 
 def pieces(text: Column) -> Column:
     """Sentences with the white space after them; joined they are the text (but for leading blanks)."""
-    parts = F.split(F.regexp_replace(text, BREAK, "$1" + _MARK), _MARK)
+    parts = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
     return F.filter(parts, lambda s: F.btrim(s, F.lit(_BLANK)) != "")
 
 
@@ -51,14 +51,15 @@ def _runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_sentences(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``doc_id, sentence_no, first_doc_id, first_sentence_no`` of every repeated sentence.
+def repeated_sentences(docs: DataFrame, least: int = 0) -> DataFrame:
+    """``doc_id, sentence_no, first_doc_id, first_sentence_no, stretch_words`` of every repeated sentence.
 
     Sentences of ``docs(doc_id, text)`` are numbered from 0; two are equal when they are to the letter,
     white space around them aside. A sentence is repeated when it lies in a run of two sentences (or is
     a sentence of 40 words or more) that occurs earlier, by ``doc_id`` and number, in the same or another
-    document; the first place named is the smallest of those its runs point to. Stretches of
-    fewer than ``least`` words are left alone. Null and empty texts have no sentences; rows with a
+    document; the first place named is the smallest of those its runs point to. ``stretch_words`` counts
+    the words of the unbroken stretch of repeated sentences that it lies in; with ``least``, shorter
+    stretches are left alone. Null and empty texts have no sentences; rows with a
     null id take no part, rows with one id are the same document; other columns are ignored; an empty
     table gives no rows.
     """
@@ -101,6 +102,7 @@ def repeated_sentences(docs: DataFrame, least: int = LEAST) -> DataFrame:
             F.col("n").alias("sentence_no"),
             F.col("f.doc_id").alias("first_doc_id"),
             F.col("f.at").alias("first_sentence_no"),
+            F.col("words").cast("long").alias("stretch_words"),
         )
     )
 
@@ -122,14 +124,17 @@ def without_sentences(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated sentence of the documents, with the place it repeats."""
-    return repeated_sentences(table(ready(spark), sf_dir, "documents"))
+    """Every repeated sentence of the documents in a stretch of 20 words or more, with the place it repeats.
+
+    Shorter stretches are stock phrases that documents share by chance; the operator reports them as well.
+    """
+    return repeated_sentences(table(ready(spark), sf_dir, "documents"), LEAST)
 
 
 SQL = rf"""
 WITH cut AS (
-  SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''),
-    '{BREAK}', '\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ' || chr(9) || chr(13) || chr(10))), lambda s: s <> '') AS s
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '{PIECE}'),
+    lambda s: trim(s, ' ' || chr(9) || chr(13) || chr(10))), lambda s: s <> '') AS s
   FROM documents WHERE doc_id IS NOT NULL),
 sent AS (
   SELECT doc_id, unnest(range(len(s))) AS n, unnest(s) AS this, s FROM cut),
@@ -149,6 +154,7 @@ one AS (SELECT doc_id, n, max(w) AS w, min((fd, fn)) AS f FROM covered GROUP BY
 stretches AS (
   SELECT *, n - row_number() OVER (PARTITION BY doc_id ORDER BY n) AS stretch FROM one),
 summed AS (SELECT *, sum(w) OVER (PARTITION BY doc_id, stretch) AS words FROM stretches)
-SELECT doc_id, n AS sentence_no, f[1] AS first_doc_id, f[2] AS first_sentence_no
+SELECT doc_id, n AS sentence_no, f[1] AS first_doc_id, f[2] AS first_sentence_no,
+  words::BIGINT AS stretch_words
 FROM summed WHERE words >= {LEAST}
 """

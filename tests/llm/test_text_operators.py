@@ -150,7 +150,7 @@ def test_passages_go_and_the_rest_stays(spark):
     passage = " ".join(say(13) for _ in range(4))
     docs = [(i, f"{say(9)} {say(12)}\n{passage} {say(20)}\n{say(8)}") for i in range(5)]
     docs += [(10, None), (11, ""), (12, "One. Two."), (13, "One. Two."), (None, passage)]
-    found = sentence_spans.repeated_sentences(frame(spark, docs))
+    found = sentence_spans.repeated_sentences(frame(spark, docs), least=20)
     assert {(x.doc_id, x.sentence_no) for x in found.collect()} == {
         (i, n) for i in range(1, 5) for n in range(2, 6)
     }
@@ -160,6 +160,21 @@ def test_passages_go_and_the_rest_stays(spark):
         assert left[i] == docs[i][1].replace(passage + " ", "")
 
 
+def test_short_stretches_and_control_characters(spark):
+    """Without a least length every covered sentence is reported; no character of a text is lost."""
+    odd = "One.\x01 Two. Thr\x01ee!\n\n Four? Five\x00"
+    docs = [(1, "A b. C d. E f."), (2, "x y. A b. C d."), (3, odd), (4, odd + " Six."), (5, "\n\n Q r. " + odd)]
+    found = sentence_spans.repeated_sentences(frame(spark, docs))
+    rows = {(x.doc_id, x.sentence_no): x for x in found.collect()}
+    assert {k for k in rows if k[0] < 3} == {(2, 1), (2, 2)}
+    assert {(x.first_doc_id, x.first_sentence_no, x.stretch_words) for k, x in rows.items() if k[0] == 2} == {(1, 0, 4), (1, 1, 4)}
+    assert {k[0] for k in rows} == {2, 4, 5}
+    left = {x.doc_id: x.text for x in sentence_spans.without_sentences(frame(spark, docs), found.filter("doc_id < 4")).collect()}
+    assert left[3] == odd and left[2] == "x y. " and left[4] == odd + " Six."
+    none = sentence_spans.without_sentences(frame(spark, docs[4:]), found.filter("doc_id = 5 and sentence_no = 0"))
+    assert none.first().text == docs[4][1]
+
+
 def test_token_counts(spark):
     docs = hard()
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -112,6 +112,24 @@ def test_quality_on_held_out_documents(spark):
     assert sum(r.predicted == r.quality for r in held) >= 0.97 * len(held)
 
 
+def test_quality_equals_a_plain_discriminant(spark):
+    """Statistics, class covariances and scores of all documents, each worked out the plain way."""
+    import zlib
+
+    docs = {r.doc_id: r.text for r in table(ready(spark), SF, "documents").collect()}
+    labels = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    rows = {d: plain.quality_statistics(t) for d, t in docs.items()}
+    learn = [d for d in docs if labels.get(d) in (0, 1) and zlib.crc32(str(d).encode()) % 4 != 2]
+    score = plain.discriminant(
+        [rows[d] for d in learn], [labels[d] for d in learn], quality.SHRINK, quality.SPHERE, quality.SLOPE
+    )
+    out = quality.op3_quality_discriminant(spark, SF).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert math.isclose(r.score, score(rows[r.doc_id]), abs_tol=1e-6)
+
+
 def test_quality_of_odd_texts(spark):
     docs = [(i, t, 0.1, [1.0]) for i, t in enumerate([None, "", " \n", "x", "!" * 5000, "A b. " * 90000])]
     docs += [(None, "no id", 0.1, None), docs[3]]
