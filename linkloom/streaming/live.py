@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -20,9 +21,17 @@ from linkloom.session import fresh_path
 
 
 def read_stream(spark: SparkSession, folder: str, glob: str, max_files: int = 1000) -> DataFrame:
-    """Parquet files of ``folder`` matching ``glob`` as a stream, schema taken from what is there."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """Parquet files of ``folder`` matching ``glob`` as a stream, schema taken from what is there.
+
+    Where no file matches, ``glob`` names a folder in ``folder``: a table of many files.
+    """
+    options = {"pathGlobFilter": glob}
+    try:
+        schema = spark.read.options(**options).parquet(folder).schema
+    except AnalysisException:
+        folder, options = f"{folder}/{glob}", {}
+        schema = spark.read.parquet(folder).schema
+    reader = spark.readStream.schema(schema).options(**options)
     return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 

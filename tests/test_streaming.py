@@ -85,3 +85,21 @@ def test_late_copies(spark):
     ]
     assert sum(b.late_rows for b in batches) == 2
     assert batches[-1].state_rows < 4
+
+
+def test_table_of_one_file_or_of_many(spark, tmp_path):
+    links = [(i, f"http://h{i}/", f'<a href="/{i}">x</a>') for i in range(40)]
+    pages = spark.createDataFrame(links, "page_id long, url string, html string")
+    pages.repartition(4).write.parquet(f"{tmp_path}/many/pages.parquet")
+    pages.limit(3).write.parquet(f"{tmp_path}/many/other.parquet")
+    pages.coalesce(1).write.parquet(f"{tmp_path}/made")
+    (one,) = (tmp_path / "made").glob("part-*.parquet")
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "pages.parquet").write_bytes(one.read_bytes())
+    pages.withColumn("day", F.col("page_id") % 3).write.partitionBy("day").parquet(f"{tmp_path}/days/pages.parquet")
+    want = [(i, 0, f"http://h{i}/{i}") for i in range(40)]
+    for folder in ("many", "one"):
+        stream = live.read_stream(spark, f"{tmp_path}/{folder}", "pages.parquet", max_files=3)
+        assert rows(live.live_links(stream).select("page_id", "pos", "dst")) == sorted(want, key=repr)
+    days = live.live_visited(live.read_stream(spark, f"{tmp_path}/days", "pages.parquet").filter("day = 1"))
+    assert days.count() == 13
