@@ -19,6 +19,9 @@ from linkloom.streaming.live import read_stream
 
 USER_AGENT = "testbot-1/1.0 (x)"
 
+# Rows that one task writes to its files of the logs, about: it sorts them by log.
+FILE_ROWS = 250_000
+
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/pages.parquet")
@@ -426,10 +429,13 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def damaged_logs(spark: SparkSession, sf: str, block: int) -> list[str]:
     """Three whole logs, gzipped; a fourth that has one file of the first cut in half beside a whole one, a
-    fifth whose file is no gzip, a sixth without files, and a seventh that is not there."""
+    fifth whose file is no gzip, a sixth without files, and a seventh that is not there. A log has as many
+    files as its rows ask for, two at least."""
     path = fresh_path(spark, "logs")
-    rows = counted_log(spark, sf, block)
-    L.write_log(rows.repartition(2, "seq"), path, compression="gzip")
+    log = stored_log(spark, sf)
+    files = max(2, -(-log.count() // FILE_ROWS))
+    rows = running_domain_counts(log, "seq", block)
+    L.write_log(rows.repartition(files, "seq"), path, compression="gzip")
     L.write_log(rows.filter("log = 'run0'").drop("log"), f"{path}/plain")
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.plans import report as PR
 from linkloom.sources import crawl_log as L
 from linkloom.sources import log_sets as LS
+from linkloom.workload import derive as D
 
 ROW = "2024-01-01 00:00:0{s}\thttp://h{n}/\t200\t{n}\t1\t0.9\th\t1\th\t1\t20"
 
@@ -81,3 +82,24 @@ def test_report_of_good_logs(spark, folder, tmp_path):
     PR.report_logs(spark, paths[1:], summary)
     back = sorted(r.log for r in L.read_summary(spark, summary).collect())
     assert back == ["good0", "good3", "good3"]
+
+
+def test_damaged_logs_have_files_as_their_rows_ask(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "FILE_ROWS", 100, raising=False)
+    pages = [(i, f"http://h{i}.example/", "<a href='/x'>x</a>") for i in range(5)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", "id AS user_id", "'view' AS event_type", "1.5D AS value"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    paths = D.damaged_logs(spark, str(tmp_path), 50)
+    for name in ("run0", "run1", "run2"):
+        (path,) = [p for p in paths if p.endswith(f"log={name}")]
+        lines = spark.read.text(path)
+        assert len(lines.inputFiles()) == 10
+        most = lines.groupBy(F.col("_metadata.file_path").alias("f")).count().agg(F.max("count")).first()[0]
+        assert most < 100
+    states = {r.log: (r.state, r.n_rows) for r in LS.log_states(LS.whole_logs(spark, paths)).collect()}
+    assert states == {
+        "run0": ("read", 334), "run1": ("read", 333), "run2": ("read", 333),
+        "cut": ("damaged", None), "plain": ("damaged", None), "empty": ("empty", None), "none": ("missing", None),
+    }
