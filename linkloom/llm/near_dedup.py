@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import ready, saved, table, text_pieces, texts, written
+from linkloom.llm.common import let_go, ready, saved, table, text_pieces, texts, written
 from linkloom.llm.components import components
 from linkloom.llm.nodes import bundles, star_links
 from linkloom.llm.words import LOWER, mixed, shingle_sets, sketches, word_codes, word_spans
@@ -179,6 +179,7 @@ def _grown(
     for level in range(levels):
         met = saved(_met(saved(rows.distinct() if level else rows)))
         found.append(_once(met.filter(F.col("n") <= limit)).select("path", "id"))
+        let_go(marks.sparkSession)
         large = met.filter(F.col("n") > limit)
         if large.isEmpty():
             return found, None, deep
@@ -282,7 +283,10 @@ def _links(
     for more in found[1:]:
         every = every.union(more)
     likely = saved(_likely(every, marks, percent))
-    return saved(_confirmed(likely, docs, width, percent))
+    let_go(docs.sparkSession)
+    links = saved(_confirmed(likely, docs, width, percent))
+    let_go(docs.sparkSession)
+    return links
 
 
 def near_duplicates(
@@ -311,6 +315,7 @@ def near_duplicates(
         .join(first.select("id"), "id")
         .dropDuplicates(["id"])
     )
+    let_go(docs.sparkSession)
     found, left = nodes(marks, percent, trees, limit, levels)
     if left is not None:
         left = saved(_once(left).select("path", "id", "n"))
