@@ -27,6 +27,7 @@ SHINGLE = 5  # characters
 BANDS = 10
 ROWS = 4  # minwise values of a band: a pair at 0.8 shares one of the bands with chance 0.995
 LIMIT = 1024  # lines compared exhaustively at once
+PIECE = 1 << 17  # text bytes worked on at once: their arrays stay in a core's cache
 BLOCK = 60_000  # lines that send their bands at once
 BUCKET = 1 << 21  # band values of a bucket, on average
 _U = np.uint64
@@ -100,10 +101,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in text_pieces(batches):
+        for part, data, offsets in text_pieces(batches, most=PIECE):
             letters, where = _letters(data, offsets)
             starts, ends, owner, number = _lines(letters, where)
-            solid = np.r_[0, np.cumsum(~np.isin(letters, (9, 10, 11, 12, 13, 32)))]
+            # Characters 9 to 13 and 32 are blank.
+            solid = np.r_[0, np.cumsum((letters != 32) & (letters - np.uint32(9) > 4))]
             full = solid[ends] > solid[starts]
             starts, ends, owner, number = starts[full], ends[full], owner[full], number[full]
             flat, at = line_sets(letters, starts, ends)
@@ -305,6 +307,29 @@ def _line_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "lid long, text string")
 
 
+def _distinct(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of each list, sorted, and how many they are."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    flat = flat[np.lexsort((flat, owner))]
+    new = np.ones(len(flat), bool)
+    new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
+    return flat[new], np.bincount(owner[new], minlength=len(offsets) - 1)
+
+
+def _pairs_alike(flat: np.ndarray, offsets: np.ndarray, pairs: np.ndarray, percent: int) -> np.ndarray:
+    """``pair_alike`` of the sets numbered ``pairs`` and the ones after them, all at once."""
+    sizes = np.diff(offsets)
+    number = np.full(len(sizes), -1)
+    number[pairs] = number[pairs + 1] = np.arange(len(pairs))
+    owner = np.repeat(number, sizes)
+    flat, owner = flat[owner >= 0], owner[owner >= 0]
+    order = np.lexsort((flat, owner))
+    flat, owner = flat[order], owner[order]
+    both = owner[1:][(flat[1:] == flat[:-1]) & (owner[1:] == owner[:-1])]
+    common = np.bincount(both, minlength=len(pairs))
+    return (common > 0) & (100 * common >= percent * (sizes[pairs] + sizes[pairs + 1] - common))
+
+
 def _confirmed(rows: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` of lines in one group by their exact shingle sets."""
 
@@ -314,21 +339,22 @@ def _confirmed(rows: DataFrame, percent: int) -> DataFrame:
             flats, sizes = [], []
             for _, data, offsets in text_pieces(iter(part.to_batches())):
                 letters, where = _letters(data, offsets)
-                flat, at = line_sets(letters, where[:-1], where[1:])
-                for i in range(len(at) - 1):
-                    flats.append(np.unique(flat[at[i] : at[i + 1]]))
-                    sizes.append(len(flats[-1]))
-            flat, where = np.concatenate(flats), np.r_[0, np.cumsum(sizes)]
+                own, size = _distinct(*line_sets(letters, where[:-1], where[1:]))
+                flats.append(own)
+                sizes.append(size)
+            flat, where = np.concatenate(flats), np.r_[0, np.cumsum(np.concatenate(sizes))]
             ids = part.column("lid").to_numpy()
-            found = [
+            pairs = cuts[:-1][np.diff(cuts) == 2]
+            pairs = pairs[_pairs_alike(flat, where, pairs, percent)]
+            found = [(ids[pairs + 1], ids[pairs])]
+            found += [
                 star_links(ids[a:b], flat[where[a] : where[b]], where[a : b + 1] - where[a], percent)
                 for a, b in zip(cuts[:-1], cuts[1:])
-                if b - a > 1
+                if b - a > 2
             ]
-            if found:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"]
-                )
+            yield pa.record_batch(
+                [pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"]
+            )
 
     dealt = rows.repartition("path").sortWithinPartitions("path")
     return dealt.mapInArrow(run, "a long, b long")
