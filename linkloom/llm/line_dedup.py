@@ -14,10 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import let_go, ready, saved, table, text_pieces, texts, written
+from linkloom.llm.common import let_go, partitions, ready, saved, table, text_pieces, texts, written
 from linkloom.llm.components import components
 from linkloom.llm.nodes import bundles, clusters, groups, star_links
 from linkloom.llm.words import mixed, sketches
@@ -30,6 +30,8 @@ LIMIT = 1024  # lines compared exhaustively at once
 PIECE = 1 << 17  # text bytes worked on at once: their arrays stay in a core's cache
 BLOCK = 60_000  # lines that send their bands at once
 BUCKET = 1 << 21  # band values of a bucket, on average
+PAIRS = 1 << 16  # pairs of sketches compared at once
+PACK = 8 << 20  # text bytes packed at once
 _U = np.uint64
 _STEP = np.random.default_rng(41).integers(1, 2**63, 64, dtype=np.int64).astype(_U) | _U(1)
 
@@ -38,8 +40,8 @@ def _letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Code points with A-Z in lower case, and the offsets of the texts among them."""
     letters = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     letters = letters + ((letters >= 65) & (letters <= 90)) * np.uint32(32)
-    begins = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-    return letters, begins[offsets]
+    # A character has one byte that continues none.
+    return letters, offsets - np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), offsets)
 
 
 def _lines(letters: np.ndarray, offsets: np.ndarray):
@@ -105,17 +107,18 @@ def signatures(docs: DataFrame) -> DataFrame:
             letters, where = _letters(data, offsets)
             starts, ends, owner, number = _lines(letters, where)
             # Characters 9 to 13 and 32 are blank.
-            solid = np.r_[0, np.cumsum((letters != 32) & (letters - np.uint32(9) > 4))]
-            full = solid[ends] > solid[starts]
+            blanks = np.flatnonzero((letters == 32) | (letters - np.uint32(9) <= 4))
+            full = np.searchsorted(blanks, ends) - np.searchsorted(blanks, starts) < ends - starts
             starts, ends, owner, number = starts[full], ends[full], owner[full], number[full]
             flat, at = line_sets(letters, starts, ends)
             if len(starts) == 0:
                 continue
             # A shingle's place takes part, so the keys tell apart lines with equal sets.
-            place = (np.arange(len(flat)) - np.repeat(at[:-1], np.diff(at))).astype(_U)
-            codes = mixed(flat + place * _STEP[8])
+            steps = np.arange(len(flat), dtype=_U) * _STEP[8]
+            steps -= np.repeat(steps[at[:-1]], np.diff(at))
+            codes = mixed(flat + steps)
             key_a = np.add.reduceat(codes, at[:-1])
-            key_b = np.add.reduceat((codes ^ (codes >> _U(32))) * _STEP[9], at[:-1])
+            key_b = np.add.reduceat(codes ^ (codes >> _U(32)), at[:-1]) * _STEP[9]
             values = sketches(flat, at, BANDS * ROWS)
             marks = values.astype(_U).reshape(-1, BANDS, ROWS)
             bands = mixed((marks * _STEP[10 : 10 + ROWS]).sum(axis=2, dtype=_U)).astype(np.uint32)
@@ -244,6 +247,17 @@ def _blocks(large: DataFrame, limit: int) -> DataFrame:
     return paired.select(block.alias("path"), "lid")
 
 
+def _near(some: np.ndarray, all_: np.ndarray, most: int) -> np.ndarray:
+    """Which rows of packed four-bit values differ from which others of their group in ``most`` at the most."""
+    apart = np.zeros((len(some), some.shape[1], all_.shape[1]), np.uint8)
+    for k in range(some.shape[2]):
+        x = some[:, :, None, k] ^ all_[:, None, :, k]
+        x |= x >> _U(2)
+        x |= x >> _U(1)
+        apart += np.bitwise_count(x & _U(0x1111111111111111))
+    return apart <= most
+
+
 def _likely(met: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """``path, lid`` of lines whose sketch agrees with another of the group almost as asked.
 
@@ -258,59 +272,161 @@ def _likely(met: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, cuts in bundles(batches, "path", 4096):
             few = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, size // 2)
-            marks = np.concatenate([few & np.uint8(15), few >> np.uint8(4)], axis=1)
+            marks = np.pad(few, ((0, 0), (0, -few.shape[1] % 8))).view(_U)
             lids = part.column("lid").to_numpy()
             names = mixed(lids.astype(_U) + _U(1))
-            paths, out = [], []
-            pairs = cuts[:-1][np.diff(cuts) == 2]
-            alike = (marks[pairs] == marks[pairs + 1]).sum(axis=1) >= least
-            both = pairs[alike]
-            paths.append(np.repeat((names[both] + names[both + 1]).view(np.int64), 2))
-            out.append(np.stack([lids[both], lids[both + 1]], axis=1).ravel())
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if b - a <= 2:
-                    continue
-                own = marks[a:b]
-                near = np.zeros((b - a, b - a), bool)
-                for i in range(0, b - a, 64):
-                    near[i : i + 64] = (own[i : i + 64, None, :] == own[None, :, :]).sum(axis=2, dtype=np.uint8) >= least
-                label = clusters(near)
-                sums, members = np.zeros(b - a, _U), np.bincount(label, minlength=b - a)
-                np.add.at(sums, label, names[a:b])
-                keep = members[label] > 1
-                paths.append(sums[label[keep]].view(np.int64))
-                out.append(lids[a:b][keep])
-            yield pa.record_batch([pa.array(np.concatenate(paths)), pa.array(np.concatenate(out))], names=["path", "lid"])
+            label = np.arange(len(lids))
+            many = np.diff(cuts)
+            for n in np.unique(many[many > 1]):
+                starts = cuts[:-1][many == n]
+                for at in np.array_split(starts, -(-len(starts) * n * n // PAIRS)):
+                    spot = at[:, None] + np.arange(n)
+                    own = marks[spot]
+                    near = np.concatenate([_near(own[:, i : i + 64], own, size - least) for i in range(0, n, 64)], axis=1)
+                    label[spot] = at[:, None] + clusters(near)
+            sums = np.zeros(len(lids), _U)
+            np.add.at(sums, label, names)
+            keep = np.bincount(label, minlength=len(lids))[label] > 1
+            yield pa.record_batch([pa.array(sums[label[keep]].view(np.int64)), pa.array(lids[keep])], names=["path", "lid"])
 
     rows = met.join(firsts.select("lid", "sketch"), "lid").select("path", "lid", "sketch")
     dealt = rows.repartition("path").sortWithinPartitions("path")
     return dealt.mapInArrow(run, "path long, lid long").distinct()
 
 
+def _packed(docs: DataFrame, buckets: int) -> DataFrame:
+    """Texts of many documents packed by bucket: ``bucket, head, texts``.
+
+    ``head`` holds their ids, their ``row`` and their sizes. Equal rows of one id are one text.
+    """
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        keys = np.stack([table.column(c).to_numpy() for c in ("row", "doc_id", "bucket")])
+        order = np.lexsort(keys)
+        new = np.r_[True, (keys[:, order[1:]] != keys[:, order[:-1]]).any(axis=0)]
+        table = table.take(pa.array(order[new])).combine_chunks()
+        rows = []
+        for part, data, offsets in text_pieces(iter(table.to_batches()), most=1 << 62):
+            row, doc, bucket = (part.column(c).to_numpy().astype(np.int64) for c in ("row", "doc_id", "bucket"))
+            cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                head = np.stack([doc[a:b], row[a:b], np.diff(offsets[a : b + 1])])
+                texts = pa.compress(data[offsets[a] : offsets[b]].tobytes(), codec="zstd", asbytes=True)
+                rows.append((int(bucket[a]), head.tobytes(), texts))
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["bucket", "head", "texts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= PACK:
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
+
+    rows = _rows(docs).select(_bucket(buckets), "doc_id", "row", "text")
+    return rows.mapInArrow(run, "bucket int, head binary, texts binary")
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", "row"), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _places(asked: list[pa.RecordBatch]) -> dict:
+    """``(line_no, lid, path)`` of the lines asked of each text, by id and ``row``."""
+    places: dict[tuple, list] = {}
+    for batch in asked:
+        columns = (batch.column(c).to_pylist() for c in ("doc_id", "row", "line_no", "lid", "path"))
+        for doc, row, *place in zip(*columns):
+            places.setdefault((doc, row), []).append(place)
+    return places
+
+
+def _cut_lines(head: bytes, texts: bytes, places: dict) -> Iterator[pa.RecordBatch]:
+    """``path, lid, text`` of the lines asked of packed texts."""
+
+    def out() -> pa.RecordBatch:
+        rows = [pa.array(paths, pa.int64()), pa.array(lids, pa.int64()), pa.array(lines, pa.binary()).view(pa.string())]
+        return pa.record_batch(rows, names=["path", "lid", "text"])
+
+    ids, rows, sizes = np.frombuffer(head, np.int64).reshape(3, -1).tolist()
+    whole = pa.decompress(texts, sum(sizes), codec="zstd", asbytes=True)
+    paths, lids, lines, held, begin = [], [], [], 0, 0
+    for doc, row, size in zip(ids, rows, sizes):
+        # Taken out, so that equal rows of one id give their lines once.
+        asked = places.pop((doc, row), None)
+        own = whole[begin : begin + size].split(b"\n") if asked else []
+        begin += size
+        for number, lid, path in asked or ():
+            paths.append(path)
+            lids.append(lid)
+            lines.append(own[number])
+            held += len(own[number])
+            if held >= PACK:
+                yield out()
+                paths, lids, lines, held = [], [], [], 0
+    if lids:
+        yield out()
+
+
 def _line_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """``lid, text`` of the lines ``wanted(doc_id, row, line_no, lid)``, each document cut once."""
-    lists = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line_no", "lid")).alias("wanted"))
+    """``path, lid, text`` of the lines ``wanted(path, lid, doc_id, row, line_no)``, each document cut once.
+
+    Documents are dealt packed to the places asked of them; from there only lines go on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked, places = None, [], None
         for batch in batches:
-            lids, lines = [], []
-            for text, places in zip(batch.column("text"), batch.column("wanted").to_pylist()):
-                own = text.as_py().split("\n")
-                for place in places:
-                    lids.append(place["lid"])
-                    lines.append(own[place["line_no"]])
-            if lids:
-                yield pa.record_batch([pa.array(lids, pa.int64()), pa.array(lines, pa.string())], names=["lid", "text"])
+            bucket = batch.column("bucket").to_numpy()
+            packed = batch.column("head").is_valid().to_numpy(zero_copy_only=False)
+            new = (bucket[1:] != bucket[:-1]) | (packed[1:] != packed[:-1])
+            cuts = np.r_[0, np.flatnonzero(new) + 1, len(bucket)] if len(bucket) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if bucket[a] != at:
+                    at, asked, places = bucket[a], [], None
+                part = batch.slice(a, b - a)
+                if not packed[a]:
+                    asked.append(part)
+                    continue
+                places = _places(asked) if places is None else places
+                for head, texts in zip(part.column("head"), part.column("texts")):
+                    yield from _cut_lines(head.as_py(), texts.as_py(), places)
+
+    buckets = 4 * partitions(docs.sparkSession)
+    lists = wanted.select(_bucket(buckets), "path", "lid", "doc_id", "row", "line_no")
+    rows = lists.unionByName(_packed(docs, buckets), allowMissingColumns=True)
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket", F.isnotnull("head"))
+    return dealt.mapInArrow(run, "path long, lid long, text string")
+
 
-    # Equal rows of one id are one text.
-    joined = _rows(docs).join(lists, ["doc_id", "row"]).select("text", "wanted")
-    return joined.mapInArrow(run, "lid long, text string")
+def _ordered(owner: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The order of ``flat`` by owner and value.
+
+    Owner and leading bits make one number, which sorts much faster; should values of an owner differ
+    behind those bits only, it is done again with all.
+    """
+    if len(flat) == 0:
+        return np.zeros(0, np.int64)
+    bits = int(owner.max()).bit_length()
+    leading = (owner.astype(_U) << _U(64 - bits) if bits else _U(0)) | (flat >> _U(bits))
+    order = np.argsort(leading)
+    leading, values = leading[order], flat[order]
+    if ((leading[1:] == leading[:-1]) & (values[1:] != values[:-1])).any():
+        return np.lexsort((flat, owner))
+    return order
 
 
 def _distinct(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values of each list, sorted, and how many they are."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    flat = flat[np.lexsort((flat, owner))]
+    flat = flat[_ordered(owner, flat)]
     new = np.ones(len(flat), bool)
     new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
     return flat[new], np.bincount(owner[new], minlength=len(offsets) - 1)
@@ -323,7 +439,7 @@ def _pairs_alike(flat: np.ndarray, offsets: np.ndarray, pairs: np.ndarray, perce
     number[pairs] = number[pairs + 1] = np.arange(len(pairs))
     owner = np.repeat(number, sizes)
     flat, owner = flat[owner >= 0], owner[owner >= 0]
-    order = np.lexsort((flat, owner))
+    order = _ordered(owner, flat)
     flat, owner = flat[order], owner[order]
     both = owner[1:][(flat[1:] == flat[:-1]) & (owner[1:] == owner[:-1])]
     common = np.bincount(both, minlength=len(pairs))
@@ -337,7 +453,7 @@ def _confirmed(rows: DataFrame, percent: int) -> DataFrame:
         for part, cuts in bundles(batches, "path"):
             part = part.combine_chunks()
             flats, sizes = [], []
-            for _, data, offsets in text_pieces(iter(part.to_batches())):
+            for _, data, offsets in text_pieces(iter(part.to_batches()), most=PIECE):
                 letters, where = _letters(data, offsets)
                 own, size = _distinct(*line_sets(letters, where[:-1], where[1:]))
                 flats.append(own)
@@ -385,9 +501,8 @@ def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> Da
     let_go(docs.sparkSession)
     likely = saved(_likely(_sized(met, limit), firsts, percent))
     let_go(docs.sparkSession)
-    wanted = firsts.select(*place, "lid").join(likely.select("lid").distinct(), "lid", "left_semi")
-    bodies = likely.join(_line_texts(wanted, docs).dropDuplicates(["lid"]), "lid")
-    links = saved(_confirmed(bodies.select("path", "lid", "text"), percent))
+    wanted = firsts.select(*place, "lid").join(likely, "lid")
+    links = saved(_confirmed(_line_texts(wanted, docs), percent))
     let_go(docs.sparkSession)
     whole = own_side(components(links).withColumnRenamed("id", "lid"))
     # Lines that nothing repeats are left out before the last join.

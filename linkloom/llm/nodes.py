@@ -35,28 +35,41 @@ def bundles(
     batches: Iterator[pa.RecordBatch], key: str, rows: int = 512
 ) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Several whole runs at a time, with the places where they begin and end."""
-    held: list[pa.Table] = []
-    n = 0
-    for run in groups(batches, key):
-        held.append(run)
-        n += run.num_rows
-        if n >= rows:
-            yield pa.concat_tables(held), np.r_[0, np.cumsum([t.num_rows for t in held])]
-            held, n = [], 0
+
+    def cut(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        values = np.concatenate([b.column(key).to_numpy(zero_copy_only=False) for b in held])
+        return pa.Table.from_batches(held), np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
+
+    held: list[pa.RecordBatch] = []
+    n, first = 0, None
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, rows - n if n < rows else rows)
+            batch = batch.slice(part.num_rows)
+            first = part.column(key)[0] if not held else first
+            held.append(part)
+            n += part.num_rows
+            # The last run may go on; as long as it is the only one there is nothing to give.
+            if n < rows or first == part.column(key)[-1]:
+                continue
+            table, cuts = cut(held)
+            yield table.slice(0, cuts[-2]), cuts[:-1]
+            held = table.slice(cuts[-2]).to_batches()
+            n, first = table.num_rows - cuts[-2], part.column(key)[-1]
     if held:
-        yield pa.concat_tables(held), np.r_[0, np.cumsum([t.num_rows for t in held])]
+        yield cut(held)
 
 
 def clusters(joined: np.ndarray) -> np.ndarray:
-    """The smallest row of each row's connected component in a symmetric 0/1 matrix."""
-    n = len(joined)
-    label = np.arange(n)
+    """The smallest row of each row's connected component in a symmetric 0/1 matrix, or in each of a stack."""
+    n = joined.shape[-1]
+    label = np.broadcast_to(np.arange(n), joined.shape[:-1])
     while True:
-        least = np.where(joined, label[None, :], n).min(axis=1)
+        least = np.where(joined, label[..., None, :], n).min(axis=-1)
         least = np.minimum(least, label)
-        least = least[least]
+        least = np.take_along_axis(least, least, -1)
         if np.array_equal(least, label):
-            return label
+            return least
         label = least
 
 

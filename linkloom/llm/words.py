@@ -23,9 +23,12 @@ LOWER[65:91] += 32
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """Every input bit reaches every output bit; one to one."""
-    h = (h ^ (h >> _U(30))) * _MIX[0]
-    h = (h ^ (h >> _U(27))) * _MIX[1]
-    return h ^ (h >> _U(31))
+    h = h ^ (h >> _U(30))
+    h *= _MIX[0]
+    h ^= h >> _U(27)
+    h *= _MIX[1]
+    h ^= h >> _U(31)
+    return h
 
 
 def word_spans(
@@ -101,8 +104,11 @@ def sketches(flat: np.ndarray, offsets: np.ndarray, size: int, seed: int = 5) ->
     rng = np.random.default_rng(seed)
     flips = rng.integers(0, 2**32, size, dtype=np.uint32)
     factors = rng.integers(0, 2**32, size, dtype=np.uint32) | np.uint32(1)
+    values = np.empty_like(low)
     for k in range(size):
-        out[full, k] = np.minimum.reduceat((low ^ flips[k]) * factors[k], at)
+        np.bitwise_xor(low, flips[k], out=values)
+        np.multiply(values, factors[k], out=values)
+        out[full, k] = np.minimum.reduceat(values, at)
     return out
 
 
