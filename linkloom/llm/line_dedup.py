@@ -74,11 +74,16 @@ def line_sets(
     offsets = np.r_[0, np.cumsum(counts)]
     if len(letters) == 0:
         return np.zeros(0, _U), offsets
-    padded = np.r_[letters, np.zeros(width, np.uint32)].astype(_U) + _U(1)
+    padded = np.zeros(len(letters) + width, _U)
+    padded[: len(letters)] = letters
+    padded += _U(1)
+    longer = np.empty_like(padded)
     reach, step = 1, 0
     while reach < width:
         on = min(reach, width - reach)
-        padded[:-on] = padded[:-on] * _STEP[step] + padded[on:]
+        np.multiply(padded, _STEP[step], out=longer)
+        longer[:-on] += padded[on:]
+        padded, longer = longer, padded
         reach, step = reach + on, step + 1
     runs = mixed(padded[: len(letters)])
     chosen = np.zeros(len(letters) + 1, np.int8)
