@@ -518,9 +518,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80, limit: int = LIMIT) -> Da
     keys = own_side(members.join(least, "component").select("key_a", "key_b", "first"))
     return (
         lines.select(*place, "key_a", "key_b")
-        .distinct()
         .join(keys, ["key_a", "key_b"])
         .filter(F.struct(*place) != F.col("first"))
+        .distinct()
         .select(
             "doc_id",
             "line_no",
