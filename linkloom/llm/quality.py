@@ -218,7 +218,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> Data
 
 def good_documents(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """Rows of ``docs`` that score at least ``cut``, all their columns kept; texts are not shuffled."""
-    model = learned(document_statistics(docs), labels)
+    # Written first: where the labels are broadcast, statistics and sums would be two Python steps of
+    # one task, and executors keep a worker for each as long as the session is busy.
+    model = learned(written(document_statistics(docs), "statistics"), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_pieces(batches):

@@ -305,3 +305,21 @@ def test_stages_of_an_empty_table_and_of_clashing_columns(spark):
             assert rows.columns == given.columns
         pieces = corpus_pipeline.STAGES[-1][1](spark, rows, sf)
         assert (pieces.count() > 0) == (given is extra)
+
+
+def test_the_classifier_is_fitted_on_written_statistics(spark, monkeypatch):
+    """Not in the task that computes them: two Python steps there would need two workers at once."""
+    rows = [(i, f"{'a b c.' * (i % 5)} {i}") for i in range(40)] + [(None, None), (3, "again")]
+    docs = ready(spark).createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 40, 3)], "doc_id long, quality int")
+    plans, fitted = [], quality.fitted
+
+    def watched(labelled):
+        plans.append(labelled._jdf.queryExecution().executedPlan().toString())
+        return fitted(labelled)
+
+    monkeypatch.setattr(quality, "fitted", watched)
+    kept = quality.good_documents(docs, labels).collect()
+    scored = quality.quality_scores(docs, labels).filter("predicted = 1").collect()
+    assert len(plans) == 2 and not any("MapInArrow" in p for p in plans)
+    assert sorted(str(r.doc_id) for r in kept) == sorted(str(r.doc_id) for r in scored)
