@@ -13,10 +13,11 @@ its texts reach.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import let_go, ready, saved, table, text_pieces, texts, written
@@ -98,17 +99,28 @@ def _children(rows: DataFrame, extra: float) -> DataFrame:
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Rows of nodes that hold at least two texts, with the node's size and membership."""
-    sizes = rows.groupBy("path").agg(
-        F.count("*").alias("n"),
-        F.bit_xor(F.xxhash64("id")).alias("in_a"),
-        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("in_b"),
-    )
-    return rows.join(sizes.filter("n > 1"), "path")
+    """Rows of nodes that hold at least two texts, with the node's size and membership.
+
+    Rows are dealt by node once; they are not summed, written and joined to their sums.
+    """
+    node = Window.partitionBy("path")
+    return rows.select(
+        "path",
+        "id",
+        F.count("*").over(node).alias("n"),
+        F.bit_xor(F.xxhash64("id")).over(node).alias("in_a"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).over(node).alias("in_b"),
+    ).filter("n > 1")
+
+
+def _first(small: DataFrame) -> DataFrame:
+    """Rows ``path, id`` of small nodes; nodes with the same members are one, at whatever level."""
+    same = Window.partitionBy("n", "in_a", "in_b")
+    return small.withColumn("_first", F.min("path").over(same)).filter("path = _first").select("path", "id")
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    """Nodes of ``rows`` with the same members are one."""
+    """Nodes of ``rows`` with the same members are one; large ones are not held together for it."""
     once = rows.groupBy("n", "in_a", "in_b").agg(F.min("path").alias("path")).select("path")
     return rows.join(once, "path", "left_semi")
 
@@ -171,17 +183,20 @@ def recall(depth: int, trees: int, percent: int) -> float:
 def _grown(
     marks: DataFrame, extra: float, trees: range, limit: int, levels: int, enough: int
 ) -> tuple[list[DataFrame], DataFrame | None, DataFrame | None]:
-    """Small nodes of ``trees`` by level, nodes still above the limit after the last level, and the
-    ids of texts in nodes that branch on below level ``enough``."""
+    """Small nodes of ``trees`` by level with their membership, nodes still above the limit after the
+    last level, and the ids of texts in nodes that branch on below level ``enough``.
+
+    A child's path says where it comes from, so no text is twice in a node.
+    """
     roots = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in trees]))
     rows = _children(marks.select(roots.alias("path"), "id", "sketch"), extra)
     found, deep = [], None
     for level in range(levels):
-        met = saved(_met(saved(rows.distinct() if level else rows)))
-        found.append(_once(met.filter(F.col("n") <= limit)).select("path", "id"))
+        met = saved(_met(rows))
+        found.append(met.filter(F.col("n") <= limit))
         let_go(marks.sparkSession)
         large = met.filter(F.col("n") > limit)
-        if large.isEmpty():
+        if not large.take(1):
             return found, None, deep
         if level + 1 == enough:
             deep = saved(large.select("id").distinct())
@@ -195,8 +210,8 @@ def _grown(
 def nodes(
     marks: DataFrame, percent: int, trees: int, limit: int, levels: int
 ) -> tuple[list[DataFrame], DataFrame | None]:
-    """Small nodes ``path, id`` of all trees over ``marks(id, sketch)``, by level, and the nodes
-    ``path, id, n`` still above the limit after the last level.
+    """Small nodes ``path, id`` of all trees over ``marks(id, sketch)``, in one table, and the nodes
+    still above the limit after the last level.
 
     The driver reads one flag per level: whether a node above the limit is left. A node with the
     same members as another is compared once. Recall falls with depth: texts that go deeper than
@@ -211,13 +226,14 @@ def nodes(
     wanted = trees
     while recall(levels, wanted, percent) < RECALL:
         wanted += 1
-    if deep is None or wanted == trees:
-        return found, left
-    own = saved(marks.join(deep, "id", "left_semi"))
-    more, last, _ = _grown(own, extra, range(trees, wanted), limit, levels, enough)
-    if left is not None and last is not None:
-        left = left.union(last)
-    return [*found, *more], left if left is not None else last
+    if deep is not None and wanted > trees:
+        own = saved(marks.join(deep, "id", "left_semi"))
+        more, last, _ = _grown(own, extra, range(trees, wanted), limit, levels, enough)
+        found = [*found, *more]
+        if left is not None and last is not None:
+            left = left.union(last)
+        left = left if left is not None else last
+    return [_first(reduce(DataFrame.union, found))], left
 
 
 def _likely(found: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
